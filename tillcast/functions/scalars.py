@@ -17,6 +17,12 @@ def safe_divide(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0))
 
 
+def exact_mean(x: Column) -> Column:
+    """Mean as an aggregate: sum over count. Integer and decimal sums are exact, so the result
+    does not depend on the order in which rows meet."""
+    return F.sum(x).cast("double") / F.nullif(F.count(x), F.lit(0))
+
+
 def coerce_double(x: Column) -> Column:
     return x.try_cast("double")
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.functions.scalars import exact_mean
 from tillcast.operators.quantiles import exact_quantiles
 
 _FUNCTIONS = {
     "sum": F.sum,
     "count": F.count,
-    "avg": F.avg,
+    "avg": lambda c: exact_mean(F.col(c)),
     "min": F.min,
     "max": F.max,
     "std": F.stddev_samp,
@@ -49,7 +50,7 @@ def price_profile(df: DataFrame, key: str) -> DataFrame:
     """Total sales, mean price and price spread (NULL to 0) per item or store."""
     return df.groupBy(key).agg(
         F.sum("sales").alias("total_sales"),
-        F.avg("sell_price").alias("average_price"),
+        exact_mean(F.col("sell_price")).alias("average_price"),
         F.coalesce(F.stddev_samp("sell_price"), F.lit(0.0)).alias("price_std"),
     )
 

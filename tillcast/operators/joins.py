@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.functions.scalars import exact_mean
+
 
 def join_calendar(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Left join on the day label. The calendar has one row per day and its size is known to
@@ -21,7 +23,7 @@ def join_prices(sales: DataFrame, prices: DataFrame) -> DataFrame:
 def price_and_sales(fact: DataFrame) -> DataFrame:
     """Total sales and mean price per date and item in one aggregate instead of two and a join."""
     return fact.groupBy("date", "item").agg(
-        F.sum("sales").alias("sales"), F.avg("sell_price").alias("sell_price")
+        F.sum("sales").alias("sales"), exact_mean(F.col("sell_price")).alias("sell_price")
     )
 
 

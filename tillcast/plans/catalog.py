@@ -22,7 +22,9 @@ FACT_CTE = f"""fact AS (
          p_brand AS department, s_name AS store, CAST(l_suppkey AS VARCHAR) AS store_code,
          r_name AS region, CAST(l_shipdate AS DATE) AS date,
          CAST(isoyear(l_shipdate) * 100 + week(l_shipdate) AS INTEGER) AS yearweek,
-         CAST(l_quantity AS BIGINT) AS sales, l_extendedprice / l_quantity AS sell_price,
+         CAST(l_quantity AS BIGINT) AS sales,
+         CAST(((2 * CAST(round(l_extendedprice * 100) AS BIGINT) + CAST(l_quantity AS BIGINT))
+           // (2 * CAST(l_quantity AS BIGINT))) / 100.0::DOUBLE AS DECIMAL(10, 2)) AS sell_price,
          CASE {_EVENT_CASES} END AS event
   FROM lineitem
   LEFT JOIN part ON l_partkey = p_partkey

@@ -42,7 +42,7 @@ def totals(star, by, where=None):
 @query(
     "agg_sales_stats",
     """WITH {fact} SELECT min(sales) AS min_sales, max(sales) AS max_sales,
-       round(avg(sales), 6) AS avg_sales, CAST(sum(sales) AS BIGINT) AS total_sales,
+       avg(sales) AS avg_sales, CAST(sum(sales) AS BIGINT) AS total_sales,
        count(*) AS n_rows FROM fact""",
 )
 def agg_sales_stats(star):
@@ -53,7 +53,7 @@ def agg_sales_stats(star):
         F.sum("sales").alias("total_sales"),
         F.count("*").alias("n_rows"),
     )
-    return rounded(df, "avg_sales")
+    return df
 
 
 def _total_query(name: str, keys: list[str], order: str, condition: str = "true", where=None):
@@ -107,12 +107,12 @@ def agg_by_weekday(star):
 
 @query(
     "agg_price_mean_region",
-    """WITH {fact} SELECT region, round(avg(sell_price), 6) AS mean_price
+    """WITH {fact} SELECT region, CAST(sum(sell_price) AS DOUBLE) / count(sell_price) AS mean_price
        FROM fact GROUP BY region""",
 )
 def agg_price_mean_region(star):
     df = star.summarise(["region"], mean_price=("avg", "sell_price"))
-    return rounded(df, "mean_price").orderBy(F.desc("mean_price"))
+    return df.orderBy(F.desc("mean_price"))
 
 
 @query(
@@ -199,11 +199,11 @@ def agg_max_sales(star):
 
 @query(
     "agg_max_price",
-    """WITH {fact} SELECT region, store, round(max(sell_price), 6) AS max_price
+    """WITH {fact} SELECT region, store, CAST(max(sell_price) AS DOUBLE) AS max_price
        FROM fact GROUP BY 1, 2""",
 )
 def agg_max_price(star):
-    return rounded(star.summarise(["region", "store"], max_price=("max", "sell_price")), "max_price")
+    return star.summarise(["region", "store"], max_price=("max", "sell_price"))
 
 
 @query(
@@ -222,12 +222,12 @@ def agg_std_store_week(star):
 
 @query(
     "agg_avg_region_week",
-    f"""WITH {{fact}} SELECT region, yearweek, round(avg(sales), 6) AS average_sales
+    f"""WITH {{fact}} SELECT region, yearweek, avg(sales) AS average_sales
        FROM fact WHERE {IN_YEAR_SQL} GROUP BY 1, 2""",
 )
 def agg_avg_region_week(star):
     df = star.summarise(["region", "yearweek"], in_year(), average_sales=("avg", "sales"))
-    return rounded(df, "average_sales")
+    return df
 
 
 @query(
@@ -270,39 +270,38 @@ def agg_corr_global(star):
 
 @query(
     "agg_avg_store_week",
-    f"""WITH {{fact}} SELECT region, yearweek, store, round(avg(sales), 6) AS average_sales
+    f"""WITH {{fact}} SELECT region, yearweek, store, avg(sales) AS average_sales
        FROM fact WHERE {IN_YEAR_SQL} GROUP BY 1, 2, 3""",
 )
 def agg_avg_store_week(star):
     df = star.summarise(["region", "yearweek", "store"], in_year(), average_sales=("avg", "sales"))
-    return rounded(df, "average_sales")
+    return df
 
 
 @query(
     "agg_avg_price_cat_store",
-    """WITH {fact} SELECT category, store_code, round(avg(sell_price), 6) AS avg_sell_price
+    """WITH {fact} SELECT category, store_code, CAST(sum(sell_price) AS DOUBLE) / count(sell_price) AS avg_sell_price
        FROM fact GROUP BY 1, 2""",
 )
 def agg_avg_price_cat_store(star):
     df = star.summarise(["category", "store_code"], avg_sell_price=("avg", "sell_price"))
-    return rounded(df, "avg_sell_price")
+    return df
 
 
 @query(
     "agg_avg_price_week",
-    """WITH {fact} SELECT category, region, yearweek, round(avg(sell_price), 6) AS avg_sell_price
-       FROM fact GROUP BY 1, 2, 3""",
+    """WITH {fact} SELECT category, region, yearweek, CAST(sum(sell_price) AS DOUBLE) / count(sell_price)
+       AS avg_sell_price FROM fact GROUP BY 1, 2, 3""",
 )
 def agg_avg_price_week(star):
-    df = star.summarise(["category", "region", "yearweek"], avg_sell_price=("avg", "sell_price"))
-    return rounded(df, "avg_sell_price")
+    return star.summarise(["category", "region", "yearweek"], avg_sell_price=("avg", "sell_price"))
 
 
 @query(
     "agg_describe",
     """WITH {fact}, v AS (
          SELECT 'sales' AS measure, CAST(sales AS DOUBLE) AS x FROM fact
-         UNION ALL SELECT 'sell_price', sell_price FROM fact)
+         UNION ALL SELECT 'sell_price', CAST(sell_price AS DOUBLE) FROM fact)
        SELECT measure, count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
          round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS p25,
          round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.75), 6) AS p75,
@@ -311,7 +310,8 @@ def agg_avg_price_week(star):
 )
 def agg_describe(star):
     values = star.fact("sales", "sell_price").select(
-        F.col("sales").cast("double").alias("sales"), "sell_price"
+        F.col("sales").cast("double").alias("sales"),
+        F.col("sell_price").cast("double").alias("sell_price"),
     )
     long = values.unpivot([], ["sales", "sell_price"], "measure", "x")
     df = aggregates.describe(long, "x", ["measure"])
@@ -321,18 +321,18 @@ def agg_describe(star):
 @query(
     "agg_item_price_profile",
     """WITH {fact} SELECT item, CAST(sum(sales) AS BIGINT) AS total_sales,
-         round(avg(sell_price), 6) AS average_price,
+         CAST(sum(sell_price) AS DOUBLE) / count(sell_price) AS average_price,
          round(coalesce(stddev_samp(sell_price), 0), 6) AS price_std
        FROM fact GROUP BY item""",
 )
 def agg_item_price_profile(star):
     df = aggregates.price_profile(star.fact("item", "sales", "sell_price"), "item")
-    return rounded(df, "average_price", "price_std")
+    return rounded(df, "price_std")
 
 
 # Equal-width bins of total sales stand for a cluster assignment that SQL can repeat.
 BINNED_STORES_SQL = """WITH {fact}, s AS (
-  SELECT store, sum(sales)::BIGINT AS total_sales, avg(sell_price) AS average_price,
+  SELECT store, sum(sales)::BIGINT AS total_sales, CAST(sum(sell_price) AS DOUBLE) / count(sell_price) AS average_price,
     coalesce(stddev_samp(sell_price), 0) AS price_std FROM fact GROUP BY store),
  lim AS (SELECT min(total_sales)::DOUBLE AS lo, max(total_sales)::DOUBLE AS hi FROM s),
  c AS (SELECT s.*, CAST(least(coalesce(floor((total_sales - lo) / nullif((hi - lo) / 3.0::DOUBLE, 0)), 0), 2)
@@ -382,11 +382,11 @@ def flt_cluster_members(star):
 @query(
     "agg_date_item",
     """WITH {fact} SELECT CAST(date AS VARCHAR) AS date, item, CAST(sum(sales) AS BIGINT) AS sales,
-       round(avg(sell_price), 6) AS sell_price FROM fact GROUP BY fact.date, item""",
+       CAST(sum(sell_price) AS DOUBLE) / count(sell_price) AS sell_price
+       FROM fact GROUP BY fact.date, item""",
 )
 def agg_date_item(star):
-    df = star.summarise(["date", "item"], sales=("sum", "sales"), sell_price=("avg", "sell_price"))
-    return rounded(df, "sell_price")
+    return star.summarise(["date", "item"], sales=("sum", "sales"), sell_price=("avg", "sell_price"))
 
 
 @query(
@@ -553,7 +553,7 @@ def win_yoy_store(star):
 
 
 REGION_DAILY_SQL = """WITH {fact}, daily AS (
-  SELECT region, date, sum(sales)::BIGINT AS sales, avg(sell_price) AS sell_price
+  SELECT region, date, sum(sales)::BIGINT AS sales, CAST(sum(sell_price) AS DOUBLE) / count(sell_price) AS sell_price
   FROM fact GROUP BY 1, 2)"""
 
 
@@ -632,24 +632,24 @@ def top_items_sum(star):
 
 @query(
     "top_stores_avg",
-    f"""WITH {{fact}} SELECT region, yearweek, store, round(avg(sales), 6) AS avg_sales FROM fact
+    f"""WITH {{fact}} SELECT region, yearweek, store, avg(sales) AS avg_sales FROM fact
       WHERE region = '{REGION}' AND yearweek = {WEEK} GROUP BY 1, 2, 3
       ORDER BY avg_sales DESC, store LIMIT 5""",
 )
 def top_stores_avg(star):
     summary = star.summarise(["region", "yearweek", "store"], in_week(), avg_sales=("avg", "sales"))
-    summary = rounded(summary.where(F.col("region") == REGION), "avg_sales")
+    summary = summary.where(F.col("region") == REGION)
     return rows.top_k(summary, "avg_sales", ["store"], 5)
 
 
 @query(
     "top_items_price",
-    f"""WITH {{fact}} SELECT item, round(avg(sell_price), 6) AS average_price FROM fact
+    f"""WITH {{fact}} SELECT item, CAST(sum(sell_price) AS DOUBLE) / count(sell_price) AS average_price FROM fact
       WHERE {IN_YEAR_SQL} GROUP BY 1 ORDER BY average_price DESC, item LIMIT 5""",
 )
 def top_items_price(star):
     summary = star.summarise(["item"], in_year(), average_price=("avg", "sell_price"))
-    return rows.top_k(rounded(summary, "average_price"), "average_price", ["item"], 5)
+    return rows.top_k(summary, "average_price", ["item"], 5)
 
 
 @query(
@@ -664,12 +664,12 @@ def top_regions_category(star):
 
 @query(
     "top_stores_price_dept",
-    f"""WITH {{fact}} SELECT store_code, round(avg(sell_price), 6) AS average_price FROM fact
+    f"""WITH {{fact}} SELECT store_code, CAST(sum(sell_price) AS DOUBLE) / count(sell_price) AS average_price FROM fact
       WHERE department = '{DEPARTMENT}' GROUP BY 1 ORDER BY average_price DESC, store_code LIMIT 5""",
 )
 def top_stores_price_dept(star):
     summary = star.summarise(["store_code", "department"], average_price=("avg", "sell_price"))
-    summary = rounded(summary.where(F.col("department") == DEPARTMENT), "average_price")
+    summary = summary.where(F.col("department") == DEPARTMENT)
     return rows.top_k(summary.drop("department"), "average_price", ["store_code"], 5)
 
 
@@ -685,12 +685,12 @@ def top_events_item(star):
 
 @query(
     "top_categories_store",
-    f"""WITH {{fact}} SELECT category, round(avg(sales), 6) AS avg_sales FROM fact
+    f"""WITH {{fact}} SELECT category, avg(sales) AS avg_sales FROM fact
       WHERE store_code = '{STORE_CODE}' GROUP BY 1 ORDER BY avg_sales DESC, category LIMIT 5""",
 )
 def top_categories_store(star):
     summary = star.summarise(["category"], F.col("store_code") == STORE_CODE, avg_sales=("avg", "sales"))
-    return rows.top_k(rounded(summary, "avg_sales"), "avg_sales", ["category"], 5)
+    return rows.top_k(summary, "avg_sales", ["category"], 5)
 
 
 @query(

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.functions.dates import iso_yearweek
+from tillcast.functions.scalars import exact_mean
 
 # Events of the calendar by (month, day).
 CALENDAR_EVENTS = {
@@ -42,6 +43,13 @@ def calendar_event(date: Column) -> Column:
     return named
 
 
+def unit_price() -> Column:
+    """Price per unit in whole cents, halves up, in integer arithmetic: no rounding of doubles."""
+    line, units = "cast(round(l_extendedprice * 100) as bigint)", "cast(l_quantity as bigint)"
+    cents = F.expr(f"(2 * {line} + {units}) div nullif(2 * {units}, 0)")
+    return (cents / 100).cast("decimal(10,2)")
+
+
 class SalesStar:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -60,7 +68,7 @@ class SalesStar:
             date.alias("date"),
             iso_yearweek(date).alias("yearweek"),
             F.col("l_quantity").cast("bigint").alias("sales"),
-            (F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))).alias("sell_price"),
+            unit_price().alias("sell_price"),
             calendar_event(date).alias("event"),
         )
 
@@ -157,7 +165,7 @@ class _Partial:
 
 
 def _aggregate(function: str, column: str) -> Column:
-    functions = {"sum": F.sum, "count": F.count, "avg": F.avg, "min": F.min, "max": F.max}
+    functions = {"sum": F.sum, "count": F.count, "avg": exact_mean, "min": F.min, "max": F.max}
     return functions[function](F.col(column))
 
 
