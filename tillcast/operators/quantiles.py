@@ -2,9 +2,9 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer. That is right
 for a daily series (its length is bounded by the calendar), but not for a whole table or for a
-group that holds a third of it. Here the values are first counted per distinct value, then the
-rank that a quantile needs is located by counting fixed-width value ranges, twice. Only the
-values of the final narrow range are ranked row by row.
+group that holds a third of it. Here a sketch of bounded size, merged on the map side, brackets
+every wanted rank; then one aggregate counts all rows below the bracket as one bucket and the
+few values inside it one by one, and the rank is read off those counts.
 """
 
 from __future__ import annotations
@@ -12,7 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANGES = 2048
+# Relative rank error of the sketch is 1 / ACCURACY; the bracket is three times as wide.
+ACCURACY = 50_000
+# A measured input may differ in the last bits between the two passes over it.
+SLACK = 1e-9
 
 
 def series_quantile(value: str | Column, q: float) -> Column:
@@ -27,118 +30,65 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, f
     """
     group = by or ["_all"]
     base = df if by else df.withColumn("_all", F.lit(0))
-    counts = (
-        base.where(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
-    )
-    limits = counts.groupBy(*group).agg(
-        F.sum("_n").alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
-    wanted = _wanted_ranks(limits, group, probs)
-    counts, wanted = _narrow(counts, wanted, group, "a")
-    counts, wanted = _narrow(counts, wanted, group, "b")
-    picked = _rank_inside(counts, wanted, group)
+    base = base.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    brackets = _brackets(base, group, probs)
+    counts = _bracket_counts(base, brackets, group)
+    running = Window.partitionBy(*group, "_prob").orderBy(F.asc_nulls_first("_v"))
+    upto = F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("_upto", upto)
     columns = []
     for name in probs:
-        low = F.max(F.when((F.col("_prob") == name) & (F.col("_end") == "low"), F.col("_v")))
-        high = F.max(F.when((F.col("_prob") == name) & (F.col("_end") == "high"), F.col("_v")))
-        share = F.max(F.when(F.col("_prob") == name, F.col("_share")))
-        columns.append((low + (high - low) * share).alias(name))
-    result = picked.groupBy(*group).agg(*columns)
+        mine = F.col("_prob") == name
+        low = F.min(F.when(mine & (F.col("_upto") > F.col("_r0")), F.col("_v")))
+        high = F.min(F.when(mine & (F.col("_upto") > F.col("_r1")), F.col("_v")))
+        share = F.max(F.when(mine, F.col("_share")))
+        inside = F.min(F.when(mine & F.col("_v").isNull(), F.col("_upto") <= F.col("_r0")))
+        exact = F.coalesce(inside, F.lit(True)) & high.isNotNull()
+        failed = F.raise_error(F.lit("the quantile lies outside its bracket")).cast("double")
+        columns.append(F.when(exact, low + (high - low) * share).otherwise(failed).alias(name))
+    result = ranked.groupBy(*group).agg(*columns)
     return result if by else result.drop("_all")
 
 
-def _wanted_ranks(limits: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
-    """Zero-based ranks below and above each quantile position, one row each."""
+def _brackets(base: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
+    """Per group and quantile: the zero-based ranks it needs and values around them."""
+    margin = 3.0 / ACCURACY
+    ends = [e for q in probs.values() for e in (max(0.0, q - margin), min(1.0, q + margin))]
+    sketched = base.groupBy(*group).agg(
+        F.count("*").alias("_rows"),
+        F.percentile_approx("_v", ends, ACCURACY).alias("_s"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+    )
+    # With few rows a rank is wider than the margin: the bracket is the whole group.
+    few = F.col("_rows") <= ACCURACY
     entries = []
-    for name, q in probs.items():
+    for i, (name, q) in enumerate(probs.items()):
         position = F.lit(float(q)) * (F.col("_rows") - 1)
-        low = F.floor(position)
-        share = position - low
-        for end, rank in (("low", low), ("high", F.ceil(position))):
-            entries.append(
-                F.struct(
-                    F.lit(name).alias("_prob"),
-                    F.lit(end).alias("_end"),
-                    rank.cast("bigint").alias("_rank"),
-                    share.alias("_share"),
-                )
+        entries.append(
+            F.struct(
+                F.lit(name).alias("_prob"),
+                F.floor(position).alias("_r0"),
+                F.ceil(position).alias("_r1"),
+                (position - F.floor(position)).alias("_share"),
+                _widened(F.when(few, F.col("_min")).otherwise(F.col("_s")[2 * i]), -1).alias("_lo"),
+                _widened(F.when(few, F.col("_max")).otherwise(F.col("_s")[2 * i + 1]), 1).alias("_hi"),
             )
-    return limits.select(*group, "_lo", "_hi", F.explode(F.array(*entries)).alias("_w")).select(
-        *group, "_lo", "_hi", "_w.*"
-    )
-
-
-def _match(left: str, right: str, columns: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return condition
-
-
-def _range_of(v: Column, lo: Column, hi: Column) -> Column:
-    width = (hi - lo) / _RANGES
-    index = F.floor((v - lo) / F.nullif(width, F.lit(0.0)))
-    return F.least(F.coalesce(index, F.lit(0)), F.lit(_RANGES - 1)).cast("int")
-
+        )
+    return sketched.select(*[F.col(c).alias(f"_g_{c}") for c in group], F.inline(F.array(*entries)))
 
-def _narrow(counts: DataFrame, wanted: DataFrame, group: list[str], tag: str):
-    """Keep only the value ranges that hold a wanted rank.
 
-    Every search interval is cut into ranges; the table of range totals has at most ``_RANGES``
-    rows per interval whatever the data size, and the running count runs over that table.
-    """
-    slot = f"_slot_{tag}"
-    slots = [c for c in counts.columns if c.startswith("_slot_")]
-    keys = [*group, *slots]
-    intervals = wanted.select(*keys, "_lo", "_hi").distinct()
-    placed = (
-        counts.alias("c")
-        .join(intervals.alias("i"), _match("c", "i", keys))
-        .select("c.*", _range_of(F.col("c._v"), F.col("i._lo"), F.col("i._hi")).alias(slot))
-    )
-    totals = placed.groupBy(*keys, slot).agg(
-        F.sum("_n").alias("_in"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
-    )
-    running = Window.partitionBy(*keys).orderBy(slot).rowsBetween(Window.unboundedPreceding, 0)
-    totals = totals.withColumn("_upto", F.sum("_in").over(running))
-    hit = (
-        wanted.alias("w")
-        .join(
-            totals.alias("t"),
-            _match("w", "t", keys)
-            & (F.col("w._rank") < F.col("t._upto"))
-            & (F.col("w._rank") >= F.col("t._upto") - F.col("t._in")),
-        )
-        .select(
-            *[F.col(f"w.{c}") for c in keys],
-            F.col(f"t.{slot}"),
-            F.col("t._min").alias("_lo"),
-            F.col("t._max").alias("_hi"),
-            "w._prob",
-            "w._end",
-            "w._share",
-            (F.col("w._rank") - (F.col("t._upto") - F.col("t._in"))).alias("_rank"),
-        )
-    )
-    kept = placed.alias("c").join(
-        hit.select(*keys, slot).distinct().alias("k"), _match("c", "k", [*keys, slot]), "left_semi"
-    )
-    return kept, hit
+def _widened(x: Column, direction: int) -> Column:
+    return x + direction * (F.abs(x) * SLACK + SLACK)
 
 
-def _rank_inside(counts: DataFrame, wanted: DataFrame, group: list[str]) -> DataFrame:
-    keys = [*group, *[c for c in counts.columns if c.startswith("_slot_")]]
-    running = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("_upto", F.sum("_n").over(running))
-    return (
-        wanted.alias("w")
-        .join(
-            ranked.alias("r"),
-            _match("w", "r", keys)
-            & (F.col("w._rank") < F.col("r._upto"))
-            & (F.col("w._rank") >= F.col("r._upto") - F.col("r._n")),
-        )
-        .select(*[F.col(f"w.{c}") for c in group], "w._prob", "w._end", "w._share", "r._v")
+def _bracket_counts(base: DataFrame, brackets: DataFrame, group: list[str]) -> DataFrame:
+    """Row counts per value inside a bracket; all rows below it are counted under NULL."""
+    on = F.lit(True)
+    for c in group:
+        on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    placed = base.join(brackets, on & (F.col("_v") <= F.col("_hi")))
+    kept = F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))
+    return placed.groupBy(*group, "_prob", "_r0", "_r1", "_share", kept.alias("_v")).agg(
+        F.count("*").alias("_n")
     )

@@ -41,12 +41,14 @@ def numeric_rows(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def cap_by_quantile(df: DataFrame, columns: list[str], q: float = 0.95) -> DataFrame:
     """Rows whose values are all at or below the column's ``q`` quantile over the whole table."""
+    entries = [F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_x")) for c in columns]
+    long = df.select(F.inline(F.array(*entries)))
+    limits = exact_quantiles(long, ["_c"], "_x", {"_limit": q})
+    packed = [F.max(F.when(F.col("_c") == c, F.col("_limit"))).alias(c) for c in columns]
+    limit = limits.agg(F.struct(*packed)).scalar()
+    kept = df.withColumns({c: F.col(c).cast("double") for c in columns})
     for c in columns:
-        df = df.withColumn(c, F.col(c).cast("double"))
-    kept = df
-    for c in columns:
-        limit = exact_quantiles(df, [], c, {"limit": q}).scalar()
-        kept = kept.where(F.col(c) <= limit)
+        kept = kept.where(F.col(c) <= limit[c])
     return kept
 
 

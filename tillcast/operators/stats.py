@@ -97,17 +97,21 @@ def residuals(forecasts: DataFrame, actual: str = "y", predicted: str = "yhat")
 
 
 def autocorrelation(series: DataFrame, keys: list[str], value: str, max_lag: int) -> DataFrame:
-    """Autocorrelation per series and lag 1..max_lag, in one pass of windows and one aggregate."""
+    """Autocorrelation per series and lag 1..max_lag.
+
+    Every row meets its ``max_lag`` predecessors inside the window, and the products are summed
+    on the map side.
+    """
     whole = Window.partitionBy(*keys)
-    order = Window.partitionBy(*keys).orderBy("ds")
+    before = whole.orderBy("ds").rowsBetween(-max_lag, -1)
     centred = series.withColumn("_e", F.col(value) - F.avg(value).over(whole))
-    lagged = centred.withColumns({f"_e{k}": F.lag("_e", k).over(order) for k in range(1, max_lag + 1)})
-    total = F.sum(F.col("_e") * F.col("_e"))
-    entries = [
-        F.struct(
-            F.lit(k).alias("lag"),
-            safe_divide(F.sum(F.col("_e") * F.col(f"_e{k}")), total).alias("acf"),
-        )
-        for k in range(1, max_lag + 1)
-    ]
-    return lagged.groupBy(*keys).agg(F.array(*entries).alias("_acf")).select(*keys, F.inline("_acf"))
+    lagged = centred.select(
+        *keys,
+        "_e",
+        F.sum(F.col("_e") * F.col("_e")).over(whole).alias("_total"),
+        F.reverse(F.collect_list("_e").over(before)).alias("_previous"),
+    ).select(*keys, "_e", "_total", F.posexplode("_previous").alias("_pos", "_before"))
+    products = F.sum(F.col("_e") * F.col("_before"))
+    return lagged.groupBy(*keys, (F.col("_pos") + 1).alias("lag")).agg(
+        safe_divide(products, F.max("_total")).alias("acf")
+    )

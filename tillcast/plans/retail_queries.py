@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillcast.functions import dates
 from tillcast.operators import aggregates, reshape, rows, windows
 from tillcast.plans.catalog import query, rounded
+from tillcast.sources.star import item_is, store_code_is
 
 REGION = "ASIA"
 WEEK = 199820
@@ -679,7 +680,7 @@ def top_stores_price_dept(star):
       WHERE item = '{ITEM}' GROUP BY 1 ORDER BY total_sales DESC, event NULLS FIRST LIMIT 3""",
 )
 def top_events_item(star):
-    summary = totals(star, ["event"], F.col("item") == ITEM)
+    summary = totals(star, ["event"], item_is(ITEM))
     return rows.top_k(summary, "total_sales", ["event"], 3)
 
 
@@ -689,7 +690,7 @@ def top_events_item(star):
       WHERE store_code = '{STORE_CODE}' GROUP BY 1 ORDER BY avg_sales DESC, category LIMIT 5""",
 )
 def top_categories_store(star):
-    summary = star.summarise(["category"], F.col("store_code") == STORE_CODE, avg_sales=("avg", "sales"))
+    summary = star.summarise(["category"], store_code_is(STORE_CODE), avg_sales=("avg", "sales"))
     return rows.top_k(summary, "avg_sales", ["category"], 5)
 
 

@@ -14,6 +14,7 @@ from tillcast.plans.retail_queries import (
 )
 from tillcast.sources import files, sinks
 from tillcast.sources.shared import new_path
+from tillcast.sources.star import item_is, store_code_is
 
 # One row per region, category and month with the days of the month as columns d_1 .. d_31.
 WIDE_DAYS = [f"d_{i}" for i in range(1, 32)]
@@ -267,14 +268,14 @@ _filtered(
 )
 _filtered("flt_keys_category", f"category = '{CATEGORY}'", None, F.col("category") == CATEGORY)
 _filtered("flt_keys_department", f"department = '{DEPARTMENT}'", None, F.col("department") == DEPARTMENT)
-_filtered("flt_keys_item", f"item = '{ITEM}'", F.col("item") == ITEM)
-_filtered("flt_keys_store_code", f"store_code = '{STORE_CODE}'", F.col("store_code") == STORE_CODE)
+_filtered("flt_keys_item", f"item = '{ITEM}'", item_is(ITEM))
+_filtered("flt_keys_store_code", f"store_code = '{STORE_CODE}'", store_code_is(STORE_CODE))
 _filtered(
     "flt_series",
     f"item = '{ITEM}' AND store_code = '{STORE_CODE}'",
-    (F.col("item") == ITEM) & (F.col("store_code") == STORE_CODE),
+    item_is(ITEM) & store_code_is(STORE_CODE),
 )
-_filtered("flt_yearweek_gt", "yearweek > 200001", F.col("yearweek") > 200001)
+_filtered("flt_yearweek_gt", "yearweek > 200001", F.col("date") > dates.week_dates(200001)[1])
 _filtered("flt_event_present", HAS_EVENT_SQL, rows.event_present())
 
 

@@ -50,6 +50,15 @@ def unit_price() -> Column:
     return (cents / 100).cast("decimal(10,2)")
 
 
+def item_is(item: str) -> Column:
+    """``item = ...`` on the stored key, so that the filter reaches the scan."""
+    return F.col("_part") == F.lit(int(item))
+
+
+def store_code_is(store_code: str) -> Column:
+    return F.col("_supp") == F.lit(int(store_code))
+
+
 class SalesStar:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -108,7 +117,7 @@ class SalesStar:
     def fact(self, *columns: str, where: Column | None = None) -> DataFrame:
         """Row-level fact with the requested columns (all of them when none is named).
 
-        ``where`` may use base columns only; it is applied before any join.
+        ``where`` may use base columns (and the filters above); it is applied before any join.
         """
         columns = columns or tuple(FACT_COLUMNS)
         _, item, store = self._split(columns)
