@@ -1 +1,567 @@
-"""Queries."""
+"""Segmentation, forecasting jobs and the classification model."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tillcast.functions import dates
+from tillcast.operators import (
+    aggregates, cell_mean, classify, collecting, decomposable, forests, intervals, reshape, rows,
+    seasonal_ar, segments, selection, series, stats, windows,
+)
+from tillcast.operators.decomposable import Config, Design
+from tillcast.operators.evaluation import forecast_metrics
+from tillcast.plans import forecast_run
+from tillcast.plans.catalog import query, rounded
+from tillcast.plans.retail_queries import totals
+from tillcast.plans.series_queries import KEYS, SERIES_SQL, category_series
+from tillcast.sources import sinks
+from tillcast.sources.files import year_range
+from tillcast.sources.shared import materialise, new_path
+from tillcast.sources.star import calendar_event
+
+# --- segmentation ----------------------------------------------------------------------------
+
+PROFILE = ["total_sales", "average_price", "price_std"]
+
+
+def _profile(star, key: str):
+    return materialise(aggregates.price_profile(star.fact(key, "sales", "sell_price"), key), "profile")
+
+
+@query(
+    "cl_scale",
+    """WITH {fact}, t AS (SELECT store, sum(sales)::DOUBLE AS total_sales, CAST(sum(sell_price) AS DOUBLE) / count(sell_price) AS average_price
+        FROM fact GROUP BY 1)
+       SELECT store, round((total_sales - (SELECT avg(total_sales) FROM t)) / (SELECT stddev_pop(total_sales) FROM t), 6) + 0.0 AS total_sales,
+         round((average_price - (SELECT avg(average_price) FROM t)) / (SELECT stddev_pop(average_price) FROM t), 6) + 0.0 AS average_price FROM t""",
+)
+def cl_scale(star):
+    profile = star.summarise(["store"], total_sales=("sum", "sales"), average_price=("avg", "sell_price"))
+    features = ["total_sales", "average_price"]
+    return rounded(segments.scale(profile, features), *features)
+
+
+@query("cl_elbow")
+def cl_elbow(star):
+    return segments.elbow(materialise(totals(star, ["store"]), "store-totals"), ["total_sales"])
+
+
+@query("cl_store_sales")
+def cl_store_sales(star):
+    return segments.segment(materialise(totals(star, ["store"]), "store-totals"), ["total_sales"], 2)
+
+
+@query("cl_store_category")
+def cl_store_category(star):
+    names = reshape.distinct_values(star.items("category"), "category")
+    matrix = reshape.pivot_sum(totals(star, ["store", "category"]), ["store"], "category", "total_sales", names)
+    return segments.segment(materialise(matrix, "store-category"), names, 3)
+
+
+@query("cl_region_period")
+def cl_region_period(star):
+    monthly = totals(star, ["region", "date"]).withColumn("period", F.date_format("date", "yyyy_MM"))
+    monthly = materialise(monthly, "region-month")
+    periods = reshape.distinct_values(monthly, "period")
+    matrix = reshape.pivot_sum(monthly, ["region"], "period", "total_sales", periods)
+    return segments.segment(materialise(matrix, "region-period"), periods, 3)
+
+
+@query("cl_product_price")
+def cl_product_price(star):
+    return segments.segment(_profile(star, "item"), PROFILE, 3)
+
+
+@query("cl_store_price")
+def cl_store_price(star):
+    return segments.segment(_profile(star, "store"), PROFILE, 5)
+
+
+@query("cl_silhouette")
+def cl_silhouette(star):
+    labelled = segments.segment(_profile(star, "store"), PROFILE, 5)
+    return segments.silhouette(labelled, PROFILE)
+
+
+# --- cell means: the forecasting model that SQL can repeat -----------------------------------
+
+CELL_SQL = (
+    SERIES_SQL
+    + """, fl AS (SELECT *, isodow(ds) - 1 AS dow, CAST(month(ds) = 12 AND day(ds) IN (23, 24, 26) AS INTEGER) AS chr,
+      CAST(month(ds) = 12 AND day(ds) = 25 AS INTEGER) AS hol, max(ds) OVER (PARTITION BY region, category) - ds AS back FROM s),
+  tr AS (SELECT * FROM fl WHERE back >= {hold}),
+  c1 AS (SELECT region, category, dow, chr, hol, avg(y) AS m FROM tr GROUP BY 1, 2, 3, 4, 5),
+  c2 AS (SELECT region, category, dow, avg(y) AS m FROM tr GROUP BY 1, 2, 3),
+  c3 AS (SELECT region, category, avg(y) AS m FROM tr GROUP BY 1, 2),
+  fc AS (SELECT fl.region, fl.category, fl.ds, fl.y, fl.back, greatest(0, coalesce(c1.m, c2.m, c3.m)) AS yhat FROM fl
+    LEFT JOIN c1 ON fl.region = c1.region AND fl.category = c1.category AND fl.dow = c1.dow AND fl.chr = c1.chr AND fl.hol = c1.hol
+    LEFT JOIN c2 ON fl.region = c2.region AND fl.category = c2.category AND fl.dow = c2.dow
+    LEFT JOIN c3 ON fl.region = c3.region AND fl.category = c3.category)"""
+)
+CELL_28 = CELL_SQL.replace("{hold}", "28")
+CELL_84 = CELL_SQL.replace("{hold}", "84")
+DS = "CAST(ds AS VARCHAR) AS ds"
+
+
+def cell_forecast(star, hold: int = 28):
+    """All days with the cell means of the days before the last ``hold`` ones as forecast."""
+    frame = category_series(star, flags=True)
+    whole = Window.partitionBy(*KEYS)
+    frame = frame.withColumn("back", F.datediff(F.max("ds").over(whole), F.col("ds")))
+    models = cell_mean.fit(frame.where(F.col("back") >= hold), KEYS)
+    return cell_mean.score(frame, models, KEYS).select(*KEYS, "ds", "y", "back", "yhat")
+
+
+@query("fc_cell_mean", CELL_28 + f" SELECT region, category, {DS}, y, round(yhat, 6) AS yhat FROM fc WHERE back < 28")
+def fc_cell_mean(star):
+    return rounded(cell_forecast(star).where(F.col("back") < 28).drop("back"), "yhat")
+
+
+@query(
+    "fc_forecast_frame",
+    CELL_28
+    + " SELECT CAST(ds AS VARCHAR) AS date, round(yhat, 6) AS forecast_sales, y AS actual_sales, region, category FROM fc WHERE back < 28",
+)
+def fc_forecast_frame(star):
+    scored = cell_forecast(star).where(F.col("back") < 28)
+    frame = selection.forecast_frame(scored.select(*KEYS, "ds", "yhat"), category_series(star), KEYS)
+    return rounded(frame, "forecast_sales")
+
+
+@query(
+    "agg_forecast_rollup",
+    CELL_28
+    + """ SELECT CAST(ds AS VARCHAR) AS date, region, round(sum(yhat), 6) AS forecast_sales FROM fc WHERE back < 28 GROUP BY fc.ds, region""",
+)
+def agg_forecast_rollup(star):
+    scored = cell_forecast(star).where(F.col("back") < 28)
+    frame = scored.select(F.col("ds").alias("date"), F.col("yhat").alias("forecast_sales"), *KEYS)
+    # `city` is not in the frame, so it is left out of the roll-up.
+    return rounded(aggregates.rollup_forecast(frame, ["region", "city"]), "forecast_sales")
+
+
+CANDIDATE_SQL = (
+    CELL_28
+    + """, w AS (SELECT region, category, ds, back, y, lag(y, 28) OVER (PARTITION BY region, category ORDER BY ds) AS yhat FROM fl),
+  cand AS (SELECT region, category, 'cell_mean' AS model_type, ds, y, yhat FROM fc WHERE back < 28
+    UNION ALL SELECT region, category, 'four_weeks_before', ds, y, CASE WHEN isodow(ds) = 7 THEN NULL ELSE yhat END FROM w WHERE back < 28)"""
+)
+
+
+def _candidates(star):
+    scored = cell_forecast(star)
+    lagged = windows.lags(scored, KEYS, "ds", "y", [28])
+    before = F.when(dates.day_of_week(F.col("ds")) != 6, F.col("lag_28"))
+    entries = F.array(
+        F.struct(F.lit("cell_mean").alias("model_type"), F.col("yhat").alias("yhat")),
+        F.struct(F.lit("four_weeks_before").alias("model_type"), before.alias("yhat")),
+    )
+    return lagged.where(F.col("back") < 28).select(*KEYS, "ds", "y", F.inline(entries))
+
+
+@query(
+    "fc_select_best",
+    CANDIDATE_SQL
+    + """, m AS (SELECT region, category, model_type, avg(abs(y - yhat)) AS mae FROM cand WHERE yhat IS NOT NULL GROUP BY 1, 2, 3),
+    r AS (SELECT *, row_number() OVER (PARTITION BY region, category ORDER BY mae, model_type) AS rn FROM m)
+    SELECT region, category, model_type, round(mae, 6) AS mae FROM r WHERE rn = 1""",
+)
+def fc_select_best(star):
+    known = _candidates(star).where(F.col("yhat").isNotNull())
+    metrics = forecast_metrics(known, [*KEYS, "model_type"])
+    return rounded(selection.select_best(metrics, KEYS, "mae"), "mae")
+
+
+@query(
+    "fc_fallback",
+    CANDIDATE_SQL
+    + """ SELECT a.region, a.category, CAST(a.ds AS VARCHAR) AS ds, round(coalesce(a.yhat, b.yhat), 6) AS yhat,
+      CASE WHEN a.yhat IS NULL THEN b.model_type ELSE a.model_type END AS model_type
+    FROM (SELECT * FROM cand WHERE model_type = 'cell_mean') b JOIN (SELECT * FROM cand WHERE model_type <> 'cell_mean') a
+      ON a.region = b.region AND a.category = b.category AND a.ds = b.ds""",
+)
+def fc_fallback(star):
+    """The lagged value stands for a preferred model that failed on some days."""
+    named = F.when(F.col("model_type") == "four_weeks_before", "decomposable").otherwise(F.col("model_type"))
+    chosen = selection.first_available(_candidates(star).withColumn("model_type", named), KEYS)
+    shown = F.when(F.col("model_type") == "decomposable", "four_weeks_before").otherwise(F.col("model_type"))
+    return rounded(chosen.withColumn("model_type", shown), "yhat")
+
+
+@query(
+    "fc_clamp_cap",
+    """WITH {fact}, t AS (SELECT store, category, sum(sales)::DOUBLE AS y FROM fact GROUP BY 1, 2)
+       SELECT store, category, greatest(0.0::DOUBLE, least(y - 200, 300.0::DOUBLE)) AS yhat FROM t""",
+)
+def fc_clamp_cap(star):
+    """The clamp that stands for saturating growth, on its own."""
+    raw = totals(star, ["store", "category"])
+    value = F.col("total_sales").cast("double") - 200
+    return raw.select("store", "category", decomposable.clamp_to_cap(value, F.lit(300.0)).alias("yhat"))
+
+
+# --- intervals -------------------------------------------------------------------------------
+
+
+@query(
+    "fc_quantiles",
+    CELL_28
+    + f""", q AS (SELECT region, category, quantile_cont(y - yhat, 0.1) AS a, quantile_cont(y - yhat, 0.9) AS b FROM fc WHERE back >= 28 GROUP BY 1, 2)
+    SELECT region, category, {DS}, round(yhat, 6) AS yhat, round(yhat + a, 6) + 0.0 AS lower, round(yhat + b, 6) + 0.0 AS upper FROM fc JOIN q USING (region, category) WHERE back < 28""",
+)
+def fc_quantiles(star):
+    scored = cell_forecast(star)
+    fitted, test = scored.where(F.col("back") >= 28), scored.where(F.col("back") < 28)
+    df = intervals.residual_quantiles(fitted, test.drop("y", "back"), KEYS, {"lower": 0.1, "upper": 0.9})
+    return rounded(df, "yhat", "lower", "upper")
+
+
+@query(
+    "fc_interval_band",
+    CELL_28
+    + f""", q AS (SELECT region, category, stddev_samp(y - yhat) AS sd FROM fc WHERE back >= 28 GROUP BY 1, 2)
+    SELECT region, category, {DS}, round(yhat, 6) AS yhat, round(yhat - 1.2815515655446008::DOUBLE * sd, 6) + 0.0 AS yhat_lower,
+      round(yhat + 1.2815515655446008::DOUBLE * sd, 6) AS yhat_upper FROM fc JOIN q USING (region, category) WHERE back < 28""",
+)
+def fc_interval_band(star):
+    scored = cell_forecast(star)
+    fitted, test = scored.where(F.col("back") >= 28), scored.where(F.col("back") < 28)
+    df = intervals.normal_band(fitted, test.drop("y", "back"), KEYS)
+    return rounded(df, "yhat", "yhat_lower", "yhat_upper")
+
+
+@query(
+    "fc_conformal_naive",
+    CELL_84
+    + f""", q AS (SELECT region, category, quantile_cont(abs(y - yhat), 0.9) AS qhat FROM fc WHERE back >= 28 AND back < 84 GROUP BY 1, 2)
+    SELECT region, category, {DS}, round(yhat, 6) AS yhat, round(qhat, 6) AS qhat, round(yhat - qhat, 6) + 0.0 AS yhat_lower, round(yhat + qhat, 6) AS yhat_upper
+    FROM fc JOIN q USING (region, category) WHERE back < 28""",
+)
+def fc_conformal_naive(star):
+    """Fit before the last 84 days, calibrate on 56 of them, predict the last 28."""
+    scored = cell_forecast(star, hold=84)
+    calibration = scored.where((F.col("back") >= 28) & (F.col("back") < 84))
+    test = scored.where(F.col("back") < 28).drop("y", "back")
+    df = intervals.conformal_naive(calibration, test, KEYS, alpha=0.1)
+    return rounded(df, "yhat", "qhat", "yhat_lower", "yhat_upper")
+
+
+@query(
+    "fc_conformal_cqr",
+    CELL_84
+    + f""", o AS (SELECT region, category, quantile_cont(y - yhat, 0.1) AS a, quantile_cont(y - yhat, 0.9) AS b FROM fc WHERE back >= 84 GROUP BY 1, 2),
+    i AS (SELECT fc.*, yhat + a AS lo, yhat + b AS hi FROM fc JOIN o USING (region, category) WHERE back < 84),
+    q AS (SELECT region, category, quantile_cont(greatest(lo - y, y - hi), 0.9) AS qhat FROM i WHERE back >= 28 GROUP BY 1, 2)
+    SELECT region, category, {DS}, round(yhat, 6) AS yhat, round(lo, 6) + 0.0 AS lower, round(hi, 6) + 0.0 AS upper, round(qhat, 6) + 0.0 AS qhat,
+      round(lo - qhat, 6) + 0.0 AS yhat_lower, round(hi + qhat, 6) + 0.0 AS yhat_upper FROM i JOIN q USING (region, category) WHERE back < 28""",
+)
+def fc_conformal_cqr(star):
+    scored = cell_forecast(star, hold=84)
+    fitted, later = scored.where(F.col("back") >= 84), scored.where(F.col("back") < 84)
+    banded = intervals.residual_quantiles(fitted, later, KEYS, {"lower": 0.1, "upper": 0.9})
+    calibration = banded.where(F.col("back") >= 28)
+    test = banded.where(F.col("back") < 28).drop("y", "back")
+    df = intervals.conformal_cqr(calibration, test, KEYS, alpha=0.1)
+    return rounded(df, "yhat", "lower", "upper", "qhat", "yhat_lower", "yhat_upper")
+
+
+# --- layouts of multi-step forecasts ---------------------------------------------------------
+
+N_STEPS = 3
+LONG_SQL = (
+    SERIES_SQL
+    + """, lg AS (SELECT a.region, a.category, a.ds AS origin, k AS step, a.ds + k AS ds, b.y AS yhat FROM s a, (SELECT unnest(range(1, 4))::INTEGER AS k)
+    JOIN s b ON a.region = b.region AND a.category = b.category AND b.ds = a.ds + k - 7)"""
+)
+
+
+def _multi_step(star):
+    """Forecasts made on every day for the next three: the values a week before each target."""
+    order = Window.partitionBy(*KEYS).orderBy("ds")
+    entries = [
+        F.struct(F.lit(k).alias("step"), F.date_add("ds", k).alias("target"), F.lag("y", 7 - k).over(order).alias("yhat"))
+        for k in range(1, N_STEPS + 1)
+    ]
+    made = category_series(star).withColumn("_f", F.array(*entries))
+    long = made.select(*KEYS, F.col("ds").alias("origin"), F.inline("_f"))
+    return long.where(F.col("yhat").isNotNull()).withColumnRenamed("target", "ds")
+
+
+@query(
+    "fc_collect",
+    LONG_SQL
+    + f""" SELECT region, category, {DS}, coalesce(max(CASE WHEN step = 1 THEN yhat END), -1) AS yhat1, coalesce(max(CASE WHEN step = 2 THEN yhat END), -1) AS yhat2,
+    coalesce(max(CASE WHEN step = 3 THEN yhat END), -1) AS yhat3 FROM lg GROUP BY region, category, lg.ds""",
+)
+def fc_collect(star):
+    return collecting.by_target(_multi_step(star), KEYS, N_STEPS).fillna(-1)
+
+
+@query(
+    "fc_collect_origin",
+    LONG_SQL
+    + """ SELECT region, category, CAST(lg.origin + 1 AS VARCHAR) AS ds, coalesce(max(CASE WHEN step = 1 THEN yhat END), -1) AS step0,
+    coalesce(max(CASE WHEN step = 2 THEN yhat END), -1) AS step1, coalesce(max(CASE WHEN step = 3 THEN yhat END), -1) AS step2
+    FROM lg GROUP BY region, category, lg.origin""",
+)
+def fc_collect_origin(star):
+    return collecting.by_origin(_multi_step(star), KEYS, N_STEPS).fillna(-1)
+
+
+@query(
+    "fc_collect_latest",
+    LONG_SQL
+    + """, r AS (SELECT *, dense_rank() OVER (PARTITION BY region, category ORDER BY origin DESC) - 1 AS age FROM lg),
+    u AS (SELECT region, category, ds, -1.0::DOUBLE AS y, yhat, CAST(age AS INTEGER) AS age FROM r WHERE age <= 2)
+    SELECT region, category, CAST(ds AS VARCHAR) AS ds, y, yhat, age FROM u
+    UNION ALL SELECT region, category, CAST(ds AS VARCHAR), y, -1.0::DOUBLE, -1 FROM s""",
+)
+def fc_collect_latest(star):
+    newest = collecting.latest(_multi_step(star), KEYS, previous=2)
+    history = category_series(star)
+    both = collecting.with_history(newest, history, KEYS)
+    ages = newest.select(*KEYS, "ds", "yhat", "age")
+    past = both.where(F.col("y").isNotNull()).withColumn("age", F.lit(-1))
+    return past.unionByName(ages, allowMissingColumns=True).fillna(-1, ["y", "yhat"])
+
+
+HOURLY_SQL = """WITH hrs AS (SELECT unnest(generate_series((SELECT min(date_trunc('hour', ts)) FROM events), (SELECT max(date_trunc('hour', ts)) FROM events), INTERVAL 1 HOUR)) AS ds),
+  ids AS (SELECT DISTINCT event_type AS "ID" FROM events), c AS (SELECT event_type AS "ID", date_trunc('hour', ts) AS ds, count(*)::DOUBLE AS y FROM events GROUP BY 1, 2),
+  h AS (SELECT ids."ID", hrs.ds, coalesce(y, 0) AS y FROM ids CROSS JOIN hrs LEFT JOIN c ON c."ID" = ids."ID" AND c.ds = hrs.ds),
+  req AS (SELECT "ID", max(ds) - INTERVAL 24 HOUR AS start FROM h GROUP BY 1)"""
+
+
+@query(
+    "fc_day_ahead",
+    HOURLY_SQL
+    + """ SELECT req."ID", strftime(start, '%Y-%m-%d %H:%M:%S') AS start, k AS step, strftime(start + to_hours(k), '%Y-%m-%d %H:%M:%S') AS ds,
+    y AS yhat, true AS complete FROM req, (SELECT unnest(range(1, 25))::INTEGER AS k) JOIN h ON h."ID" = req."ID" AND h.ds = start + to_hours(k - 24)""",
+)
+def fc_day_ahead(star):
+    """Hourly event counts; a forecast of step i is the value 24 hours before its target."""
+    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    counts = star.table("events").groupBy(F.col("event_type").alias("ID"), hour.alias("ds")).agg(
+        F.count("*").cast("double").alias("y")
+    )
+    span = counts.agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"))
+    hours = F.sequence(F.col("lo"), F.col("hi"), F.expr("interval 1 hour"))
+    ids = counts.select("ID").distinct().withColumn("_one", F.lit(1))
+    grid = ids.join(span.withColumn("_one", F.lit(1)), "_one").select("ID", F.explode(hours).alias("ds"))
+    hourly = grid.join(counts, ["ID", "ds"], "left").fillna(0.0, ["y"])
+    before = F.lag("y", 24).over(Window.partitionBy("ID").orderBy("ds"))
+    wide = hourly.select("ID", "ds", *[before.alias(f"yhat{i}") for i in range(1, 25)])
+    requests = ids.join(span.withColumn("_one", F.lit(1)), "_one").select(
+        "ID", (F.col("hi") - F.expr("interval 24 hour")).alias("start")
+    )
+    return collecting.day_ahead(wide, requests, ["ID"])
+
+
+# --- decomposable, autoregressive and pooled models ------------------------------------------
+
+
+def _split(star, days: int = 28):
+    split = series.split_tail_days(category_series(star, flags=True), KEYS, days)
+    split = materialise(split, "split")
+    return split.where(F.col("split") == "train").drop("split"), split.where(F.col("split") == "test").drop("split")
+
+
+def _decomposed(star, design: Design, config: Config, scope: str = "local"):
+    train, test = _split(star)
+    models = decomposable.fit(train, KEYS, design, config, scope)
+    return decomposable.score(test, models, KEYS, design).select(*KEYS, "ds", "y", "yhat")
+
+
+@query("fc_decomposable")
+def fc_decomposable(star):
+    return _decomposed(star, Design(), Config())
+
+
+@query("fc_decomposable_monthly_season")
+def fc_decomposable_monthly_season(star):
+    return _decomposed(star, Design(extra_seasons=((30.5, 5),)), Config())
+
+
+@query("fc_decomposable_year_ahead")
+def fc_decomposable_year_ahead(star):
+    """Monthly totals, twelve months ahead."""
+    monthly = series.monthly_series(totals(star, [*KEYS, "date"]), KEYS, value="total_sales")
+    monthly = materialise(monthly, "monthly")
+    design = Design(changepoints=5, yearly_order=3, weekly_order=0, regressors=())
+    models = decomposable.fit(monthly.select(*KEYS, "ds", "y"), KEYS, design)
+    future = series.future_frame(monthly, KEYS, 12, step="month")
+    return decomposable.score(future.select(*KEYS, "ds"), models, KEYS, design).select(*KEYS, "ds", "yhat")
+
+
+@query("fc_logistic_cap")
+def fc_logistic_cap(star):
+    """Forecasts stay between 0 and the largest training value of their series."""
+    train, test = _split(star)
+    models = decomposable.fit(train, KEYS, Design())
+    scored = decomposable.score(test, models, KEYS, Design())
+    caps = decomposable.series_scaling(train, KEYS).select(*KEYS, "cap")
+    joined = scored.select(*KEYS, "ds", "yhat").join(caps, KEYS)
+    return joined.withColumn("inside", F.col("yhat").between(F.lit(0.0), F.col("cap")))
+
+
+@query("fc_tune")
+def fc_tune(star):
+    train, _ = _split(star)
+    best = decomposable.tune(train, KEYS, Design())
+    return rounded(best, "loss")
+
+
+@query("fc_multiplicative")
+def fc_multiplicative(star):
+    return _decomposed(star, Design(), Config(mode="multiplicative"))
+
+
+@query("fc_seasonal_ar")
+def fc_seasonal_ar(star):
+    split = series.split_tail_days(category_series(star, flags=True), KEYS, 28)
+    return seasonal_ar.forecast(split, KEYS)
+
+
+@query("fc_seasonal_ar_monthly")
+def fc_seasonal_ar_monthly(star):
+    monthly = series.monthly_series(totals(star, [*KEYS, "date"]), KEYS, value="total_sales")
+    monthly = materialise(monthly.select(*KEYS, "ds", "y"), "monthly")
+    known = monthly.withColumn("split", F.lit("train"))
+    future = series.future_frame(monthly, KEYS, 12, step="month").select(*KEYS, "ds")
+    frame = known.unionByName(future.withColumn("split", F.lit("future")), allowMissingColumns=True)
+    return seasonal_ar.forecast(frame, KEYS, regressors=[], orders=((0, 0), (1, 0), (2, 0), (1, 1)), d=0, seasonal_d=1, m=12)
+
+
+@query("fc_seasonal_ar_plain")
+def fc_seasonal_ar_plain(star):
+    """Without a season: differenced once, up to three lags."""
+    split = series.split_tail_days(category_series(star, flags=True), KEYS, 28)
+    orders = tuple((p, 0) for p in range(4))
+    return seasonal_ar.forecast(split, KEYS, regressors=[], orders=orders, d=1, seasonal_d=0)
+
+
+@query("fc_forest_pooled")
+def fc_forest_pooled(star):
+    daily = totals(star, ["region", "date"]).select(
+        "region", F.col("date").alias("ds"), F.col("total_sales").cast("double").alias("y")
+    )
+    events = star.summarise(["date", "event"], n=("count", "sales")).where(rows.event_present())
+    features = materialise(stats.daily_features(daily, ["region"], events), "features")
+    split = series.split_fraction(features, ["region"], 0.8)
+    train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+    names = ["day_of_week", "month", "lag_1", "lag_7", "rolling_mean_7", "rolling_std_7", "is_event"]
+    return forests.forest_forecast(train, test, names).select("region", "ds", "y", "yhat")
+
+
+@query("fc_two_step")
+def fc_two_step(star):
+    """Series by store: about four of five days are empty, so the limit is set at 0.7 here."""
+    keys = ["store"]
+    dense = series.daily_series(totals(star, ["store", "date"]), keys, value="total_sales", flags=False)
+    share = F.avg((F.col("y") == 0).cast("double")).over(Window.partitionBy(*keys))
+    sparse = dense.withColumn("_zero", share).where(F.col("_zero") > 0.7).drop("_zero")
+    sparse = sparse.withColumns(
+        {"day_of_week": dates.day_of_week(F.col("ds")), "month": F.month("ds"), "event": _event_flag()}
+    )
+    split = materialise(series.split_tail_days(sparse, keys, 28), "sparse")
+    train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+    scored = forests.two_step_forecast(train, test, keys, ["day_of_week", "month", "event"])
+    return scored.select(*keys, "ds", "y", "predicted_sale", "yhat")
+
+
+def _event_flag():
+    return calendar_event(F.col("ds")).isNotNull().cast("int")
+
+
+@query("fc_global")
+def fc_global(star):
+    return _decomposed(star, Design(), Config(), scope="global")
+
+
+@query("fc_global_season_local_trend")
+def fc_global_season_local_trend(star):
+    train, test = _split(star)
+    models = decomposable.fit_global_season(train, KEYS, Design())
+    return decomposable.score(test, models, KEYS, Design()).select(*KEYS, "ds", "y", "yhat")
+
+
+@query("fc_components")
+def fc_components(star):
+    train, test = _split(star)
+    models = decomposable.fit(train, KEYS, Design())
+    scored = decomposable.score(test, models, KEYS, Design(), clamp=False)
+    return scored.select(*KEYS, "ds", "yhat", *Design().groups())
+
+
+def _model_table(star):
+    """Decomposable models of two thirds of the series, cell means of all."""
+    train, _ = _split(star)
+    fitted = decomposable.fit(train, KEYS, Design()).where(F.col("category") != "PROMO")
+    means = cell_mean.fit(train, KEYS)
+    return selection.decomposable_rows(fitted, KEYS).unionByName(selection.cell_mean_rows(means, KEYS))
+
+
+@query("snk_model_table")
+def snk_model_table(star):
+    path = new_path(star.spark, "models")
+    sinks.write_models(_model_table(star), path)
+    stored = star.spark.read.parquet(path)
+    return stored.select("model_type", *KEYS, "last_date", F.size("coefficients").alias("n_coefficients"))
+
+
+@query("fc_batch_score")
+def fc_batch_score(star):
+    models = materialise(_model_table(star), "models")
+    known = models.select(*KEYS).distinct().withColumn("steps", F.lit(7))
+    unknown = known.withColumn("category", F.concat(F.col("category"), F.lit(" (other)")))
+    return selection.batch_score(known.unionByName(unknown), models, KEYS, Design())
+
+
+@query("snk_metrics")
+def snk_metrics(star):
+    metrics = forecast_metrics(_candidates(star).where(F.col("yhat").isNotNull()), [*KEYS, "model_type"])
+    params = metrics.select(*KEYS, "model_type", F.create_map(F.lit("horizon"), F.lit("28")).alias("params"))
+    path = new_path(star.spark, "metrics")
+    sinks.write_metrics(sinks.metrics_rows(metrics, params, KEYS), path)
+    read = star.spark.read.parquet(path)
+    return read.select(*KEYS, "model_type", "mae", F.col("params")["horizon"].alias("horizon"))
+
+
+def _run(star):
+    daily = totals(star, [*KEYS, "date"]).withColumnRenamed("total_sales", "sales")
+    return forecast_run.run(daily, KEYS)
+
+
+@query("run_forecasts")
+def run_forecasts(star):
+    """Clean, split, tune, fit three models, measure, keep the best per series."""
+    return _run(star).forecasts
+
+
+# --- classification --------------------------------------------------------------------------
+
+
+def _labelled(star, where):
+    columns = ["sell_price", "category", "department", "region", "event", "yearweek", "date", "store_code", "sales"]
+    return star.fact(*columns, where=where)
+
+
+@query("ml_logistic_train")
+def ml_logistic_train(star):
+    """Share of training rows whose units sold the model predicts."""
+    lines = materialise(_labelled(star, year_range(1995, 2000)), "labelled")
+    labels = aggregates.value_counts(lines, "sales", classify.N_LABELS)
+    train = rows.rows_of_items(lines, labels, "sales")
+    scored = classify.predict(classify.train(train), train)
+    hit = (F.col("sales") == F.col("predicted_sales")).cast("double")
+    return scored.agg(F.count("*").alias("n"), F.avg(hit).alias("accuracy"))
+
+
+@query("ml_logistic_predict")
+def ml_logistic_predict(star):
+    lines = materialise(_labelled(star, year_range(1995, 1999)), "labelled")
+    labels = aggregates.value_counts(lines, "sales", classify.N_LABELS)
+    model = classify.train(rows.rows_of_items(lines, labels, "sales"))
+    later = _labelled(star, year_range(2000)).drop("sales")
+    return classify.predict(model, later)

@@ -6,10 +6,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillcast.functions import dates
+from tillcast.functions.scalars import significant
 from tillcast.operators import evaluation, joins, reshape, rows, series, stats, windows
 from tillcast.plans.catalog import query, rounded
 from tillcast.plans.retail_queries import totals
 from tillcast.plans.table_queries import EVENT_LIST_SQL, event_list
+from tillcast.sources.shared import materialise
 
 KEYS = ["region", "category"]
 
@@ -42,7 +44,7 @@ def category_series(star, flags: bool = False):
 
 @query(
     "ts_daily_series",
-    SERIES_SQL.replace(" AS ds\n", " AS ds\n") + f" SELECT region, category, y, {FLAGS_SQL}, {DS} FROM s",
+    SERIES_SQL + f" SELECT region, category, y, {FLAGS_SQL}, {DS} FROM s",
 )
 def ts_daily_series(star):
     return category_series(star, flags=True)
@@ -655,8 +657,6 @@ METRICS_SQL = (
     round(mase, 6) AS mase FROM m""",
 )
 def ev_metrics(star):
-    from tillcast.functions.scalars import significant
-
     df = evaluation.forecast_metrics(naive_forecasts(star), MODEL_KEYS)
     df = rounded(df, "rmse", "mse", "mae", "mape_nonzero", "r2", "smape", "mase")
     return df.withColumn("mape", significant(F.col("mape"), 9))
@@ -680,7 +680,7 @@ def ev_metrics_basic(star):
     FROM c JOIN q USING (model_type) WHERE rmse BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) GROUP BY model_type, q1, q2, q3""",
 )
 def ev_compare_models(star):
-    metrics = evaluation.forecast_metrics(naive_forecasts(star), MODEL_KEYS)
+    metrics = materialise(evaluation.forecast_metrics(naive_forecasts(star), MODEL_KEYS), "metrics")
     kept = rows.cap_by_quantile(metrics, ["rmse", "smape"])
     box = evaluation.compare_models(kept, "rmse")
     return rounded(box, "q1", "median", "q3", "whisker_low", "whisker_high")

@@ -13,7 +13,7 @@ from tillcast.plans.retail_queries import (
     in_year, totals,
 )
 from tillcast.sources import files, sinks
-from tillcast.sources.shared import new_path
+from tillcast.sources.shared import materialise, new_path
 from tillcast.sources.star import item_is, store_code_is
 
 # One row per region, category and month with the days of the month as columns d_1 .. d_31.
@@ -76,7 +76,6 @@ def src_csv_lenient(star):
     )
     spoiled.write.csv(path, header=True)
     schema = T.StructType.fromDDL("store string, total_sales int")
-    # Both columns are read, so that a malformed number drops its line.
     return files.read_csv_lenient(star.spark, path, schema)
 
 
@@ -314,7 +313,7 @@ def flt_coerce_numeric(star):
 )
 def flt_quantile_cap(star):
     measures = star.summarise(["store", "item"], a=("sum", "sales"), b=("max", "sell_price"))
-    return rows.cap_by_quantile(measures, ["a", "b"])
+    return rows.cap_by_quantile(materialise(measures, "measures"), ["a", "b"])
 
 
 @query(

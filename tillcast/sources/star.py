@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillcast.functions.dates import iso_yearweek
 from tillcast.functions.scalars import exact_mean
@@ -36,6 +37,9 @@ BASE_COLUMNS = [
 FACT_COLUMNS = [*BASE_COLUMNS, *PART_COLUMNS, *STORE_COLUMNS, *REGION_COLUMNS]
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def calendar_event(date: Column) -> Column:
     named = F.lit(None).cast("string")
     for (month, day), name in CALENDAR_EVENTS.items():
@@ -65,7 +69,11 @@ class SalesStar:
         self.root = root
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        """A table of the star; its schema is read from the files once per process."""
+        path = f"{self.root}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def _lines(self) -> DataFrame:
         date = F.col("l_shipdate").cast("date")
