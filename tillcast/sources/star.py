@@ -5,9 +5,10 @@ dimension that no requested column needs can be left out without changing any ro
 :meth:`SalesStar.fact` join only what a query reads, and lets :meth:`SalesStar.summarise`
 aggregate the line items by their foreign keys before a dimension is joined.
 
-No broadcast is forced here. Part and supplier grow with the data, so Spark decides by their
-measured size (``spark.sql.autoBroadcastJoinThreshold``, again at run time under AQE) and
-otherwise falls back to a sort-merge join, whose hot keys AQE splits.
+Part and supplier grow with the data. Their rows are counted once per process (a scan without
+columns, answered from the file footers). Below :data:`BROADCAST_ROWS` a dimension is broadcast
+and the fact is grouped right after the join. Above it the line items are grouped by foreign key
+first, and the grouped rows meet the dimension in a sort-merge join, whose hot keys AQE splits.
 """
 
 from __future__ import annotations
@@ -63,10 +64,23 @@ def store_code_is(store_code: str) -> Column:
     return F.col("_supp") == F.lit(int(store_code))
 
 
+# Largest dimension that is broadcast; at under 100 bytes a row this stays below 25 MB.
+BROADCAST_ROWS = 250_000
+
+_row_counts: dict[str, int] = {}
+
+
 class SalesStar:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, broadcast_rows: int = BROADCAST_ROWS):
         self.spark = spark
         self.root = root
+        self.broadcast_rows = broadcast_rows
+
+    def _is_small(self, name: str) -> bool:
+        path = f"{self.root}/{name}.parquet"
+        if path not in _row_counts:
+            _row_counts[path] = self.table(name).count()
+        return _row_counts[path] <= self.broadcast_rows
 
     def table(self, name: str) -> DataFrame:
         """A table of the star; its schema is read from the files once per process."""
@@ -107,10 +121,16 @@ class SalesStar:
         return stores.select(F.col("s_suppkey").alias("_supp"), *picked)
 
     def _join_items(self, df: DataFrame, columns: list[str]) -> DataFrame:
-        return df.join(self.items(*columns), "_part", "left") if columns else df
+        if not columns:
+            return df
+        items = self.items(*columns)
+        return df.join(F.broadcast(items) if self._is_small("part") else items, "_part", "left")
 
     def _join_stores(self, df: DataFrame, columns: list[str]) -> DataFrame:
-        return df.join(self.stores(*columns), "_supp", "left") if columns else df
+        if not columns:
+            return df
+        stores = self.stores(*columns)
+        return df.join(F.broadcast(stores) if self._is_small("supplier") else stores, "_supp", "left")
 
     @staticmethod
     def _split(columns) -> tuple[list[str], list[str], list[str]]:
@@ -141,27 +161,31 @@ class SalesStar:
     ) -> DataFrame:
         """Group the fact by ``by`` with measures such as ``total=("sum", "sales")``.
 
-        Supported functions are ``sum, count, avg, min, max``. The line items are first grouped
-        by the foreign keys (map-side combine makes a hot key one row per task), and only the
-        grouped rows meet a dimension, so the raw rows are never shuffled for a join.
-        With both an item and a store attribute, items are joined first and the second grouping
-        happens on ``(store key, item attributes)``.
+        Supported functions are ``sum, count, avg, min, max``. Small dimensions are broadcast
+        first. Before a large one is joined, the rows are grouped by its foreign key: map-side
+        combine makes a hot key one row per task, and the raw rows are not shuffled for a join.
+        With two large dimensions the items are joined first and the grouping happens on
+        ``(store key, item attributes)``.
         """
-        base, item, store = self._split(by)
+        _, item, store = self._split(by)
         df = self._lines()
         if where is not None:
             df = df.where(where)
-        parts = _partials(measures)
-        if item and store:
+        large_item = bool(item) and not self._is_small("part")
+        large_store = bool(store) and not self._is_small("supplier")
+        if not large_item:
             df = self._join_items(df, item)
-            df = df.groupBy("_supp", *item, *base).agg(*[p.first() for p in parts])
+        if not large_store:
             df = self._join_stores(df, store)
-        elif item or store:
-            key = "_part" if item else "_supp"
-            df = df.groupBy(key, *base).agg(*[p.first() for p in parts])
-            df = self._join_items(df, item) if item else self._join_stores(df, store)
-        else:
+        if not (large_item or large_store):
             return df.groupBy(*by).agg(*[_direct(n, f, c) for n, (f, c) in measures.items()])
+        parts = _partials(measures)
+        if large_item and large_store:
+            df = self._join_items(df, item)
+        key = "_supp" if large_store else "_part"
+        later = store if large_store else item
+        df = df.groupBy(key, *[c for c in by if c not in later]).agg(*[p.first() for p in parts])
+        df = self._join_stores(df, store) if large_store else self._join_items(df, item)
         merged = df.groupBy(*by).agg(*[p.merge() for p in parts])
         return merged.select(*by, *[_final(n, f, c) for n, (f, c) in measures.items()])
 
