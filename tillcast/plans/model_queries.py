@@ -345,16 +345,14 @@ def fc_day_ahead(star):
     counts = star.table("events").groupBy(F.col("event_type").alias("ID"), hour.alias("ds")).agg(
         F.count("*").cast("double").alias("y")
     )
-    span = counts.agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"))
-    hours = F.sequence(F.col("lo"), F.col("hi"), F.expr("interval 1 hour"))
-    ids = counts.select("ID").distinct().withColumn("_one", F.lit(1))
-    grid = ids.join(span.withColumn("_one", F.lit(1)), "_one").select("ID", F.explode(hours).alias("ds"))
+    span = counts.agg(F.struct(F.min("ds").alias("lo"), F.max("ds").alias("hi"))).scalar()
+    hours = F.sequence(span["lo"], span["hi"], F.expr("interval 1 hour"))
+    ids = counts.select("ID").distinct()
+    grid = ids.select("ID", F.explode(hours).alias("ds"))
     hourly = grid.join(counts, ["ID", "ds"], "left").fillna(0.0, ["y"])
     before = F.lag("y", 24).over(Window.partitionBy("ID").orderBy("ds"))
     wide = hourly.select("ID", "ds", *[before.alias(f"yhat{i}") for i in range(1, 25)])
-    requests = ids.join(span.withColumn("_one", F.lit(1)), "_one").select(
-        "ID", (F.col("hi") - F.expr("interval 24 hour")).alias("start")
-    )
+    requests = ids.select("ID", (span["hi"] - F.expr("interval 24 hour")).alias("start"))
     return collecting.day_ahead(wide, requests, ["ID"])
 
 

@@ -58,20 +58,19 @@ def agg_sales_stats(star):
 
 
 def _total_query(name: str, keys: list[str], order: str, condition: str = "true", where=None):
-    """Total sales by ``keys`` in a stated order."""
+    """Total sales by ``keys`` in a stated order. ``where`` builds the filter when run: columns
+    need a session, and registering must not."""
     shown = ", ".join("CAST(date AS VARCHAR) AS date" if k == "date" else k for k in keys)
     sql = (
         f"WITH {{fact}} SELECT {shown}, CAST(sum(sales) AS BIGINT) AS total_sales "
         f"FROM fact WHERE {condition} GROUP BY {', '.join(f'fact.{k}' for k in keys)}"
     )
-    sort = []
-    for part in order.split(", "):
-        column, _, direction = part.partition(" ")
-        sort.append(F.desc(column) if direction == "DESC" else F.asc(column))
+    parsed = [(part.split(" ")[0], part.endswith(" DESC")) for part in order.split(", ")]
 
     @query(name, sql)
     def build(star):
-        return totals(star, keys, where).orderBy(*sort)
+        sort = [F.desc(c) if down else F.asc(c) for c, down in parsed]
+        return totals(star, keys, where() if where else None).orderBy(*sort)
 
 
 _total_query("agg_by_category", ["category"], "total_sales DESC, category")
@@ -83,14 +82,14 @@ _total_query("agg_store_item", ["store", "item"], "store, total_sales DESC, item
 _total_query("agg_region_dept", ["region", "department"], "region, department")
 _total_query("srt_multi_key", ["store", "category"], "store, total_sales DESC, category")
 _total_query(
-    "agg_by_event", ["event"], "total_sales DESC, event", HAS_EVENT_SQL, rows.event_present()
+    "agg_by_event", ["event"], "total_sales DESC, event", HAS_EVENT_SQL, rows.event_present
 )
 _total_query(
     "agg_event_category",
     ["event", "category"],
     "event, total_sales DESC, category",
     HAS_EVENT_SQL,
-    rows.event_present(),
+    rows.event_present,
 )
 
 

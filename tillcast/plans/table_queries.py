@@ -242,40 +242,45 @@ def prj_null_counts(star):
 
 
 def _filtered(name: str, condition_sql: str, where=None, after=None):
-    """Rows of the fact under a filter; ``where`` on base columns prunes the scan."""
+    """Rows of the fact under a filter. ``where`` on base columns prunes the scan, ``after``
+    uses joined attributes; both build their column when the query is run."""
     columns = ["item", "store_code", "region", "category", "department", "date", "yearweek", "event", "sales"]
     shown = ", ".join("CAST(date AS VARCHAR) AS date" if c == "date" else c for c in columns)
 
     @query(name, f"WITH {{fact}} SELECT {shown} FROM fact WHERE {condition_sql}")
     def build(star):
-        df = star.fact(*columns, where=where)
-        return df if after is None else df.where(after)
+        df = star.fact(*columns, where=where() if where else None)
+        return df.where(after()) if after else df
 
 
-_filtered("flt_year", "year(fact.date) = 1998", files.year_range(1998))
+_filtered("flt_year", "year(fact.date) = 1998", lambda: files.year_range(1998))
 _filtered(
     "flt_year_month",
     "year(fact.date) = 1998 AND month(fact.date) = 5",
-    files.year_range(1998) & (F.month("date") == 5),
+    lambda: files.year_range(1998) & (F.month("date") == 5),
 )
-_filtered("flt_date_range", IN_YEAR_SQL.replace("date BETWEEN", "fact.date BETWEEN"), in_year())
+_filtered("flt_date_range", IN_YEAR_SQL.replace("date BETWEEN", "fact.date BETWEEN"), in_year)
 _filtered(
     "flt_keys",
     f"region = '{REGION}' AND yearweek = {WEEK}",
-    in_week(),
-    F.col("region") == REGION,
+    in_week,
+    lambda: F.col("region") == REGION,
 )
-_filtered("flt_keys_category", f"category = '{CATEGORY}'", None, F.col("category") == CATEGORY)
-_filtered("flt_keys_department", f"department = '{DEPARTMENT}'", None, F.col("department") == DEPARTMENT)
-_filtered("flt_keys_item", f"item = '{ITEM}'", item_is(ITEM))
-_filtered("flt_keys_store_code", f"store_code = '{STORE_CODE}'", store_code_is(STORE_CODE))
+_filtered("flt_keys_category", f"category = '{CATEGORY}'", None, lambda: F.col("category") == CATEGORY)
+_filtered(
+    "flt_keys_department", f"department = '{DEPARTMENT}'", None, lambda: F.col("department") == DEPARTMENT
+)
+_filtered("flt_keys_item", f"item = '{ITEM}'", lambda: item_is(ITEM))
+_filtered("flt_keys_store_code", f"store_code = '{STORE_CODE}'", lambda: store_code_is(STORE_CODE))
 _filtered(
     "flt_series",
     f"item = '{ITEM}' AND store_code = '{STORE_CODE}'",
-    item_is(ITEM) & store_code_is(STORE_CODE),
+    lambda: item_is(ITEM) & store_code_is(STORE_CODE),
+)
+_filtered(
+    "flt_yearweek_gt", "yearweek > 200001", lambda: F.col("date") > dates.week_dates(200001)[1]
 )
-_filtered("flt_yearweek_gt", "yearweek > 200001", F.col("date") > dates.week_dates(200001)[1])
-_filtered("flt_event_present", HAS_EVENT_SQL, rows.event_present())
+_filtered("flt_event_present", HAS_EVENT_SQL, rows.event_present)
 
 
 @query(

@@ -8,8 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "array<double>": T.ArrayType(T.DoubleType()),
+    "map<string,string>": T.MapType(T.StringType(), T.StringType()),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """``"name type, name type"`` as a schema; unlike DDL text it needs no running session."""
+    pairs = [part.split(" ", 1) for part in spec.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 SALES_ID_COLUMNS = ["id", "item", "category", "department", "store", "store_code", "region"]
