@@ -31,7 +31,8 @@ def two_step_forecast(
     ``yhat`` is the predicted class times the predicted amount; the actual class of a test row
     is not used. Amounts are pooled over series as a ratio to the series' mean sale. The
     features are a few calendar values, so both forests train on one weighted row per feature
-    combination, however many rows there are.
+    combination, however many rows there are. A combination stands for many rows, all of which
+    would hardly ever miss a bootstrap sample, so the trees differ by feature subsets only.
     """
     is_sale = (F.col("y") > 0).cast("double")
     sizes = train.groupBy(*keys).agg(F.avg(F.when(F.col("y") > 0, F.col("y"))).alias("_size"))
@@ -47,10 +48,11 @@ def two_step_forecast(
     classifier = RandomForestClassifier(
         featuresCol="_x", labelCol="_sale", weightCol="_w", predictionCol="predicted_sale",
         probabilityCol="_prob", rawPredictionCol="_raw", numTrees=trees, seed=SEED,
+        bootstrap=False,
     ).fit(assembler.transform(cells))
     regressor = RandomForestRegressor(
         featuresCol="_x", labelCol="_ratio", weightCol="_w", predictionCol="_amount",
-        numTrees=trees, seed=SEED,
+        numTrees=trees, seed=SEED, bootstrap=False,
     ).fit(assembler.transform(amounts))
     scored = regressor.transform(classifier.transform(assembler.transform(test)))
     sized = scored.join(sizes, keys, "left")
