@@ -241,3 +241,21 @@ def test_large_and_small_dimensions_give_the_same(spark, small, by):
     joined = SalesStar(spark, small).summarise(by, **measures)
     grouped_first = SalesStar(spark, small, broadcast_rows=0).summarise(by, **measures)
     assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, grouped_first.collect()), key=str)
+
+
+def test_member_lists_of_large_clusters_are_spread(spark):
+    df = spark.createDataFrame([(i % 2, f"m{i:03d}", float(i)) for i in range(200)], "cluster int, m string, x double")
+    whole = aggregates.cluster_stats(df, ["x"], "m").collect()
+    assert {(r["cluster"], r["part"]) for r in whole} == {(0, 0), (1, 0)}
+    spread = aggregates.cluster_stats(df, ["x"], "m", per_row=10).collect()
+    assert len(spread) > 2 and max(len(r["members"].split(", ")) for r in spread) < 40
+    for c in (0, 1):
+        members = sorted(m for r in spread if r["cluster"] == c for m in r["members"].split(", "))
+        assert members == [r for w in whole if w["cluster"] == c for r in w["members"].split(", ")]
+
+
+def test_describe_by_group(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 5)], "g string, v int")
+    got = {r["g"]: (r["count"], r["mean"], r["std"], r["p50"], r["max"]) for r in aggregates.describe(df, "v", ["g"]).collect()}
+    assert got["b"] == (1, 5.0, None, 5.0, 5.0) and got["a"][:2] == (2, 2.0) and got["a"][3:] == (2.0, 3.0)
+    assert aggregates.describe(df, "v").first()["count"] == 3

@@ -30,20 +30,14 @@ def correlation(df: DataFrame, by: list[str], a: str, b: str, name: str) -> Data
 
 def describe(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, exact quartiles and max, per group or over everything."""
-    by = by or []
-    moments = df.groupBy(*by).agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"),
-    )
-    quartiles = exact_quantiles(df, by, value, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    if by:
-        return moments.join(quartiles, by, "left")
-    return moments.withColumn("_one", F.lit(0)).join(
-        quartiles.withColumn("_one", F.lit(0)), "_one", "left"
-    ).drop("_one")
+    moments = lambda v: [
+        F.count(v).alias("count"),
+        F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+    ]
+    return exact_quantiles(df, by or [], value, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, moments)
 
 
 def price_profile(df: DataFrame, key: str) -> DataFrame:
@@ -55,11 +49,11 @@ def price_profile(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def cluster_stats(df: DataFrame, features: list[str], member: str) -> DataFrame:
-    """Mean and sample std of each feature per cluster, two decimals, and the member list.
+def cluster_stats(df: DataFrame, features: list[str], member: str, per_row: int = 1000) -> DataFrame:
+    """Mean and sample std of each feature per cluster, two decimals, and the member lists.
 
-    The list is for reports over a few hundred members. :func:`cluster_members` keeps the same
-    content as rows where clusters are large.
+    A cluster of up to ``per_row`` members is one row with ``part`` 0. The list of a larger one
+    is spread over as many parts as it needs, so that no task holds a whole cluster.
     """
     columns = []
     for f in features:
@@ -67,12 +61,17 @@ def cluster_stats(df: DataFrame, features: list[str], member: str) -> DataFrame:
             F.round(F.avg(f), 2).alias(f"{f}_mean"),
             F.round(F.stddev_samp(f), 2).alias(f"{f}_std"),
         ]
-    members = F.array_join(F.sort_array(F.collect_list(F.col(member).cast("string"))), ", ")
-    return df.groupBy("cluster").agg(*columns, members.alias("members"))
-
-
-def cluster_members(df: DataFrame, member: str) -> DataFrame:
-    return df.select("cluster", member)
+    stats = df.groupBy("cluster").agg(*columns, F.ceil(F.count("*") / per_row).alias("_parts"))
+    # One row per cluster: the number of clusters is a parameter of the segmentation.
+    stats = F.broadcast(stats)
+    placed = df.select("cluster", F.col(member).cast("string").alias("_member")).join(
+        stats.select("cluster", "_parts"), "cluster"
+    )
+    part = F.pmod(F.xxhash64("_member"), F.col("_parts")).cast("int")
+    lists = placed.groupBy("cluster", part.alias("part")).agg(
+        F.array_join(F.sort_array(F.collect_list("_member")), ", ").alias("members")
+    )
+    return lists.join(stats.drop("_parts"), "cluster")
 
 
 def event_stats(by_year: DataFrame) -> DataFrame:

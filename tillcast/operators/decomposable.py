@@ -153,11 +153,14 @@ def _merge_sums(keys: list[str]):
     return merge
 
 
-def column_products(train: DataFrame, keys: list[str], design: Design) -> DataFrame:
+def column_products(
+    train: DataFrame, keys: list[str], design: Design, spread: bool = False
+) -> DataFrame:
     """Per key: row count, column products and products with both targets.
 
-    ``train`` comes from :func:`training_frame`. Partial sums of a key that is spread over many
-    tasks (one model for all series) are merged in two steps.
+    ``train`` comes from :func:`training_frame`, where a series lies in one task. With
+    ``spread`` a key has rows in many tasks (one model for all series), and its partial sums are
+    merged in two steps.
     """
     scaled = train.select(
         *keys,
@@ -168,11 +171,13 @@ def column_products(train: DataFrame, keys: list[str], design: Design) -> DataFr
     types = {f.name: f.dataType.simpleString() for f in train.schema}
     key_ddl = ", ".join(f"{k} {types[k]}" for k in keys)
     partial = scaled.mapInPandas(_partial_sums(design.width(), keys), f"{key_ddl}, {_SUMS}")
-    salted = partial.withColumn("salt", F.spark_partition_id() % 64)
-    first = salted.groupBy(*keys, "salt").applyInPandas(
-        _merge_sums([*keys, "salt"]), f"{key_ddl}, salt int, {_SUMS}"
-    )
-    return first.drop("salt").groupBy(*keys).applyInPandas(_merge_sums(keys), f"{key_ddl}, {_SUMS}")
+    if spread:
+        salted = partial.withColumn("salt", F.spark_partition_id() % 64)
+        merged = salted.groupBy(*keys, "salt").applyInPandas(
+            _merge_sums([*keys, "salt"]), f"{key_ddl}, salt int, {_SUMS}"
+        )
+        partial = merged.drop("salt")
+    return partial.groupBy(*keys).applyInPandas(_merge_sums(keys), f"{key_ddl}, {_SUMS}")
 
 
 def _active_and_penalty(design: Design, config: Config) -> tuple[np.ndarray, np.ndarray]:
@@ -251,7 +256,8 @@ def fit(
     scaling = series_scaling(train, keys)
     if scope == "global":
         pooled = framed.withColumn("_pool", F.lit("all"))
-        shared = solve(column_products(pooled, ["_pool"], design), ["_pool"], design, [config])
+        products = column_products(pooled, ["_pool"], design, spread=True)
+        shared = solve(products, ["_pool"], design, [config])
         scaling = scaling.withColumn("_pool", F.lit("all"))
         models = scaling.join(shared, "_pool").drop("_pool")
     else:

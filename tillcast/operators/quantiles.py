@@ -9,6 +9,8 @@ few values inside it one by one, and the rank is read off those counts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,15 +25,24 @@ def series_quantile(value: str | Column, q: float) -> Column:
     return F.percentile(value, F.lit(q))
 
 
-def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame,
+    by: list[str],
+    value: str,
+    probs: dict[str, float],
+    also: Callable[[str], list[Column]] | None = None,
+) -> DataFrame:
     """One row per group with one linear-interpolated quantile column per entry of ``probs``.
 
-    NULL values are ignored; a group with only NULLs has no row.
+    NULL values are ignored; a group with only NULLs has no row. ``also`` adds aggregates of the
+    value column to the first of the two passes over ``df``.
     """
     group = by or ["_all"]
     base = df if by else df.withColumn("_all", F.lit(0))
     base = base.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    brackets = _brackets(base, group, probs)
+    extra = also("_v") if also else []
+    sketched = _sketch(base, group, probs, extra)
+    brackets = _brackets(sketched, group, probs)
     counts = _bracket_counts(base, brackets, group)
     running = Window.partitionBy(*group, "_prob").orderBy(F.asc_nulls_first("_v"))
     upto = F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
@@ -47,19 +58,34 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, f
         failed = F.raise_error(F.lit("the quantile lies outside its bracket")).cast("double")
         columns.append(F.when(exact, low + (high - low) * share).otherwise(failed).alias(name))
     result = ranked.groupBy(*group).agg(*columns)
+    if extra:
+        kept = [c for c in sketched.columns if c not in ("_rows", "_s", "_min", "_max", *group)]
+        known = sketched.select(*[F.col(c).alias(f"_g_{c}") for c in group], *kept)
+        result = result.join(known, _same_group(group)).select(*group, *kept, *probs)
     return result if by else result.drop("_all")
 
 
-def _brackets(base: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
-    """Per group and quantile: the zero-based ranks it needs and values around them."""
+def _sketch(base: DataFrame, group: list[str], probs: dict[str, float], extra: list[Column]):
     margin = 3.0 / ACCURACY
     ends = [e for q in probs.values() for e in (max(0.0, q - margin), min(1.0, q + margin))]
-    sketched = base.groupBy(*group).agg(
+    return base.groupBy(*group).agg(
         F.count("*").alias("_rows"),
         F.percentile_approx("_v", ends, ACCURACY).alias("_s"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
+        *extra,
     )
+
+
+def _same_group(group: list[str]) -> Column:
+    on = F.lit(True)
+    for c in group:
+        on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return on
+
+
+def _brackets(sketched: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
+    """Per group and quantile: the zero-based ranks it needs and values around them."""
     # With few rows a rank is wider than the margin: the bracket is the whole group.
     few = F.col("_rows") <= ACCURACY
     entries = []
@@ -84,10 +110,7 @@ def _widened(x: Column, direction: int) -> Column:
 
 def _bracket_counts(base: DataFrame, brackets: DataFrame, group: list[str]) -> DataFrame:
     """Row counts per value inside a bracket; all rows below it are counted under NULL."""
-    on = F.lit(True)
-    for c in group:
-        on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    placed = base.join(brackets, on & (F.col("_v") <= F.col("_hi")))
+    placed = base.join(brackets, _same_group(group) & (F.col("_v") <= F.col("_hi")))
     kept = F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))
     return placed.groupBy(*group, "_prob", "_r0", "_r1", "_share", kept.alias("_v")).agg(
         F.count("*").alias("_n")

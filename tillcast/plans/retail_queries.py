@@ -352,7 +352,7 @@ def _binned_stores(star):
        round(avg(average_price), 2) AS average_price_mean,
        round(stddev_samp(average_price), 2) AS average_price_std,
        round(avg(price_std), 2) AS price_std_mean, round(stddev_samp(price_std), 2) AS price_std_std,
-       string_agg(store, ', ' ORDER BY store) AS members FROM c GROUP BY cluster""",
+       0::INTEGER AS part, string_agg(store, ', ' ORDER BY store) AS members FROM c GROUP BY cluster""",
 )
 def agg_cluster_stats(star):
     return aggregates.cluster_stats(
