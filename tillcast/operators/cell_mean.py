@@ -24,12 +24,27 @@ def fit(train: DataFrame, keys: list[str]) -> DataFrame:
     """One row per series. ``coefficients`` holds 21 cell means, 7 weekday means and the series
     mean; NULL where the training part has no such day."""
     code = cell_code(F.col("day_of_week"), F.col("is_christmas"), F.col("is_holiday"))
-    means = [F.avg(F.when(code == i, F.col("y"))) for i in range(N_CELLS)]
-    means += [F.avg(F.when(F.col("day_of_week") == d, F.col("y"))) for d in range(7)]
-    means.append(F.avg("y"))
-    return train.groupBy(*keys).agg(
-        F.array(*means).alias("coefficients"), F.max("ds").alias("last_date")
+    cells = train.groupBy(*keys, code.alias("_code")).agg(
+        F.sum("y").alias("_sum"), F.count("y").alias("_n"), F.max("ds").alias("_last")
     )
+    # At most 21 cells per series are listed.
+    listed = cells.groupBy(*keys).agg(
+        F.collect_list(F.struct("_code", "_sum", "_n")).alias("_cells"), F.max("_last").alias("last_date")
+    )
+    exact = F.transform(F.sequence(F.lit(0), F.lit(N_CELLS - 1)), lambda i: _mean(lambda c: c["_code"] == i))
+    weekday = F.transform(
+        F.sequence(F.lit(0), F.lit(6)), lambda d: _mean(lambda c: F.floor(c["_code"] / 3) == d)
+    )
+    coefficients = F.concat(exact, weekday, F.array(_mean(lambda c: F.lit(True))))
+    return listed.select(*keys, coefficients.alias("coefficients"), "last_date")
+
+
+def _mean(chosen) -> Column:
+    """Mean of ``y`` over the listed cells that ``chosen`` accepts, NULL without any."""
+    cells = F.filter("_cells", chosen)
+    total = F.aggregate(cells, F.lit(0.0), lambda s, c: s + c["_sum"])
+    rows = F.aggregate(cells, F.lit(0).cast("bigint"), lambda n, c: n + c["_n"])
+    return total / F.nullif(rows, F.lit(0))
 
 
 def predicted(coefficients: Column) -> Column:

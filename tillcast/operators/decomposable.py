@@ -194,6 +194,13 @@ def _active_and_penalty(design: Design, config: Config) -> tuple[np.ndarray, np.
     return np.array(active), np.array(penalty)
 
 
+def _solution(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    try:
+        return np.linalg.solve(left, right)
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(left, right, rcond=None)[0]
+
+
 def _solve(design: Design, configs: list[Config], keys: list[str]):
     prepared = [(_active_and_penalty(design, c), c.mode) for c in configs]
     width = design.width()
@@ -210,7 +217,7 @@ def _solve(design: Design, configs: list[Config], keys: list[str]):
                     rhs = np.asarray(row["rhs"] if mode == "additive" else row["rhs_log"])
                     left = gram[np.ix_(active, active)] + np.diag(penalty[active])
                     beta = np.zeros(width)
-                    beta[active] = np.linalg.lstsq(left, rhs[active], rcond=None)[0]
+                    beta[active] = _solution(left, rhs[active])
                     records.append((*[row[k] for k in keys], i, mode, beta))
             yield pd.DataFrame(records, columns=[*keys, "config", "mode", "coefficients"])
 
