@@ -81,31 +81,22 @@ def batch_score(requests: DataFrame, models: DataFrame, keys: list[str], design:
     stored = models.groupBy(*keys).agg(
         F.min_by(F.struct("model_type", "last_date", "coefficients", "params"), order).alias("_m")
     )
-    joined = requests.join(stored, keys, "left")
-    unknown = joined.where(F.col("_m").isNull()).select(
-        *keys, F.lit(None).cast("date").alias("ds"), F.lit(None).cast("double").alias("yhat"),
-        F.lit(None).cast("string").alias("model_type"), F.lit("unknown series").alias("status"),
-    )
-    known = joined.where(F.col("_m").isNotNull()).select(*keys, "steps", "_m.*")
-    days = known.select(
-        *keys, "model_type", "coefficients", "params",
-        F.explode(F.sequence(F.date_add("last_date", 1), F.date_add("last_date", F.col("steps")))).alias("ds"),
-    )
-    days = with_calendar_flags(days)
-    means = days.where(F.col("model_type") == "cell_mean").withColumn(
-        "yhat", cell_mean.predicted(F.col("coefficients"))
+    joined = requests.join(stored, keys, "left").select(*keys, "steps", "_m.*")
+    ahead = F.sequence(F.date_add("last_date", 1), F.date_add("last_date", F.col("steps")))
+    # A request without a model keeps one row, with a NULL date.
+    days = with_calendar_flags(joined.select("*", F.explode_outer(ahead).alias("ds")))
+    seasonal, means = F.col("model_type") == "decomposable", F.col("model_type") == "cell_mean"
+    fields = days.withColumns(
+        {
+            "_means": F.when(means, F.col("coefficients")),
+            "coefficients": F.when(seasonal, F.col("coefficients")),
+            "t0": F.col("params")["t0"].cast("date"),
+            "span": F.col("params")["span"].cast("double"),
+            "cap": F.col("params")["cap"].cast("double"),
+            "mode": F.col("params")["seasonality_mode"],
+        }
     )
-    seasonal = days.where(F.col("model_type") == "decomposable")
-    fitted = seasonal.select(
-        *keys, "ds", "model_type", *design.regressors,
-        F.struct(
-            F.col("params")["t0"].cast("date").alias("t0"),
-            F.col("params")["span"].cast("double").alias("span"),
-            F.col("params")["cap"].cast("double").alias("cap"),
-            F.col("params")["seasonality_mode"].alias("mode"),
-            "coefficients",
-        ).alias("_model"),
-    )
-    fitted = score(fitted.select("*", "_model.*").drop("_model"), None, keys, design)
-    columns = [*keys, "ds", "yhat", "model_type", F.lit("ok").alias("status")]
-    return fitted.select(*columns).unionByName(means.select(*columns)).unionByName(unknown)
+    scored = score(fields, None, keys, design)
+    yhat = F.when(seasonal, F.col("yhat")).when(means, cell_mean.predicted(F.col("_means")))
+    status = F.when(F.col("model_type").isNull(), "unknown series").otherwise("ok")
+    return scored.select(*keys, "ds", yhat.alias("yhat"), "model_type", status.alias("status"))

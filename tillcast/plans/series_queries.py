@@ -34,9 +34,9 @@ FLAGS_SQL = """CAST(month(ds) = 12 AND day(ds) IN (23, 24, 26) AS INTEGER) AS is
   CAST(isodow(ds) - 1 AS INTEGER) AS day_of_week, CAST(isodow(ds) >= 6 AS INTEGER) AS is_weekend"""
 
 
-def category_series(star, flags: bool = False):
-    daily = totals(star, [*KEYS, "date"])
-    return series.daily_series(daily, KEYS, value="total_sales", flags=flags)
+def category_series(star, flags: bool = False, keys=KEYS):
+    daily = totals(star, [*keys, "date"])
+    return series.daily_series(daily, keys, value="total_sales", flags=flags)
 
 
 # --- building and cleaning -------------------------------------------------------------------
@@ -628,14 +628,14 @@ FORECAST_SQL = (
 MODEL_KEYS = [*KEYS, "model_type"]
 
 
-def naive_forecasts(star):
-    lagged = windows.lags(category_series(star), KEYS, "ds", "y", [7, 14])
-    test = series.split_tail_days(lagged, KEYS, 28).where(F.col("split") == "test")
+def naive_forecasts(star, keys=KEYS):
+    lagged = windows.lags(category_series(star, keys=keys), keys, "ds", "y", [7, 14])
+    test = series.split_tail_days(lagged, keys, 28).where(F.col("split") == "test")
     entries = F.array(
         F.struct(F.lit("week_before").alias("model_type"), F.col("lag_7").alias("yhat")),
         F.struct(F.lit("two_weeks_before").alias("model_type"), F.col("lag_14").alias("yhat")),
     )
-    return test.select(*KEYS, "ds", "y", F.inline(entries))
+    return test.select(*keys, "ds", "y", F.inline(entries))
 
 
 METRICS_SQL = (
@@ -671,6 +671,20 @@ def ev_metrics_basic(star):
     return rounded(evaluation.basic_metrics(naive_forecasts(star), MODEL_KEYS), "rmse", "mae", "mape")
 
 
+@query(
+    "top_items_low_error",
+    METRICS_SQL.replace("category", "department")
+    + """ SELECT department, round(avg(mape_nonzero), 6) AS mape FROM m WHERE model_type = 'week_before' GROUP BY 1
+    ORDER BY mape, department LIMIT 20""",
+)
+def top_items_low_error(star):
+    keys = ["region", "department"]
+    forecasts = naive_forecasts(star, keys).where(F.col("model_type") == "week_before")
+    metrics = evaluation.basic_metrics(forecasts, [*keys, "model_type"])
+    by_item = rounded(metrics.groupBy("department").agg(F.avg("mape").alias("mape")), "mape")
+    return rows.bottom_k(by_item, "mape", ["department"], 20)
+
+
 @query(
     "ev_compare_models",
     METRICS_SQL

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast import schemas
 from tillcast.functions import dates, scalars
 from tillcast.operators import aggregates, joins, reshape, rows, series, windows
 from tillcast.plans.catalog import query, rounded
@@ -283,6 +284,17 @@ _filtered(
 _filtered("flt_event_present", HAS_EVENT_SQL, rows.event_present)
 
 
+@query(
+    "chk_required_columns",
+    """WITH {fact} SELECT store, item, CAST(sum(sales) AS BIGINT) AS total_sales FROM fact GROUP BY 1, 2""",
+)
+def chk_required_columns(star):
+    """The check happens while the plan is built; a missing column raises before any job."""
+    daily = totals(star, ["store", "item", "date"])
+    checked = schemas.require_columns(daily, {"store", "item", "date", "total_sales"})
+    return checked.groupBy("store", "item").agg(F.sum("total_sales").alias("total_sales"))
+
+
 @query(
     "flt_in_list",
     """WITH {fact}, top AS (SELECT item, sum(sales) AS t FROM fact GROUP BY item ORDER BY t DESC, item LIMIT 5)
