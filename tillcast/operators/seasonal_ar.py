@@ -3,7 +3,7 @@
 Each series is one group of a grouped pandas function, as long as the calendar. The search fits
 an ordinary regression of the differenced series on its last values, on values whole seasons
 back and on the calendar regressors, and keeps the order with the lowest AIC. There are no
-moving-average terms; that is the difference to the reference's model class.
+moving-average terms; that is the difference to a full seasonal ARIMA model.
 """
 
 from __future__ import annotations

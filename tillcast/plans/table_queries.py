@@ -93,8 +93,8 @@ def src_parquet(star):
     """WITH {fact} SELECT region, CAST(sum(sales) AS BIGINT) AS total_sales FROM fact GROUP BY region""",
 )
 def src_table_query(star):
-    sql = "SELECT region, sum(sales) AS total_sales FROM ds_market GROUP BY region"
-    return files.query_table(star.spark, sql, {"ds_market": star.fact("region", "sales")})
+    sql = "SELECT region, sum(sales) AS total_sales FROM sales_fact GROUP BY region"
+    return files.query_table(star.spark, sql, {"sales_fact": star.fact("region", "sales")})
 
 
 @query("src_describe_schema")
