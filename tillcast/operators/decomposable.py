@@ -6,9 +6,10 @@ the series length), merged by key, and solved once per configuration: trying 32
 costs 32 small solves, not 32 passes over the data. A fitted model is a row of coefficients and
 scoring is a column expression.
 
-Differences from the usual Bayesian fit of such models: changepoint effects have a normal instead of a Laplace
-prior (ridge); saturating growth is a linear trend clamped to [floor, cap]; multiplicative mode
-is an additive fit of log(1 + y). A daily season has no effect on daily data and is left out.
+Differences from the usual Bayesian fit of such models: changepoint effects have a normal
+instead of a Laplace prior (ridge); saturating growth is a linear trend clamped to [floor, cap];
+multiplicative mode is an additive fit of log(1 + y). A daily season has no effect on daily data
+and is left out.
 """
 
 from __future__ import annotations
