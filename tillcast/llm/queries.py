@@ -6,8 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import exact_dedup
+import public_tokenizers
+
+from tillcast.llm import exact_dedup, packing, piece_encoding, token_counts, warc
 from tillcast.llm.frames import table
+from tillcast.sources.shared import new_path
+
+
+def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_encoding.encode(table(spark, sf_dir, "documents"), model)
+    return piece_encoding.digests(piece_encoding.decode(encoded, model))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    counted = token_counts.token_counts(table(spark, sf_dir, "documents"), model)
+    return counted.selectExpr("id AS doc_id", "n_words", "n_distinct", "n_tokens")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    placed = packing.pack(table(spark, sf_dir, "documents"), tokenizer)
+    return placed.selectExpr(
+        "id AS doc_id", "piece", "start", "length", "crc AS ids_crc32", "sequence_id", "offset"
+    )
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,10 +54,47 @@ WITH bare AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(bare) AS text_sha256 FROM ranked
 """
 
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.resolved(warc.read_archives(spark, path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def _base32(hexadecimal: str) -> str:
+    """SQL for 40 hexadecimal digits in base32: 5 of them are 4 of the other."""
+    digits = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+    groups = []
+    for at in range(1, 41, 5):
+        value = f"CAST('0x' || substr({hexadecimal}, {at}, 5) AS BIGINT)"
+        groups += [f"substr({digits}, ({value} // {32**k}) % 32 + 1, 1)" for k in (3, 2, 1, 0)]
+    return " || ".join(groups)
+
+
+OP8_SQL = f"""
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS sha
+  FROM pages
+), ranked AS (
+  SELECT *, max(page_id) OVER (PARTITION BY sha, payload_bytes) AS original FROM hashed
+)
+SELECT page_id, payload_bytes, {_base32("sha")} AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM ranked
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_piece_encoding": op3_piece_encoding,
+    "op4_token_counts": op4_token_counts,
+    "op5_packing": op5_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_warc": op8_warc,
 }
 
 SQL: dict[str, str] = {
     "op7_exact_dedup": OP7_SQL,
+    "op8_warc": OP8_SQL,
 }
