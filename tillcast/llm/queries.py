@@ -8,11 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tillcast.llm import exact_dedup, packing, piece_encoding, token_counts, warc
+from tillcast.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    packing,
+    piece_encoding,
+    secret_scan,
+    token_counts,
+    warc,
+)
 from tillcast.llm.frames import table
 from tillcast.sources.shared import new_path
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    return secret_scan.counts_and_digest(found)
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = piece_encoding.encode(table(spark, sf_dir, "documents"), model)
@@ -63,6 +81,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(table(spark, sf_dir, "documents"))
+    return found.selectExpr("id AS doc_id", "held_out", "lang_pred", "score")
+
+
 def _base32(hexadecimal: str) -> str:
     """SQL for 40 hexadecimal digits in base32: 5 of them are 4 of the other."""
     digits = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
@@ -87,11 +110,14 @@ FROM ranked
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_license_scan": op2_license_scan,
     "op3_piece_encoding": op3_piece_encoding,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_warc": op8_warc,
+    "op9_language_id": op9_language_id,
 }
 
 SQL: dict[str, str] = {
