@@ -10,6 +10,7 @@ import public_tokenizers
 
 from tillcast.llm import (
     exact_dedup,
+    jaccard_join,
     language_id,
     license_scan,
     packing,
@@ -86,6 +87,43 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = jaccard_join.similar_components(docs, words=4, percent=85)
+    return found.selectExpr("id AS doc_id", "n AS n_shingles", "component_id")
+
+
+OP10_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 3, 1))) AS i
+        FROM worded WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 85 * (x.n + y.n - common)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT r.doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles,
+       min(r.other) AS component_id
+FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id
+GROUP BY r.doc_id
+"""
+
+
 def _base32(hexadecimal: str) -> str:
     """SQL for 40 hexadecimal digits in base32: 5 of them are 4 of the other."""
     digits = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
@@ -118,9 +156,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 SQL: dict[str, str] = {
     "op7_exact_dedup": OP7_SQL,
     "op8_warc": OP8_SQL,
+    "op10_jaccard_join": OP10_SQL,
 }
