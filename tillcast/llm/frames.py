@@ -37,6 +37,23 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+#: Row keys up to this number (8 MB) are broadcast to pick their rows; beyond it a join does.
+BROADCAST_ROWS = 1_000_000
+
+
+def picked(df: DataFrame, rows: DataFrame, how: str, key: str = "row") -> DataFrame:
+    """Semi- or anti-join of ``df`` on a row key; the written table ``rows`` has that column."""
+    small = rows.count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(rows) if small else rows, key, how)
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose keys (column ``row``, as operators number them) are given."""
+    key = fresh(docs, "row_key")
+    rows = materialise(dropped.select(F.col("row").alias(key)), "dropped-rows")
+    return picked(with_row_key(docs, key), rows, "left_anti", key).select(*docs.columns)
+
+
 def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in pieces, so that a task holds few texts as Python objects at a time."""
     for batch in batches:
@@ -44,4 +61,13 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-__all__ = ["fresh", "keyed_texts", "materialise", "sliced", "table", "with_row_key"]
+__all__ = [
+    "fresh",
+    "keyed_texts",
+    "materialise",
+    "picked",
+    "sliced",
+    "table",
+    "with_row_key",
+    "without",
+]

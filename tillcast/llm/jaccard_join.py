@@ -27,11 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.frames import keyed_texts, materialise, sliced
+from tillcast.llm.frames import keyed_texts, materialise, picked, sliced
 from tillcast.llm.shingles import Shingler, bitmap, bitmap_width, folded, identity
 
-#: Row keys up to this number (8 MB) are broadcast to pick their rows; beyond it a join does.
-BROADCAST_ROWS = 1_000_000
 #: Shingles at most that are known as frequent (2 MB, broadcast).
 FREQUENT = 250_000
 NODE_ROWS = 512
@@ -130,12 +128,6 @@ def _whole_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
         )
 
 
-def _picked(df: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """Semi- or anti-join on ``row``; small key tables are broadcast."""
-    small = rows.count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(rows) if small else rows, "row", how)
-
-
 def _array(column: pa.Array, dtype=np.uint64) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), dtype) for x in column]
 
@@ -424,9 +416,9 @@ def similar_components(
     )
 
     def whole_sets(rows: DataFrame, name: str) -> DataFrame:
-        picked = _picked(texts, rows, "left_semi")
+        chosen = picked(texts, rows, "left_semi")
         return materialise(
-            picked.mapInArrow(lambda b: _whole_sets(b, words), "row bigint, tokens binary"), name
+            chosen.mapInArrow(lambda b: _whole_sets(b, words), "row bigint, tokens binary"), name
         )
 
     # 1. One row of each class of equal sets.
@@ -445,7 +437,7 @@ def similar_components(
         .select("row")
     )
     copies = materialise(copies, "shingle-copies")
-    single = _picked(sets.where("n > 0"), copies, "left_anti")
+    single = picked(sets.where("n > 0"), copies, "left_anti")
 
     # 2. and 3. Groups of a shared shingle, and their first rows.
     postings = single.select(F.explode("prefix").alias("token"), "row", F.col("n").cast("int"))

@@ -13,6 +13,7 @@ from tillcast.llm import (
     jaccard_join,
     language_id,
     license_scan,
+    nearest,
     packing,
     piece_encoding,
     secret_scan,
@@ -74,6 +75,10 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(bare) AS text_sha2
 """
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -153,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_piece_encoding": op3_piece_encoding,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_nearest": op6_nearest,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
