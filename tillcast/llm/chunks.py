@@ -9,6 +9,7 @@ back to each occurrence would shuffle several times the input.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 
@@ -29,7 +30,7 @@ class ChunkTable:
     def _add(self, chunks: list[str]) -> None:
         ids = self._encode(chunks)
         length = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for part in ids for x in part), np.int32, int(length.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(length.sum()))
         start = np.cumsum(length) - length + len(self._flat)
         self._index.update(zip(chunks, range(len(self._start), len(self._start) + len(chunks))))
         self._flat = np.concatenate([self._flat, flat])
@@ -40,7 +41,7 @@ class ChunkTable:
         """Ids of texts given as chunks: all ids one after another, and each text's end."""
         if len(self._index) > self._limit:
             self._clear()
-        chunks = [c for text in texts for c in text]
+        chunks = list(chain.from_iterable(texts))
         index = self._index
         if new := [c for c in dict.fromkeys(chunks) if c not in index]:
             self._add(new)
