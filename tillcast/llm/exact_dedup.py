@@ -1,7 +1,7 @@
 """Exact duplicates by deterministic block naming.
 
 Each text, without its white space, is cut into blocks of a fixed number of bytes. All blocks are
-sorted and every distinct one gets an integer name. Adjacent names of a text are paired and the
+sorted (by a digest and then by content) and every distinct one gets an integer name. Adjacent names of a text are paired and the
 pairs named in the same way until each text has a single name. Equal names at the same level mean
 equal texts and no others: names stand for content, not for a hash of it.
 
@@ -32,7 +32,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         points = pc.utf8_length(batch.column(2))
         for start in range(0, batch.num_rows, 1000):
             texts = batch.column(2).slice(start, 1000).cast(pa.binary()).to_pylist()
-            at, pos, count, digest, block = [], [], [], [], []
+            at, pos, count, digest, mark, block = [], [], [], [], [], []
             for i, raw in enumerate(texts, start):
                 bare = raw.translate(None, WHITE)
                 parts = [bare[k : k + size] for k in range(0, len(bare), size)] or [b""]
@@ -40,6 +40,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
                 pos += range(len(parts))
                 count += [len(parts)] * len(parts)
                 digest += [hashlib.sha256(bare).hexdigest()] + [None] * (len(parts) - 1)
+                mark += [hashlib.md5(p).digest() for p in parts]
                 block += parts
             take = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -50,9 +51,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
                     pa.array(count, pa.int32()),
                     points.take(take).cast(pa.int64()),
                     pa.array(digest, pa.string()),
+                    pa.array(mark, pa.binary()),
                     pa.array(block, pa.binary()),
                 ],
-                ["row", "id", "pos", "n_blocks", "points", "digest", "block"],
+                ["row", "id", "pos", "n_blocks", "points", "digest", "mark", "block"],
             )
 
 
@@ -99,15 +101,23 @@ def _ranks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Re
         yield out(*held, first, True)
 
 
-def named(df: DataFrame, keys: list[str], tie: list[str], step: str) -> DataFrame:
-    """``df`` without ``keys``, with ``name``: the rank of its keys among all distinct keys."""
-    schema = df.schema
+def named(
+    df: DataFrame, keys: list[str], tie: list[str], step: str, mark: str | None = None
+) -> DataFrame:
+    """``df`` without ``keys``, with ``name``: the rank of its keys among all distinct keys.
+
+    ``mark`` is a short column that equal keys share and by which long keys are sorted first:
+    the bounds of the partitions are then marks and not keys, which the driver has to hold.
+    """
+    first = [mark] if mark else keys
+    schema = df.drop(mark).schema if mark else df.schema
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in keys]
     columns += [f"`{c}` {schema[c].dataType.simpleString()}" for c in keys]
     columns += ["edge boolean", "part int", "rank bigint"]
     ranked = materialise(
-        df.repartitionByRange(*keys, *tie)
-        .sortWithinPartitions(*keys, *tie)
+        df.repartitionByRange(*first, *tie)
+        .sortWithinPartitions(*dict.fromkeys([*first, *keys, *tie]))
+        .drop(*([mark] if mark else []))
         .mapInArrow(lambda b: _ranks(b, keys), ", ".join(columns)),
         step,
     )
@@ -151,12 +161,13 @@ def exact_classes(
     """
     kind = docs.schema[id_col].dataType.simpleString()
     schema = (
-        f"row bigint, id {kind}, pos int, n_blocks int, points bigint, digest string, block binary"
+        f"row bigint, id {kind}, pos int, n_blocks int, points bigint, digest string, "
+        "mark binary, block binary"
     )
     blocks = keyed_texts(docs, id_col, text_col).mapInArrow(
         lambda b: _blocks(b, block_bytes), schema
     )
-    base = materialise(named(blocks, ["block"], ["row", "pos"], "blocks"), "named-blocks")
+    base = materialise(named(blocks, ["block"], ["row", "pos"], "blocks", "mark"), "named-blocks")
     heads = base.where("pos = 0").select("row", "id", "n_blocks", "points", "digest", "name")
     most = base.agg(F.max("n_blocks")).first()[0] or 1
     identities = None
