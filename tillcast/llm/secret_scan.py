@@ -19,10 +19,12 @@ Regular expressions give matches and the text between them; positions are sums o
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.frames import fresh, materialise, with_row_key
+from tillcast.llm.frames import fresh, materialise, settled, with_row_key
 
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -48,46 +50,64 @@ ENCODINGS = {
 _BLOCK = 128
 
 
-def _sum(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0), lambda x, y: x + y)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where a lambda in it uses the value often.
 
+    Columns of an inner projection give no such guarantee: the optimizer may put their expression
+    into a lambda.
+    """
+    return F.transform(F.array(value), body)[0]
 
-def _with_spans(df: DataFrame, text: str, name: str, pattern: str, order: int) -> DataFrame:
-    """Adds ``name``: the spans of the pattern's matches, and ``name_match``: the matches.
 
-    The ends are running sums of lengths, summed by blocks so that the work stays in proportion.
-    """
-    match, lengths, blocks, before = (f"{name}_{x}" for x in ("match", "length", "block", "before"))
-    gaps = F.when(F.size(match) > 0, F.split(text, pattern, -1))
-    last = F.floor((F.size(lengths) - 1) / _BLOCK).cast("int")
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """``combine`` of each value with all before it, from 0; by blocks, so that the work stays
+    nearly in proportion to the number of values."""
 
-    def part(at: Column, n: Column | int) -> Column:
-        return _sum(F.slice(F.col(lengths), at + 1, n))
+    def over(v: Column) -> Column:
+        def part(at: Column, n: Column | int) -> Column:
+            return F.aggregate(F.slice(v, at + 1, n), F.lit(0), combine)
+
+        last = F.floor((F.size(v) - 1) / _BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: part(b * _BLOCK, _BLOCK))
+
+        def before(w: Column) -> Column:
+            return F.transform(
+                w, lambda _, b: F.aggregate(F.slice(w, F.lit(1), b), F.lit(0), combine)
+            )
+
+        def ended(e: Column) -> Column:
+            def one(_: Column, i: Column) -> Column:
+                block = F.floor(i / _BLOCK).cast("int")
+                return combine(e[block], part(block * _BLOCK, i % _BLOCK + 1))
+
+            return F.transform(v, one)
+
+        return _let(blocks, lambda w: _let(before(w), ended))
+
+    return _let(values, over)
 
-    df = df.withColumn(match, F.regexp_extract_all(text, F.lit(pattern), 0))
-    df = df.withColumn(name, gaps)
-    df = df.withColumn(
-        lengths,
-        F.transform(match, lambda m, i: F.length(m) + F.length(F.col(name)[i])),
-    )
-    sums = F.transform(F.sequence(F.lit(0), last), lambda b: part(b * _BLOCK, _BLOCK))
-    df = df.withColumn(blocks, F.when(F.size(match) > 0, sums))
-    df = df.withColumn(
-        before, F.transform(blocks, lambda _, b: _sum(F.slice(F.col(blocks), F.lit(1), b)))
-    )
 
-    def span(m: Column, i: Column) -> Column:
-        block = F.floor(i / _BLOCK).cast("int")
-        end = F.col(before)[block] + part(block * _BLOCK, i % _BLOCK + 1)
+_SPAN = "array<struct<start: bigint, order: int, end: bigint, kind: string>>"
+
+
+def _spans(text: Column, matches: Column, pattern: str, kind: str, order: int) -> Column:
+    """Spans of the pattern's matches. A match ends where the lengths of the matches and of the
+    text between them, up to it, add up to."""
+
+    def lengths(gaps: Column) -> Column:
+        return F.transform(matches, lambda m, i: F.length(m) + F.length(gaps[i]))
+
+    def span(m: Column, end: Column) -> Column:
         return F.struct(
             (end - F.length(m)).cast("long").alias("start"),
             F.lit(order).alias("order"),
             end.cast("long").alias("end"),
-            F.lit(name).alias("kind"),
+            F.lit(kind).alias("kind"),
         )
 
-    df = df.withColumn(name, F.transform(match, span))
-    return df.drop(lengths, blocks, before)
+    ends = _running(_let(F.split(text, pattern, -1), lengths), lambda a, x: a + x)
+    found = _let(ends, lambda e: F.transform(matches, lambda m, i: span(m, e[i])))
+    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(_SPAN))
 
 
 def _upper_tail(z: Column) -> Column:
@@ -215,13 +235,17 @@ def find_secrets(
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     run = rf"[A-Za-z0-9+/_=-]{{{least_run},}}"
-    for order, (name, pattern) in enumerate(zip(KINDS, (ASSIGN, ACCESS, HEX, run))):
-        df = _with_spans(df, "text", name, pattern, order)
-    value = F.when(F.size("assign") > 0, F.regexp_extract_all("text", F.lit(ASSIGN), 2))
-    df = df.withColumn("assign_value", value).withColumn(
-        "assign", F.filter("assign", lambda _, i: F.length(F.col("assign_value")[i]) >= 8)
+    text = F.col("text")
+    for order, (kind, pattern) in enumerate(zip(KINDS, (ASSIGN, ACCESS, HEX, run))):
+        matches = f"{kind}_match"
+        df = df.withColumn(matches, F.regexp_extract_all(text, F.lit(pattern), 0))
+        df = df.withColumn(kind, _spans(text, F.col(matches), pattern, kind, order))
+    long_enough = _let(
+        F.regexp_extract_all(text, F.lit(ASSIGN), 2),
+        lambda values: F.filter("assign", lambda _, i: F.length(values[i]) >= 8),
     )
-    df = df.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
+    assign = F.when(F.size("assign") > 0, long_enough).otherwise(F.col("assign"))
+    df = df.withColumn("base", F.array_sort(F.concat(assign, "access", "hex")))
 
     def outside(s: Column) -> Column:
         return ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"]))
@@ -234,7 +258,11 @@ def find_secrets(
         "secret-spans",
     )
     runs = scanned.select("row", F.inline("runs"))
-    found = discoveries(randomness(runs, "run"), rate)
+    # Written, since a filter on the evidence would compute it again for each of its conditions.
+    tested = materialise(
+        randomness(runs, "run").select("row", "span", "encoding", "n", "evidence"), "tested-runs"
+    )
+    found = discoveries(tested, rate)
     more = found.groupBy("row").agg(F.collect_list("span").alias("more"))
     spans = F.when(F.col("more").isNull(), F.col("base")).otherwise(
         F.array_sort(F.concat("base", "more"))
@@ -265,36 +293,37 @@ def counts_and_digest(found: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redact(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stored: bool = False
+) -> DataFrame:
     """``docs`` with every secret in the text replaced by its kind in brackets.
 
     Spans that overlap are replaced as one, under the kind of the first. Rows without a secret
-    stay as they are, null texts included; no row is dropped.
+    stay as they are, null texts included; no row is dropped. ``stored`` spares writing the
+    input where it comes straight from files.
     """
+    docs = settled(docs, stored)
     key = fresh(docs, "secret_row")
-    spans, limit = fresh(docs, "secret_spans"), fresh(docs, "secret_limit")
+    spans = fresh(docs, "secret_spans")
     keyed = with_row_key(docs, key)
     found = find_secrets(keyed, id_col, text_col, row_col=key).where(F.size("spans") > 0)
     found = found.select(F.col("row").alias(key), F.col("spans").alias(spans))
-    # The furthest end before each span; a span that starts there or later is a new hole.
-    ends = F.transform(
-        spans,
-        lambda _, i: F.when(i == 0, F.lit(0).cast("long")).otherwise(
-            F.array_max(F.transform(F.slice(F.col(spans), F.lit(1), i), lambda s: s["end"]))
-        ),
-    )
-
-    def piece(s: Column, i: Column) -> Column:
-        before = F.col(limit)[i]
-        kept = F.substring(
-            F.col(text_col), (before + 1).cast("int"), (s["start"] - before).cast("int")
-        )
-        return F.when(s["start"] >= before, F.concat(kept, F.lit("["), s["kind"], F.lit("]"))).otherwise("")
-
-    last = F.array_max(F.transform(spans, lambda s: s["end"]))
-    rest = F.substring(F.col(text_col), (last + 1).cast("int"), F.length(text_col))
-    joined = keyed.join(found, key, "left").withColumn(limit, ends)
-    text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(
-        F.concat(F.array_join(F.transform(spans, piece), ""), rest)
-    )
+    text = F.col(text_col)
+
+    def replaced(ends: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            # The furthest end before; a span that starts there or later is a new hole.
+            before = F.when(i == 0, F.lit(0)).otherwise(ends[i - 1])
+            kept = F.substring(
+                text, (before + 1).cast("int"), (s["start"] - before).cast("int")
+            )
+            hole = F.concat(kept, F.lit("["), s["kind"], F.lit("]"))
+            return F.when(s["start"] >= before, hole).otherwise("")
+
+        rest = F.substring(text, (F.array_max(ends) + 1).cast("int"), F.length(text))
+        return F.concat(F.array_join(F.transform(spans, piece), ""), rest)
+
+    ends = _running(F.transform(spans, lambda s: s["end"].cast("int")), lambda a, x: F.greatest(a, x))
+    joined = keyed.join(found, key, "left")
+    text = F.when(F.col(spans).isNull(), text).otherwise(_let(ends, replaced))
     return joined.withColumn(text_col, text).select(*docs.columns)
