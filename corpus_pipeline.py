@@ -33,14 +33,14 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one of each group that similar texts connect: five words, similarity of 0.8."""
-    found = jaccard_join.similar_components(docs, words=5, percent=80)
+    found = jaccard_join.similar_components(docs, words=5, percent=80, stored=True)
     return without(docs, found.where("row <> keep_row"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts by their kinds; drops nothing. ``n_chars`` follows."""
     before = fresh(docs, "length_before")
-    redacted = secret_scan.redact(docs.withColumn(before, F.length("text")))
+    redacted = secret_scan.redact(docs.withColumn(before, F.length("text")), stored=True)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         length = F.length("text").cast(kind)

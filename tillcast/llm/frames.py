@@ -28,6 +28,15 @@ def with_row_key(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def settled(df: DataFrame, stored: bool) -> DataFrame:
+    """``df`` as a written table, for operators that read it more than once by row keys.
+
+    Rows are numbered as they are read, which is the same each time for files and may not be
+    for the result of a shuffle. ``stored`` says that ``df`` comes straight from files.
+    """
+    return df if stored else materialise(df, "input")
+
+
 def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row, id, text`` of every row; a null text counts as empty. Other columns are left out."""
     return docs.select(
@@ -48,7 +57,10 @@ def picked(df: DataFrame, rows: DataFrame, how: str, key: str = "row") -> DataFr
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose keys (column ``row``, as operators number them) are given."""
+    """``docs`` without the rows whose keys (column ``row``, as operators number them) are given.
+
+    ``docs`` must come straight from files, see ``settled``.
+    """
     key = fresh(docs, "row_key")
     rows = materialise(dropped.select(F.col("row").alias(key)), "dropped-rows")
     return picked(with_row_key(docs, key), rows, "left_anti", key).select(*docs.columns)
@@ -66,6 +78,7 @@ __all__ = [
     "keyed_texts",
     "materialise",
     "picked",
+    "settled",
     "sliced",
     "table",
     "with_row_key",

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.frames import keyed_texts, materialise, picked, sliced
+from tillcast.llm.frames import keyed_texts, materialise, picked, settled, sliced
 from tillcast.llm.shingles import Shingler, bitmap, bitmap_width, folded, identity
 
 #: Shingles at most that are known as frequent (2 MB, broadcast).
@@ -395,15 +395,18 @@ def similar_components(
     text_col: str = "text",
     words: int = 5,
     percent: int = 80,
+    stored: bool = False,
 ) -> DataFrame:
     """One row for each input row: ``row, id, n, component_id, keep_row``.
 
     ``n`` is the number of distinct shingles, ``component_id`` the smallest id that links reach,
     its own included, and ``keep_row`` one row of the component (that of the smallest id). A text
     without words, or a null one, has ``n`` 0 and no link. Null ids count as larger than others;
-    rows given twice are linked. An empty table gives no rows.
+    rows given twice are linked. An empty table gives no rows. ``stored`` spares writing the
+    input where it comes straight from files; it is read several times.
     """
     spark = docs.sparkSession
+    docs = settled(docs.select(id_col, text_col), stored)
     texts = keyed_texts(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     shared = spark.sparkContext.broadcast(frequent_shingles(texts, words))

@@ -417,7 +417,8 @@ def sequences(
     text_col: str = "text",
     end_id: int = 2,
 ) -> DataFrame:
-    """The packed sequences themselves: ``sequence_id, ids``. ``placed`` is written ``pack``."""
+    """The packed sequences themselves: ``sequence_id, ids``. ``placed`` is written ``pack``
+    of the same ``docs``, which come straight from files (see ``frames.settled``)."""
     ids = keyed_texts(docs, id_col, text_col).mapInArrow(
         lambda b: _ids(b, tokenizer, end_id), "row bigint, ids array<int>"
     )

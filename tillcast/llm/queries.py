@@ -81,7 +81,7 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
-    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    warc.write_archives(table(spark, sf_dir, "pages"), path, stored=True)
     return warc.resolved(warc.read_archives(spark, path)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
@@ -94,7 +94,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = jaccard_join.similar_components(docs, words=4, percent=85)
+    found = jaccard_join.similar_components(docs, words=4, percent=85, stored=True)
     return found.selectExpr("id AS doc_id", "n AS n_shingles", "component_id")
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.frames import materialise
+from tillcast.llm.frames import materialise, settled
 
 #: Revisits up to this number (16 MB of keys) are broadcast to leave their pages out of the
 #: responses; beyond it the same anti-join shuffles.
@@ -75,15 +75,17 @@ def write_archives(
     least_bytes: int = 0,
     date: str = "2024-01-01T00:00:00Z",
     file_bytes: int = 16 << 20,
+    stored: bool = False,
 ) -> None:
     """Write one record for each row to the folder ``path``.
 
     Of rows with equal payloads of at least ``least_bytes`` bytes the one with the largest id is
     a response, the others revisit it; of a row given twice the first is the response. A null
     payload is an empty one, a null id or address leaves its header line out, an empty table
-    gives no record. Files hold about ``file_bytes`` bytes.
+    gives no record. Files hold about ``file_bytes`` bytes. ``stored`` spares writing the input
+    where it comes straight from files.
     """
-    source = pages.select(
+    source = settled(pages.select(id_col, url_col, payload_col), stored).select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
         F.col(url_col).alias("url"),
