@@ -47,7 +47,9 @@ def compare(df, con, sql: str) -> str:
     left_types = {f.name: f.dataType.simpleString() for f in df.schema}
     order = sorted(left_types)
     left = [tuple(r[c] for c in order) for r in df.collect()]
-    result = con.execute(sql)
+    # As a view, as a checking statement may be used.
+    con.execute(f"CREATE OR REPLACE VIEW checked AS {sql}")
+    result = con.execute("SELECT * FROM checked")
     right_types = {d[0]: str(d[1]) for d in result.description}
     if sorted(right_types) != order:
         return f"columns {order} != {sorted(right_types)}"

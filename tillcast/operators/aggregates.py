@@ -49,29 +49,16 @@ def price_profile(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def cluster_stats(df: DataFrame, features: list[str], member: str, per_row: int = 1000) -> DataFrame:
-    """Mean and sample std of each feature per cluster, two decimals, and the member lists.
-
-    A cluster of up to ``per_row`` members is one row with ``part`` 0. The list of a larger one
-    is spread over as many parts as it needs, so that no task holds a whole cluster.
-    """
+def cluster_stats(df: DataFrame, features: list[str]) -> DataFrame:
+    """One row per cluster: mean and sample std of each feature, two decimals, and the number of
+    members. The members are the rows of ``df``; a list of them would have no bound."""
     columns = []
     for f in features:
         columns += [
             F.round(F.avg(f), 2).alias(f"{f}_mean"),
             F.round(F.stddev_samp(f), 2).alias(f"{f}_std"),
         ]
-    stats = df.groupBy("cluster").agg(*columns, F.ceil(F.count("*") / per_row).alias("_parts"))
-    # One row per cluster: the number of clusters is a parameter of the segmentation.
-    stats = F.broadcast(stats)
-    placed = df.select("cluster", F.col(member).cast("string").alias("_member")).join(
-        stats.select("cluster", "_parts"), "cluster"
-    )
-    part = F.pmod(F.xxhash64("_member"), F.col("_parts")).cast("int")
-    lists = placed.groupBy("cluster", part.alias("part")).agg(
-        F.array_join(F.sort_array(F.collect_list("_member")), ", ").alias("members")
-    )
-    return lists.join(stats.drop("_parts"), "cluster")
+    return df.groupBy("cluster").agg(*columns, F.count("*").alias("members"))
 
 
 def event_stats(by_year: DataFrame) -> DataFrame:

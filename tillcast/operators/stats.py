@@ -32,14 +32,33 @@ def mean_elasticity(price_sales: DataFrame) -> DataFrame:
     return price_elasticity(price_sales).groupBy("item").agg(F.avg("elasticity").alias("elasticity"))
 
 
-def correlation_matrix(wide: DataFrame, columns: list[str]) -> DataFrame:
-    """Correlation of every pair of columns as rows, in one aggregate over the wide rows."""
-    pairs = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("corr"))
-        for a in columns
-        for b in columns
-    ]
-    return wide.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
+def correlation_matrix(totals: DataFrame, key: str, day: str, value: str) -> DataFrame:
+    """Correlation of the daily totals of every two keys ``a <= b`` that share a day, in rows.
+
+    ``totals`` has one row per key and day; a day without a row counts as 0, which needs no rows
+    of its own: sums over the rows there are and the number of days are enough. The sums are
+    exact integers. NULL where one of the two doesn't vary.
+    """
+    left = totals.select(F.col(day).alias("_day"), F.col(key).alias("a"), F.col(value).alias("_x"))
+    right = totals.select(F.col(day).alias("_day"), F.col(key).alias("b"), F.col(value).alias("_y"))
+    exact = "decimal(38,0)"
+    products = (
+        left.join(right, "_day")
+        .where("a <= b")
+        .groupBy("a", "b")
+        .agg(F.sum((F.col("_x") * F.col("_y")).cast(exact)).alias("_xy"))
+    )
+    own = totals.groupBy(F.col(key).alias("a")).agg(
+        F.sum(F.col(value).cast(exact)).alias("_sx"),
+        F.sum((F.col(value) * F.col(value)).cast(exact)).alias("_sxx"),
+    )
+    other = own.select(F.col("a").alias("b"), F.col("_sx").alias("_sy"), F.col("_sxx").alias("_syy"))
+    days = totals.select(day).distinct().agg(F.count("*").alias("_n"))
+    joined = products.join(own, "a").join(other, "b").join(F.broadcast(days))
+    n, sx, sy = F.col("_n").cast("double"), F.col("_sx").cast("double"), F.col("_sy").cast("double")
+    cov = n * F.col("_xy").cast("double") - sx * sy
+    spread = (n * F.col("_sxx").cast("double") - sx * sx) * (n * F.col("_syy").cast("double") - sy * sy)
+    return joined.select("a", "b", F.when(spread > 0, cov / F.sqrt(spread)).alias("corr"))
 
 
 def decompose(series: DataFrame, keys: list[str]) -> DataFrame:

@@ -19,7 +19,7 @@ from tillcast.plans.series_queries import KEYS, SERIES_SQL, category_series
 from tillcast.sources import sinks
 from tillcast.sources.files import year_range
 from tillcast.sources.shared import materialise, new_path
-from tillcast.sources.star import calendar_event
+from tillcast.sources.star import CATEGORIES, PERIODS, calendar_event
 
 # --- segmentation ----------------------------------------------------------------------------
 
@@ -55,18 +55,16 @@ def cl_store_sales(star):
 
 @query("cl_store_category")
 def cl_store_category(star):
-    names = reshape.distinct_values(star.items("category"), "category")
-    matrix = reshape.pivot_sum(totals(star, ["store", "category"]), ["store"], "category", "total_sales", names)
-    return segments.segment(materialise(matrix, "store-category"), names, 3)
+    by_both = totals(star, ["store", "category"])
+    matrix = reshape.pivot_sum(by_both, ["store"], "category", "total_sales", CATEGORIES)
+    return segments.segment(materialise(matrix, "store-category"), [*CATEGORIES, reshape.OTHER], 3)
 
 
 @query("cl_region_period")
 def cl_region_period(star):
     monthly = totals(star, ["region", "date"]).withColumn("period", F.date_format("date", "yyyy_MM"))
-    monthly = materialise(monthly, "region-month")
-    periods = reshape.distinct_values(monthly, "period")
-    matrix = reshape.pivot_sum(monthly, ["region"], "period", "total_sales", periods)
-    return segments.segment(materialise(matrix, "region-period"), periods, 3)
+    matrix = reshape.pivot_sum(monthly, ["region"], "period", "total_sales", PERIODS)
+    return segments.segment(materialise(matrix, "region-period"), [*PERIODS, reshape.OTHER], 3)
 
 
 @query("cl_product_price")
@@ -146,17 +144,16 @@ CANDIDATE_SQL = (
     CELL_28
     + """, w AS (SELECT region, category, ds, back, y, lag(y, 28) OVER (PARTITION BY region, category ORDER BY ds) AS yhat FROM fl),
   cand AS (SELECT region, category, 'cell_mean' AS model_type, ds, y, yhat FROM fc WHERE back < 28
-    UNION ALL SELECT region, category, 'four_weeks_before', ds, y, CASE WHEN isodow(ds) = 7 THEN NULL ELSE yhat END FROM w WHERE back < 28)"""
+    UNION ALL SELECT region, category, 'four_weeks_before', ds, y, yhat FROM w WHERE back < 28)"""
 )
 
 
 def _candidates(star):
     scored = cell_forecast(star)
     lagged = windows.lags(scored, KEYS, "ds", "y", [28])
-    before = F.when(dates.day_of_week(F.col("ds")) != 6, F.col("lag_28"))
     entries = F.array(
         F.struct(F.lit("cell_mean").alias("model_type"), F.col("yhat").alias("yhat")),
-        F.struct(F.lit("four_weeks_before").alias("model_type"), before.alias("yhat")),
+        F.struct(F.lit("four_weeks_before").alias("model_type"), F.col("lag_28").alias("yhat")),
     )
     return lagged.where(F.col("back") < 28).select(*KEYS, "ds", "y", F.inline(entries))
 
@@ -493,9 +490,9 @@ def fc_components(star):
 
 
 def _model_table(star):
-    """Decomposable models of two thirds of the series, cell means of all."""
+    """Decomposable models and cell means of all series."""
     train, _ = _split(star)
-    fitted = decomposable.fit(train, KEYS, Design()).where(F.col("category") != "PROMO")
+    fitted = decomposable.fit(train, KEYS, Design())
     means = cell_mean.fit(train, KEYS)
     return selection.decomposable_rows(fitted, KEYS).unionByName(selection.cell_mean_rows(means, KEYS))
 

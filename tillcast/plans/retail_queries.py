@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillcast.functions import dates
 from tillcast.operators import aggregates, reshape, rows, windows
 from tillcast.plans.catalog import query, rounded
-from tillcast.sources.star import item_is, store_code_is
+from tillcast.sources.star import CATEGORIES, PERIODS, item_is, store_code_is
 
 REGION = "ASIA"
 WEEK = 199820
@@ -352,11 +352,11 @@ def _binned_stores(star):
        round(avg(average_price), 2) AS average_price_mean,
        round(stddev_samp(average_price), 2) AS average_price_std,
        round(avg(price_std), 2) AS price_std_mean, round(stddev_samp(price_std), 2) AS price_std_std,
-       0::INTEGER AS part, string_agg(store, ', ' ORDER BY store) AS members FROM c GROUP BY cluster""",
+       count(*) AS members FROM c GROUP BY cluster""",
 )
 def agg_cluster_stats(star):
     return aggregates.cluster_stats(
-        _binned_stores(star), ["total_sales", "average_price", "price_std"], "store"
+        _binned_stores(star), ["total_sales", "average_price", "price_std"]
     )
 
 
@@ -707,58 +707,65 @@ def top_items_global(star):
 # --- wide reports ----------------------------------------------------------------------------
 
 
+def _wide_sql(column: str, values: list[str]) -> str:
+    """SQL columns of the sums for each named value, and of all others."""
+    parts = [(f"{column} = '{v}'", v) for v in values]
+    named = ", ".join(f"'{v}'" for v in values)
+    parts.append((f"{column} IS NULL OR {column} NOT IN ({named})", reshape.OTHER))
+    return ", ".join(
+        f'coalesce(sum(sales) FILTER (WHERE {condition}), 0)::BIGINT AS "{name}"'
+        for condition, name in parts
+    )
+
+
+# Stores and items grow with the data, so their reports are long: no column for each.
+
+
 @query(
     "rsh_pivot_cat_store",
-    """WITH {fact}, s AS (SELECT category, store, sum(sales)::BIGINT AS total_sales FROM fact GROUP BY 1, 2)
-      PIVOT s ON store USING coalesce(sum(total_sales), 0)::BIGINT GROUP BY category""",
+    "WITH {fact} SELECT category, store, sum(sales)::BIGINT AS total_sales FROM fact GROUP BY 1, 2",
 )
 def rsh_pivot_cat_store(star):
-    stores = reshape.distinct_values(star.stores("store"), "store")
-    return reshape.pivot_sum(totals(star, ["category", "store"]), ["category"], "store", "total_sales", stores)
+    return totals(star, ["category", "store"])
 
 
 @query(
     "rsh_pivot_store_cat",
-    """WITH {fact}, s AS (SELECT category, store, sum(sales)::BIGINT AS total_sales FROM fact GROUP BY 1, 2)
-      PIVOT s ON category USING coalesce(sum(total_sales), 0)::BIGINT GROUP BY store""",
+    "WITH {fact} SELECT store, " + _wide_sql("category", CATEGORIES) + " FROM fact GROUP BY store",
 )
 def rsh_pivot_store_cat(star):
-    names = reshape.distinct_values(star.items("category"), "category")
-    return reshape.pivot_sum(totals(star, ["category", "store"]), ["store"], "category", "total_sales", names)
+    by_both = totals(star, ["category", "store"])
+    return reshape.pivot_sum(by_both, ["store"], "category", "total_sales", CATEGORIES)
 
 
 @query(
     "rsh_pivot_region_period",
-    """WITH {fact}, s AS (SELECT region, strftime(date, '%Y_%m') AS period, sum(sales)::BIGINT AS total_sales
-        FROM fact GROUP BY 1, 2)
-      PIVOT s ON period USING coalesce(sum(total_sales), 0)::BIGINT GROUP BY region""",
+    "WITH {fact} SELECT region, "
+    + _wide_sql("strftime(date, '%Y_%m')", PERIODS)
+    + " FROM fact GROUP BY region",
 )
 def rsh_pivot_region_period(star):
     monthly = totals(star, ["region", "date"]).withColumn("period", F.date_format("date", "yyyy_MM"))
-    periods = reshape.distinct_values(monthly, "period")
-    return reshape.pivot_sum(monthly, ["region"], "period", "total_sales", periods)
+    return reshape.pivot_sum(monthly, ["region"], "period", "total_sales", PERIODS)
 
 
 @query(
     "rsh_pivot_date_item",
-    """WITH {fact}, top AS (SELECT item, sum(sales) AS t FROM fact GROUP BY item ORDER BY t DESC, item LIMIT 5),
-      s AS (SELECT CAST(date AS VARCHAR) AS date, item, sum(sales)::BIGINT AS total_sales
-        FROM fact WHERE item IN (SELECT item FROM top) GROUP BY fact.date, item)
-      PIVOT s ON item USING sum(total_sales)::BIGINT GROUP BY date""",
+    """WITH {fact}, top AS (SELECT item, sum(sales) AS t FROM fact GROUP BY item ORDER BY t DESC, item LIMIT 5)
+      SELECT CAST(date AS VARCHAR) AS date, item, sum(sales)::BIGINT AS total_sales
+        FROM fact WHERE item IN (SELECT item FROM top) GROUP BY fact.date, item""",
 )
 def rsh_pivot_date_item(star):
     best = rows.top_k(totals(star, ["item"]), "total_sales", ["item"], 5)
-    names = reshape.distinct_values(best, "item")
-    daily = totals(star, ["date", "item"], F.col("item").isin(names))
-    return reshape.pivot_sum(daily, ["date"], "item", "total_sales", names, fill=None)
+    return rows.rows_of_items(totals(star, ["date", "item"]), best, "item")
 
 
 @query(
     "rsh_pivot_date_cat",
-    """WITH {fact}, s AS (SELECT CAST(date AS VARCHAR) AS date, category, sum(sales)::BIGINT AS total_sales
-        FROM fact GROUP BY fact.date, category)
-      PIVOT s ON category USING coalesce(sum(total_sales), 0)::BIGINT GROUP BY date""",
+    "WITH {fact} SELECT CAST(date AS VARCHAR) AS date, "
+    + _wide_sql("category", CATEGORIES)
+    + " FROM fact GROUP BY fact.date",
 )
 def rsh_pivot_date_cat(star):
-    names = reshape.distinct_values(star.items("category"), "category")
-    return reshape.pivot_sum(totals(star, ["date", "category"]), ["date"], "category", "total_sales", names)
+    by_both = totals(star, ["date", "category"])
+    return reshape.pivot_sum(by_both, ["date"], "category", "total_sales", CATEGORIES)

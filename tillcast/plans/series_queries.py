@@ -12,7 +12,9 @@ from tillcast.plans.catalog import query, rounded
 from tillcast.plans.retail_queries import totals
 from tillcast.plans.table_queries import EVENT_LIST_SQL, event_list
 from tillcast.sources.shared import materialise
+from tillcast.sources.star import CALENDAR_EVENTS
 
+EVENTS = sorted(CALENDAR_EVENTS.values())
 KEYS = ["region", "category"]
 
 DAILY_SQL = """d AS (SELECT region, category, date AS ds, sum(sales)::DOUBLE AS y FROM fact GROUP BY 1, 2, 3)"""
@@ -353,13 +355,14 @@ def ts_future_frame_week(star):
     SERIES_SQL
     + ", "
     + EVENT_LIST_SQL
-    + """, fl AS (SELECT ds, max(CASE WHEN event = 'Christmas' THEN 1 ELSE 0 END) AS "Christmas", max(CASE WHEN event = 'NewYear' THEN 1 ELSE 0 END) AS "NewYear"
-      FROM x GROUP BY 1)
-    SELECT region, category, CAST(s.ds AS VARCHAR) AS ds, y, coalesce("Christmas", 0) AS "Christmas", coalesce("NewYear", 0) AS "NewYear"
-    FROM s LEFT JOIN fl ON s.ds = fl.ds""",
+    + ", fl AS (SELECT ds, "
+    + ", ".join(f"max(CASE WHEN event = '{e}' THEN 1 ELSE 0 END) AS \"{e}\"" for e in EVENTS)
+    + " FROM x GROUP BY 1) SELECT region, category, CAST(s.ds AS VARCHAR) AS ds, y, "
+    + ", ".join(f'coalesce("{e}", 0) AS "{e}"' for e in EVENTS)
+    + " FROM s LEFT JOIN fl ON s.ds = fl.ds",
 )
 def ts_event_frame(star):
-    return joins.event_flags(category_series(star), event_list(star), ["Christmas", "NewYear"])
+    return joins.event_flags(category_series(star), event_list(star), EVENTS)
 
 
 @query(
@@ -521,12 +524,11 @@ def st_elasticity_daily(star):
     """WITH {fact}, c AS (SELECT DISTINCT category FROM fact), dd AS (SELECT DISTINCT date FROM fact),
        t AS (SELECT date, category, sum(sales)::DOUBLE AS y FROM fact GROUP BY 1, 2),
        f AS (SELECT dd.date, c.category, coalesce(y, 0) AS y FROM dd CROSS JOIN c LEFT JOIN t ON t.date = dd.date AND t.category = c.category)
-       SELECT x.category AS a, z.category AS b, round(corr(x.y, z.y), 6) + 0.0 AS corr FROM f x JOIN f z ON x.date = z.date GROUP BY 1, 2""",
+       SELECT x.category AS a, z.category AS b, round(corr(x.y, z.y), 6) + 0.0 AS corr FROM f x JOIN f z ON x.date = z.date AND x.category <= z.category GROUP BY 1, 2""",
 )
 def st_corr_matrix(star):
-    names = reshape.distinct_values(star.items("category"), "category", limit=100)
-    wide = reshape.pivot_sum(totals(star, ["date", "category"]), ["date"], "category", "total_sales", names)
-    return rounded(stats.correlation_matrix(wide, names), "corr")
+    daily = totals(star, ["date", "category"])
+    return rounded(stats.correlation_matrix(daily, "category", "date", "total_sales"), "corr")
 
 
 @query(

@@ -15,7 +15,7 @@ from tillcast.plans.retail_queries import (
 )
 from tillcast.sources import files, sinks
 from tillcast.sources.shared import materialise, new_path
-from tillcast.sources.star import item_is, store_code_is
+from tillcast.sources.star import CALENDAR_EVENTS, REGIONS, item_is, store_code_is
 
 # One row per region, category and month with the days of the month as columns d_1 .. d_31.
 WIDE_DAYS = [f"d_{i}" for i in range(1, 32)]
@@ -33,7 +33,7 @@ def _wide_sales(star):
         F.col("total_sales").cast("int").alias("sales"),
     )
     return reshape.pivot_sum(
-        daily, ["region", "category", "period"], "d", "sales", WIDE_DAYS, fill=None
+        daily, ["region", "category", "period"], "d", "sales", WIDE_DAYS, fill=None, other=False
     ).select("region", "category", "period", *[F.col(d).cast("int").alias(d) for d in WIDE_DAYS])
 
 
@@ -372,14 +372,13 @@ def join_calendar(star):
 
 
 PRICES_SQL = """prices AS (SELECT item, store_code, yearweek, max(category) AS category, max(sell_price)::DOUBLE AS sell_price
-  FROM fact WHERE sales > 25 GROUP BY 1, 2, 3)"""
+  FROM fact GROUP BY 1, 2, 3)"""
 
 
 def _prices(star):
-    """A price list with gaps: weeks in which an item sold more than 25 units at once."""
+    """The price list: the highest price of an item in a store and week."""
     return star.summarise(
         ["item", "store_code", "yearweek", "category"],
-        F.col("sales") > 25,
         sell_price=("max", "sell_price"),
     ).withColumn("sell_price", F.col("sell_price").cast("double"))
 
@@ -559,15 +558,16 @@ def rsh_melt_days(star):
 
 @query(
     "rsh_melt_series",
-    """WITH {fact}, s AS (SELECT DISTINCT region AS "ID" FROM fact), d AS (SELECT DISTINCT date FROM fact),
+    "WITH {fact}, s AS (SELECT unnest(["
+    + ", ".join(f"'{r}'" for r in [*REGIONS, reshape.OTHER])
+    + """]) AS "ID"), d AS (SELECT DISTINCT date FROM fact),
        t AS (SELECT date, region, sum(sales)::BIGINT AS y FROM fact GROUP BY 1, 2)
        SELECT CAST(d.date AS VARCHAR) AS ds, coalesce(y, 0)::BIGINT AS y, "ID" FROM d CROSS JOIN s
        LEFT JOIN t ON t.date = d.date AND t.region = s."ID" """,
 )
 def rsh_melt_series(star):
-    names = reshape.distinct_values(star.stores("region"), "region")
-    wide = reshape.pivot_sum(totals(star, ["date", "region"]), ["date"], "region", "total_sales", names)
-    return reshape.melt_series(wide, "date", names)
+    wide = reshape.pivot_sum(totals(star, ["date", "region"]), ["date"], "region", "total_sales", REGIONS)
+    return reshape.melt_series(wide, "date", [*REGIONS, reshape.OTHER])
 
 
 @query(
@@ -578,13 +578,14 @@ def rsh_melt_series(star):
        CAST(coalesce(event = 'Independence', false) AS INTEGER) AS "event_Independence",
        CAST(coalesce(event = 'NewYear', false) AS INTEGER) AS "event_NewYear",
        CAST(coalesce(event = 'Valentine', false) AS INTEGER) AS "event_Valentine",
+       CAST(coalesce(event NOT IN ('Christmas', 'Halloween', 'Independence', 'NewYear', 'Valentine'), false)
+         AS INTEGER) AS event_other,
        CAST(event IS NULL AS INTEGER) AS event_nan
        FROM fact GROUP BY fact.date, event""",
 )
 def rsh_onehot_event(star):
     daily = totals(star, ["date", "event"])
-    names = reshape.distinct_values(daily, "event")
-    return reshape.one_hot(daily, "event", names, null_column=True)
+    return reshape.one_hot(daily, "event", sorted(CALENDAR_EVENTS.values()), null_column=True)
 
 
 @query(

@@ -29,6 +29,11 @@ CALENDAR_EVENTS = {
     (2, 14): "Valentine",
 }
 
+# The categories, regions and months that wide reports have columns for.
+CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+PERIODS = [f"{year}_{month:02d}" for year in range(1995, 2002) for month in range(1, 13)]
+
 PART_COLUMNS = {"category": "p_type", "category_price": "p_type", "department": "p_brand"}
 STORE_COLUMNS = {"store": "s_name"}
 REGION_COLUMNS = {"region": "r_name"}
