@@ -40,13 +40,15 @@ def describe(df: DataFrame, value: str, by: list[str] | None = None) -> DataFram
     return exact_quantiles(df, by or [], value, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, moments)
 
 
-def price_profile(df: DataFrame, key: str) -> DataFrame:
+def price_profile(star, key: str) -> DataFrame:
     """Total sales, mean price and price spread (NULL to 0) per item or store."""
-    return df.groupBy(key).agg(
-        F.sum("sales").alias("total_sales"),
-        exact_mean(F.col("sell_price")).alias("average_price"),
-        F.coalesce(F.stddev_samp("sell_price"), F.lit(0.0)).alias("price_std"),
+    profile = star.summarise(
+        [key],
+        total_sales=("sum", "sales"),
+        average_price=("avg", "sell_price"),
+        price_std=("std", "sell_price"),
     )
+    return profile.fillna(0.0, subset=["price_std"])
 
 
 def cluster_stats(df: DataFrame, features: list[str]) -> DataFrame:

@@ -376,13 +376,14 @@ def normalise(series: DataFrame, keys: list[str], method: str = "minmax", local:
     if local:
         value = {k: v.over(_whole(keys)) for k, v in stats.items()}
     else:
-        packed = series.agg(F.struct(*[v.alias(k) for k, v in stats.items()])).scalar()
-        value = {k: packed[k] for k in stats}
+        # One row for all series, joined back.
+        series = series.join(F.broadcast(series.agg(*[v.alias(f"_{k}") for k, v in stats.items()])))
+        value = {k: F.col(f"_{k}") for k in stats}
     if method == "minmax":
         scaled = (F.col("y") - value["lo"]) / F.nullif(value["hi"] - value["lo"], F.lit(0.0))
     else:
         scaled = (F.col("y") - value["mean"]) / F.nullif(value["std"], F.lit(0.0))
-    return series.withColumn("y_norm", scaled)
+    return series.withColumn("y_norm", scaled).drop(*[f"_{k}" for k in stats])
 
 
 def fourier(ds: Column, period: float, order: int, condition: Column | None = None) -> list[Column]:

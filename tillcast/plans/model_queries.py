@@ -27,7 +27,7 @@ PROFILE = ["total_sales", "average_price", "price_std"]
 
 
 def _profile(star, key: str):
-    return materialise(aggregates.price_profile(star.fact(key, "sales", "sell_price"), key), "profile")
+    return materialise(aggregates.price_profile(star, key), "profile")
 
 
 @query(

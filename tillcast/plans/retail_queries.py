@@ -121,9 +121,7 @@ def agg_price_mean_region(star):
        FROM fact GROUP BY category""",
 )
 def agg_sales_std_category(star):
-    df = aggregates.group_measures(
-        star.fact("category", "sales"), ["category"], sales_std=("std", "sales")
-    )
+    df = star.summarise(["category"], sales_std=("std", "sales"))
     return rounded(df, "sales_std").orderBy(F.desc("sales_std"))
 
 
@@ -133,9 +131,7 @@ def agg_sales_std_category(star):
        FROM fact GROUP BY store""",
 )
 def agg_price_std_store(star):
-    df = aggregates.group_measures(
-        star.fact("store", "sell_price"), ["store"], price_std=("std", "sell_price")
-    )
+    df = star.summarise(["store"], price_std=("std", "sell_price"))
     return rounded(df, "price_std").orderBy(F.desc("price_std"))
 
 
@@ -212,11 +208,7 @@ def agg_max_price(star):
        FROM fact GROUP BY 1, 2, 3""",
 )
 def agg_std_store_week(star):
-    df = aggregates.group_measures(
-        star.fact("region", "yearweek", "store", "sales"),
-        ["region", "yearweek", "store"],
-        sales_std=("std", "sales"),
-    )
+    df = star.summarise(["region", "yearweek", "store"], sales_std=("std", "sales"))
     return rounded(df, "sales_std")
 
 
@@ -236,9 +228,7 @@ def agg_avg_region_week(star):
        FROM fact WHERE {IN_YEAR_SQL} GROUP BY 1""",
 )
 def agg_std_dept(star):
-    df = aggregates.group_measures(
-        star.fact("department", "sales", where=in_year()), ["department"], sales_std=("std", "sales")
-    )
+    df = star.summarise(["department"], in_year(), sales_std=("std", "sales"))
     return rounded(df, "sales_std")
 
 
@@ -248,10 +238,7 @@ def agg_std_dept(star):
        FROM fact GROUP BY 1""",
 )
 def agg_corr_region(star):
-    df = aggregates.correlation(
-        star.fact("region", "sales", "sell_price"), ["region"], "sales", "sell_price",
-        "sales_price_corr",
-    )
+    df = star.summarise(["region"], sales_price_corr=("corr", ("sales", "sell_price")))
     return rounded(df, "sales_price_corr")
 
 
@@ -326,7 +313,7 @@ def agg_describe(star):
        FROM fact GROUP BY item""",
 )
 def agg_item_price_profile(star):
-    df = aggregates.price_profile(star.fact("item", "sales", "sell_price"), "item")
+    df = aggregates.price_profile(star, "item")
     return rounded(df, "price_std")
 
 
@@ -340,7 +327,7 @@ BINNED_STORES_SQL = """WITH {fact}, s AS (
 
 
 def _binned_stores(star):
-    profile = aggregates.price_profile(star.fact("store", "sales", "sell_price"), "store")
+    profile = aggregates.price_profile(star, "store")
     return aggregates.assign_bins(profile, "total_sales", 3, "cluster")
 
 
@@ -658,8 +645,9 @@ def top_items_price(star):
       WHERE category = '{CATEGORY}' GROUP BY 1 ORDER BY total_sales DESC, region LIMIT 3""",
 )
 def top_regions_category(star):
-    summary = totals(star, ["region", "category"]).where(F.col("category") == CATEGORY)
-    return rows.top_k(summary.drop("category"), "total_sales", ["region"], 3)
+    only = F.col("category") == CATEGORY
+    summary = star.summarise(["region"], item_where=only, total_sales=("sum", "sales"))
+    return rows.top_k(summary, "total_sales", ["region"], 3)
 
 
 @query(
@@ -668,9 +656,9 @@ def top_regions_category(star):
       WHERE department = '{DEPARTMENT}' GROUP BY 1 ORDER BY average_price DESC, store_code LIMIT 5""",
 )
 def top_stores_price_dept(star):
-    summary = star.summarise(["store_code", "department"], average_price=("avg", "sell_price"))
-    summary = summary.where(F.col("department") == DEPARTMENT)
-    return rows.top_k(summary.drop("department"), "average_price", ["store_code"], 5)
+    only = F.col("department") == DEPARTMENT
+    summary = star.summarise(["store_code"], item_where=only, average_price=("avg", "sell_price"))
+    return rows.top_k(summary, "average_price", ["store_code"], 5)
 
 
 @query(

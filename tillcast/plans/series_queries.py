@@ -439,7 +439,8 @@ def ts_normalise(star):
 @query(
     "ts_normalise_global",
     SERIES_SQL
-    + f""" SELECT region, category, {DS}, y, round((y - (SELECT avg(y) FROM s)) / (SELECT stddev_samp(y) FROM s), 6) AS y_norm FROM s""",
+    + f""", m AS (SELECT avg(y) AS mean, stddev_samp(y) AS std FROM s)
+    SELECT region, category, {DS}, y, round((y - mean) / std, 6) AS y_norm FROM s, m""",
 )
 def ts_normalise_global(star):
     return rounded(series.normalise(category_series(star), KEYS, "zscore", local=False), "y_norm")

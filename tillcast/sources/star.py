@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.functions.dates import iso_yearweek
-from tillcast.functions.scalars import exact_mean
 
 # Events of the calendar by (month, day).
 CALENDAR_EVENTS = {
@@ -72,7 +71,6 @@ def store_code_is(store_code: str) -> Column:
 # Largest dimension that is broadcast; at under 100 bytes a row this stays below 25 MB.
 BROADCAST_ROWS = 250_000
 
-_row_counts: dict[str, int] = {}
 
 
 class SalesStar:
@@ -80,12 +78,12 @@ class SalesStar:
         self.spark = spark
         self.root = root
         self.broadcast_rows = broadcast_rows
+        self._row_counts: dict[str, int] = {}
 
     def _is_small(self, name: str) -> bool:
-        path = f"{self.root}/{name}.parquet"
-        if path not in _row_counts:
-            _row_counts[path] = self.table(name).count()
-        return _row_counts[path] <= self.broadcast_rows
+        if name not in self._row_counts:
+            self._row_counts[name] = self.table(name).count()
+        return self._row_counts[name] <= self.broadcast_rows
 
     def table(self, name: str) -> DataFrame:
         """A table of the star; its schema is read from the files once per process."""
@@ -162,74 +160,107 @@ class SalesStar:
         return df.select(*columns)
 
     def summarise(
-        self, by: list[str], where: Column | None = None, **measures: tuple[str, str]
+        self,
+        by: list[str],
+        where: Column | None = None,
+        item_where: Column | None = None,
+        store_where: Column | None = None,
+        **measures: tuple[str, str | tuple[str, str]],
     ) -> DataFrame:
         """Group the fact by ``by`` with measures such as ``total=("sum", "sales")``.
 
-        Supported functions are ``sum, count, avg, min, max``. Small dimensions are broadcast
-        first. Before a large one is joined, the rows are grouped by its foreign key: map-side
-        combine makes a hot key one row per task, and the raw rows are not shuffled for a join.
-        With two large dimensions the items are joined first and the grouping happens on
-        ``(store key, item attributes)``.
+        Supported functions are ``sum, count, avg, min, max``, ``std`` (of the sample) and
+        ``corr`` of two columns. All are made of sums that merge, so they can be taken in two
+        steps. ``item_where`` and ``store_where`` are conditions on item and store attributes;
+        rows of other items and stores are dropped before they are grouped.
+
+        Small dimensions are broadcast first. Before a large one is joined, the rows are grouped
+        by its foreign key: map-side combine makes a hot key one row per task, and the raw rows
+        are not shuffled for a join. With two large dimensions the items are joined first and
+        the grouping happens on ``(store key, item attributes)``.
         """
         _, item, store = self._split(by)
         df = self._lines()
         if where is not None:
             df = df.where(where)
+        if item_where is not None:
+            wanted = self.items(*PART_COLUMNS).where(item_where).select("_part")
+            df = self._semi(df, wanted, "_part", "part")
+        if store_where is not None:
+            wanted = self.stores(*STORE_COLUMNS, *REGION_COLUMNS).where(store_where).select("_supp")
+            df = self._semi(df, wanted, "_supp", "supplier")
         large_item = bool(item) and not self._is_small("part")
         large_store = bool(store) and not self._is_small("supplier")
         if not large_item:
             df = self._join_items(df, item)
         if not large_store:
             df = self._join_stores(df, store)
-        if not (large_item or large_store):
-            return df.groupBy(*by).agg(*[_direct(n, f, c) for n, (f, c) in measures.items()])
         parts = _partials(measures)
+        finals = [_final(n, f, c) for n, (f, c) in measures.items()]
+        if not (large_item or large_store):
+            return df.groupBy(*by).agg(*[p.first() for p in parts]).select(*by, *finals)
         if large_item and large_store:
             df = self._join_items(df, item)
         key = "_supp" if large_store else "_part"
         later = store if large_store else item
         df = df.groupBy(key, *[c for c in by if c not in later]).agg(*[p.first() for p in parts])
         df = self._join_stores(df, store) if large_store else self._join_items(df, item)
-        merged = df.groupBy(*by).agg(*[p.merge() for p in parts])
-        return merged.select(*by, *[_final(n, f, c) for n, (f, c) in measures.items()])
+        return df.groupBy(*by).agg(*[p.merge() for p in parts]).select(*by, *finals)
+
+    def _semi(self, df: DataFrame, wanted: DataFrame, key: str, table: str) -> DataFrame:
+        return df.join(F.broadcast(wanted) if self._is_small(table) else wanted, key, "left_semi")
 
 
 class _Partial:
-    """One partial aggregate: a function of a fact column and how partial results merge."""
+    """One partial aggregate of fact columns, and how partial results merge.
+
+    ``square`` and ``product`` are exact sums of products. With ``both`` only rows in which that
+    column isn't NULL either are taken.
+    """
 
-    def __init__(self, function: str, column: str):
-        self.function, self.column = function, column
-        self.name = f"_{function}_{column}"
+    def __init__(self, function: str, column: str, both: str | None = None):
+        self.function, self.column, self.both = function, column, both
+        self.name = f"_{function}_{column}" + (f"_{both}" if both else "")
 
     def first(self) -> Column:
-        return _aggregate(self.function, self.column).alias(self.name)
+        value = F.col(self.column)
+        if self.function in ("square", "product"):
+            other = F.col(self.column if self.function == "square" else self.both)
+            value = (value * other).cast("decimal(38,4)")
+        if self.both:
+            value = F.when(F.col(self.both).isNotNull(), value)
+        functions = {"count": F.count, "min": F.min, "max": F.max}
+        return functions.get(self.function, F.sum)(value).alias(self.name)
 
     def merge(self) -> Column:
-        how = "sum" if self.function in ("sum", "count") else self.function
-        return _aggregate(how, self.name).alias(self.name)
-
-
-def _aggregate(function: str, column: str) -> Column:
-    functions = {"sum": F.sum, "count": F.count, "avg": exact_mean, "min": F.min, "max": F.max}
-    return functions[function](F.col(column))
+        functions = {"min": F.min, "max": F.max}
+        return functions.get(self.function, F.sum)(self.name).alias(self.name)
 
 
-def _direct(name: str, function: str, column: str) -> Column:
-    return _aggregate(function, column).alias(name)
+def _needed(function: str, column) -> list[_Partial]:
+    if function == "corr":
+        a, b = column
+        singles = [_Partial(f, x, y) for x, y in ((a, b), (b, a)) for f in ("sum", "square")]
+        return [_Partial("count", a, b), *singles, _Partial("product", a, b)]
+    names = {"avg": ("sum", "count"), "std": ("sum", "count", "square")}.get(function, (function,))
+    return [_Partial(f, column) for f in names]
 
 
-def _partials(measures: dict[str, tuple[str, str]]) -> list[_Partial]:
-    wanted: dict[str, _Partial] = {}
-    for function, column in measures.values():
-        for f in ("sum", "count") if function == "avg" else (function,):
-            p = _Partial(f, column)
-            wanted[p.name] = p
-    return list(wanted.values())
+def _partials(measures: dict) -> list[_Partial]:
+    return list({p.name: p for f, c in measures.values() for p in _needed(f, c)}.values())
 
 
-def _final(name: str, function: str, column: str) -> Column:
+def _final(name: str, function: str, column) -> Column:
+    if function not in ("avg", "std", "corr"):
+        return F.col(f"_{function}_{column}").alias(name)
+    sums = [F.col(p.name).cast("double") for p in _needed(function, column)]
     if function == "avg":
-        total, rows = F.col(f"_sum_{column}"), F.col(f"_count_{column}")
-        return (total.cast("double") / F.nullif(rows, F.lit(0))).alias(name)
-    return F.col(f"_{function}_{column}").alias(name)
+        total, rows = sums
+        return (total / F.nullif(rows, F.lit(0.0))).alias(name)
+    if function == "std":
+        total, rows, squares = sums
+        spread = F.greatest(squares - total * total / rows, F.lit(0.0))
+        return F.when(rows > 1, F.sqrt(spread / (rows - 1))).alias(name)
+    rows, x, xx, y, yy, xy = sums
+    spread = (rows * xx - x * x) * (rows * yy - y * y)
+    return F.when(spread > 0, (rows * xy - x * y) / F.sqrt(spread)).alias(name)
