@@ -53,6 +53,27 @@ def test_large_dimensions_are_not_broadcast(spark, small):
     assert "strategy=broadcast" not in text
 
 
+@pytest.mark.parametrize("by", [["category"], ["store"], ["region", "yearweek", "store"]])
+def test_moments_of_large_dimensions_join_grouped_rows(spark, small, by):
+    star = SalesStar(spark, small, broadcast_rows=0)
+    df = star.summarise(by, std=("std", "sales"), corr=("corr", ("sales", "sell_price")))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    join = text.index("Join LeftOuter")
+    assert "Aggregate [" in text[join:] and "strategy=broadcast" not in text
+
+
+def test_attribute_filters_come_before_grouping(spark, small):
+    star = SalesStar(spark, small, broadcast_rows=0)
+    df = star.summarise(["store_code"], item_where=F.col("department") == "x", n=("count", "sales"))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Aggregate [") < text.index("Join LeftSemi")
+
+
+def test_calendar_is_broadcast(spark, small):
+    text = plan_text(catalog.run("join_calendar", spark, small))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_share_reads_the_lines_once(spark, small):
     text = final_plan(catalog.run("win_share_store_week", spark, small))
     assert len(re.findall(r"FileScan.*lineitem", text)) == 1

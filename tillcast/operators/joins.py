@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.functions.scalars import exact_mean
+from tillcast.sources.shared import materialise
+
+
+#: Largest calendar that is broadcast: seven centuries of days, under 25 MB.
+CALENDAR_ROWS = 250_000
 
 
 def join_calendar(sales: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Left join on the day label. The calendar has one row per day and its size is known to
-    Spark, which broadcasts it when it is below the session's limit."""
-    return sales.join(calendar.select("d", "yearweek", "date", "event"), "d", "left")
+    """Left join on the day label. The calendar, one row per day, is written once and counted;
+    below the limit it is broadcast, so that the sales are not shuffled."""
+    days = materialise(calendar.select("d", "yearweek", "date", "event"), "calendar")
+    return sales.join(F.broadcast(days) if days.count() <= CALENDAR_ROWS else days, "d", "left")
 
 
 def join_prices(sales: DataFrame, prices: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tillcast.functions.dates import FLAG_COLUMNS
 
 DEFAULT_ORDERS = tuple(product((0, 1, 2, 3), (0, 1, 2)))
-FALLBACK_ORDER = (1, 1)
 
 
 def _difference(v: np.ndarray, d: int, seasonal_d: int, m: int) -> np.ndarray:

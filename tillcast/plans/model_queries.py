@@ -497,7 +497,12 @@ def _model_table(star):
     return selection.decomposable_rows(fitted, KEYS).unionByName(selection.cell_mean_rows(means, KEYS))
 
 
-@query("snk_model_table")
+@query(
+    "snk_model_table",
+    SERIES_SQL
+    + """ SELECT m.model_type, region, category, CAST(max(ds) - 28 AS VARCHAR) AS last_date, m.n::INTEGER AS n_coefficients
+    FROM s, (VALUES ('decomposable', 34), ('cell_mean', 29)) m(model_type, n) GROUP BY ALL""",
+)
 def snk_model_table(star):
     path = new_path(star.spark, "models")
     sinks.write_models(_model_table(star), path)
@@ -513,14 +518,20 @@ def fc_batch_score(star):
     return selection.batch_score(known.unionByName(unknown), models, KEYS, Design())
 
 
-@query("snk_metrics")
+@query(
+    "snk_metrics",
+    CANDIDATE_SQL
+    + """ SELECT region, category, model_type, round(avg(abs(y - yhat)), 6) AS mae, '28' AS horizon
+    FROM cand WHERE yhat IS NOT NULL GROUP BY 1, 2, 3""",
+)
 def snk_metrics(star):
     metrics = forecast_metrics(_candidates(star).where(F.col("yhat").isNotNull()), [*KEYS, "model_type"])
     params = metrics.select(*KEYS, "model_type", F.create_map(F.lit("horizon"), F.lit("28")).alias("params"))
     path = new_path(star.spark, "metrics")
     sinks.write_metrics(sinks.metrics_rows(metrics, params, KEYS), path)
     read = star.spark.read.parquet(path)
-    return read.select(*KEYS, "model_type", "mae", F.col("params")["horizon"].alias("horizon"))
+    read = read.select(*KEYS, "model_type", "mae", F.col("params")["horizon"].alias("horizon"))
+    return rounded(read, "mae")
 
 
 def _run(star):

@@ -97,11 +97,6 @@ def src_table_query(star):
     return files.query_table(star.spark, sql, {"sales_fact": star.fact("region", "sales")})
 
 
-@query("src_describe_schema")
-def src_describe_schema(star):
-    return files.describe_schema(star.fact())
-
-
 @query(
     "src_sample",
     """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 10""",
@@ -133,12 +128,13 @@ def snk_parquet(star):
     return star.spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
 
 
-@query("snk_repartition")
+@query("snk_repartition", "SELECT 15::BIGINT AS files, count(*) AS rows FROM lineitem")
 def snk_repartition(star):
     path = new_path(star.spark, "lines")
     sinks.write_repartitioned(star.table("lineitem"), path, 15)
     files_read = star.spark.read.parquet(path).withColumn("file", F.input_file_name())
-    return files_read.groupBy("file").agg(F.count("*").alias("rows")).select("rows")
+    by_file = files_read.groupBy("file").agg(F.count("*").alias("rows"))
+    return by_file.agg(F.count("*").alias("files"), F.sum("rows").alias("rows"))
 
 
 @query(

@@ -45,21 +45,6 @@ FACT = _struct(
 
 EVENTS = _struct("event string, ds date, lower_window int, upper_window int")
 
-FORECASTS = _struct(
-    "date date, forecast_sales double, actual_sales double, store string, item string"
-)
-
-METRICS = _struct(
-    "store string, item string, model_type string, rmse double, mse double, mae double, "
-    "mape double, r2 double, smape double, mase double, params map<string,string>"
-)
-
-MODEL_TABLE = _struct(
-    "model_type string, store string, item string, last_date date, "
-    "coefficients array<double>, params map<string,string>"
-)
-
-
 def sales_wide_schema(n_days: int) -> T.StructType:
     """Schema of the wide sales file: seven id columns, then ``d_1 .. d_n``."""
     ids = [T.StructField(c, T.StringType()) for c in SALES_ID_COLUMNS]

@@ -57,13 +57,6 @@ def query_table(spark: SparkSession, sql: str, views: dict[str, DataFrame]) -> D
     return result
 
 
-def warn_if_empty(df: DataFrame) -> DataFrame:
-    """Log a warning when a result has no rows; reads at most one row."""
-    if df.isEmpty():
-        log.warning("the query returned no rows")
-    return df
-
-
 def jdbc_options(
     url: str,
     table: str,
