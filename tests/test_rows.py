@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillcast import schemas
 from tillcast.functions import dates, scalars
-from tillcast.operators import aggregates, joins, reshape, rows, windows
+from tillcast.operators import aggregates, joins, reshape, rows, stats, windows
 from tillcast.operators.quantiles import exact_quantiles
 from tillcast.plans.etl import build_fact
 from tillcast.sources import files, sinks
