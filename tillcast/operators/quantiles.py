@@ -14,10 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillcast.sources.shared import materialise
+
 # Relative rank error of the sketch is 1 / ACCURACY; the bracket is three times as wide.
 ACCURACY = 50_000
 # A measured input may differ in the last bits between the two passes over it.
 SLACK = 1e-9
+# Brackets up to this number (under 25 MB) are broadcast, so that the rows are not shuffled.
+BRACKET_ROWS = 250_000
 
 
 def series_quantile(value: str | Column, q: float) -> Column:
@@ -41,8 +45,11 @@ def exact_quantiles(
     base = df if by else df.withColumn("_all", F.lit(0))
     base = base.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     extra = also("_v") if also else []
-    sketched = _sketch(base, group, probs, extra)
+    # One row per group, written: the brackets and the extra aggregates both come from it.
+    sketched = materialise(_sketch(base, group, probs, extra), "sketches")
     brackets = _brackets(sketched, group, probs)
+    if sketched.count() * len(probs) <= BRACKET_ROWS:
+        brackets = F.broadcast(brackets)
     counts = _bracket_counts(base, brackets, group)
     running = Window.partitionBy(*group, "_prob").orderBy(F.asc_nulls_first("_v"))
     upto = F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, 0))
