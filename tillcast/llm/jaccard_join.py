@@ -87,24 +87,44 @@ def frequent_shingles(texts: DataFrame, size: int, least: int = 200) -> np.ndarr
     return np.sort(found.to_numpy().view(np.uint64))
 
 
+class _Frequent:
+    """Membership of many tokens in a sorted array: a table of low bits rules most of them out."""
+
+    def __init__(self, tokens: np.ndarray):
+        self._tokens, self._mask = tokens, np.uint64((1 << 23) - 1)
+        self._table = np.zeros(1 << 23, bool)
+        self._table[tokens & self._mask] = True
+
+    def __call__(self, tokens: np.ndarray) -> np.ndarray:
+        found = self._table[tokens & self._mask]
+        some = np.flatnonzero(found)
+        if len(some):
+            at = np.searchsorted(self._tokens, tokens[some])
+            at[at == len(self._tokens)] = 0
+            found[some] = self._tokens[at] == tokens[some]
+        return found
+
+
 def _sets(
     batches: Iterator[pa.RecordBatch], size: int, percent: int, shared
 ) -> Iterator[pa.RecordBatch]:
-    frequent, shingler = shared.value, Shingler(size)
+    is_frequent, shingler = _Frequent(shared.value), Shingler(size)
     for batch in sliced(batches, 500):
-        names, prefixes, bits, n = [], [], [], []
+        names, rare, frequent, bits, n = [], [], [], [], []
         for tokens in shingler.sets(batch.column(2).to_pylist()):
             n.append(len(tokens))
             if not len(tokens):
                 names.append(None)
-                prefixes.append([])
+                rare.append([])
+                frequent.append([])
                 bits.append(None)
                 continue
             k = prefix_length(len(tokens), percent)
-            often = np.isin(tokens, frequent)
-            first = np.concatenate([tokens[~often][:k], tokens[often][:k]])[:k]
+            often = is_frequent(tokens)
+            first = tokens[~often][:k]
             names.append(identity(tokens))
-            prefixes.append(first.view(np.int64))
+            rare.append(first.view(np.int64))
+            frequent.append(tokens[often][: k - len(first)].view(np.int64))
             bits.append(bitmap(tokens).tobytes())
         yield pa.RecordBatch.from_arrays(
             [
@@ -112,10 +132,11 @@ def _sets(
                 batch.column(1),
                 pa.array(n, pa.int64()),
                 pa.array(names, pa.binary()),
-                pa.array(prefixes, pa.list_(pa.int64())),
+                pa.array(rare, pa.list_(pa.int64())),
+                pa.array(frequent, pa.list_(pa.int64())),
                 pa.array(bits, pa.binary()),
             ],
-            ["row", "id", "n", "name", "prefix", "bits"],
+            ["row", "id", "n", "name", "rare", "frequent", "bits"],
         )
 
 
@@ -170,14 +191,14 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 class Tree:
     """Signature tree over rows sorted by size: level 0 are the rows, ``_FAN`` to a node above."""
 
-    def __init__(self, n: np.ndarray, component: np.ndarray, bits: np.ndarray):
-        order = np.lexsort((component, n))
+    def __init__(self, n: np.ndarray, component: np.ndarray, before: np.ndarray, bits: np.ndarray):
+        order = np.lexsort((component, before, n))
         self.order = order
-        n, component, bits = n[order], component[order], bits[order]
+        n, component, before, bits = n[order], component[order], before[order], bits[order]
         slack = n - np.bitwise_count(bits).sum(1).astype(np.int64)
-        self.levels = [(n, n, component, component, slack, bits)]
+        self.levels = [(n, n, component, component, before, before, slack, bits)]
         while len(self.levels[-1][0]) > 1:
-            low, high, least, most, slack, bits = self.levels[-1]
+            low, high, least, most, first, last, slack, bits = self.levels[-1]
             at = np.arange(0, len(low), _FAN)
             self.levels.append(
                 (
@@ -185,16 +206,22 @@ class Tree:
                     np.maximum.reduceat(high, at),
                     np.minimum.reduceat(least, at),
                     np.maximum.reduceat(most, at),
+                    np.minimum.reduceat(first, at),
+                    np.maximum.reduceat(last, at),
                     np.maximum.reduceat(slack, at),
                     np.bitwise_or.reduceat(bits, at, axis=0),
                 )
             )
 
     def _possible(self, other: Tree, level: tuple[int, int], a, b, percent: int) -> np.ndarray:
-        low, high, least, most, slack, bits = (x[a] for x in self.levels[level[0]])
-        low2, high2, least2, most2, slack2, bits2 = (x[b] for x in other.levels[level[1]])
+        low, high, least, most, first, last, slack, bits = (x[a] for x in self.levels[level[0]])
+        low2, high2, least2, most2, first2, last2, slack2, bits2 = (
+            x[b] for x in other.levels[level[1]]
+        )
         fits = (100 * high >= percent * low2) & (100 * high2 >= percent * low)
+        # All of one component, or all met in the group before this one.
         fits &= ~((least == most) & (least2 == most2) & (least == least2))
+        fits &= ~((first == last) & (first2 == last2) & (first == first2))
         need = least_overlap(low + low2, percent)
         common = np.bitwise_count(bits & bits2).sum(1).astype(np.int64)
         # A shared shingle has a shared bit, or shares its bit with another of the same set.
@@ -237,43 +264,74 @@ def _bit_rows(column: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([folded(x[None], words) for x in column])
 
 
-def _node(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    bits = _bit_rows(_array(rows.column("bits").combine_chunks()))
+def _node(key: tuple, rows: pa.RecordBatch) -> tuple:
+    bits = _bit_rows(_array(rows.column("bits")))
     n = rows.column("n").to_numpy()
-    packed = {
-        "token": key[0],
-        "band": key[1],
-        "shard": key[2],
-        "low": int(n.min()),
-        "high": int(n.max()),
-        "slack": int((n - np.bitwise_count(bits).sum(1)).max()),
-        "signature": np.bitwise_or.reduce(bits).tobytes(),
-        "rows": rows.column("row").to_numpy().tobytes(),
-        "sizes": n.astype(np.int64).tobytes(),
-        "components": rows.column("component").to_numpy().tobytes(),
-        "bits": bits.tobytes(),
-    }
-    return pa.table({k: pa.array([v.as_py() if isinstance(v, pa.Scalar) else v]) for k, v in packed.items()}).cast(_NODE_SCHEMA)
+    return (
+        *key,
+        int(n.min()),
+        int(n.max()),
+        rows.column("row").to_numpy().tobytes(),
+        n.astype(np.int64).tobytes(),
+        rows.column("component").to_numpy().tobytes(),
+        rows.column("before").to_numpy().tobytes(),
+        bits.tobytes(),
+    )
+
+
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A node for each run of rows with equal ``token, band, shard``; the input is sorted."""
+    held: list[pa.RecordBatch] = []
+    held_key, out = None, []
+
+    def ended() -> tuple:
+        whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        return _node(held_key, whole)
+
+    def emitted() -> pa.RecordBatch:
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*out), _NODE_SCHEMA)]
+        out.clear()
+        return pa.RecordBatch.from_arrays(columns, schema=_NODE_SCHEMA)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("token", "band", "shard")])
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        starts = [0, *cuts.tolist()]
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            key = tuple(keys[:, start].tolist())
+            if held and key != held_key:
+                out.append(ended())
+                held.clear()
+            held_key = key
+            held.append(batch.slice(start, end - start))
+            if len(out) == 500:
+                yield emitted()
+    if held:
+        out.append(ended())
+    if out:
+        yield emitted()
 
 
 _NODE = (
-    "token bigint, band int, shard int, low bigint, high bigint, slack bigint, signature binary, "
-    "rows binary, sizes binary, components binary, bits binary"
+    "token bigint, band int, shard int, low bigint, high bigint, "
+    "rows binary, sizes binary, components binary, befores binary, bits binary"
 )
 _NODE_SCHEMA = pa.schema(
     [("token", pa.int64()), ("band", pa.int32()), ("shard", pa.int32())]
-    + [(c, pa.int64()) for c in ("low", "high", "slack")]
-    + [(c, pa.binary()) for c in ("signature", "rows", "sizes", "components", "bits")]
+    + [(c, pa.int64()) for c in ("low", "high")]
+    + [(c, pa.binary()) for c in ("rows", "sizes", "components", "befores", "bits")]
 )
 
 
 def _node_rows(batch: pa.RecordBatch, i: int, side: str):
-    rows, n, component = (
+    rows, n, component, before = (
         np.frombuffer(batch.column(f"{side}_{c}")[i].as_buffer(), np.int64)
-        for c in ("rows", "sizes", "components")
+        for c in ("rows", "sizes", "components", "befores")
     )
     bits = np.frombuffer(batch.column(f"{side}_bits")[i].as_buffer(), np.uint64)
-    return rows, n, component, bits.reshape(len(rows), -1)
+    return rows, n, component, before, bits.reshape(len(rows), -1)
 
 
 def _active(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -281,12 +339,12 @@ def _active(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
     for batch in batches:
         pair, rows, components = [], [], []
         for i in range(batch.num_rows):
-            left, n, component, bits = _node_rows(batch, i, "a")
+            left, n, component, before, bits = _node_rows(batch, i, "a")
             if batch.column("b_rows")[i].as_py() is None:
-                tree = other = Tree(n, component, bits)
+                tree = other = Tree(n, component, before, bits)
                 right, component2 = left, component
             else:
-                right, n2, component2, bits2 = _node_rows(batch, i, "b")
+                right, n2, component2, before2, bits2 = _node_rows(batch, i, "b")
                 words = min(bits.shape[1], bits2.shape[1])
                 bits, bits2 = folded(bits, words), folded(bits2, words)
                 # The pair of nodes as such, before any subtree.
@@ -298,7 +356,8 @@ def _active(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                 common = int(np.bitwise_count(signature[0] & signature[1]).sum())
                 if common + slack < least_overlap(n.min() + n2.min(), percent):
                     continue
-                tree, other = Tree(n, component, bits), Tree(n2, component2, bits2)
+                tree = Tree(n, component, before, bits)
+                other = Tree(n2, component2, before2, bits2)
             found: dict[int, int] = {}
             for a, b in tree.pairs(other, percent):
                 apart = component[a] != component2[b]
@@ -327,7 +386,8 @@ def spanning_links(
 
     width = max(64, min(map(bitmap_width, map(len, sets))))
     n = np.array(list(map(len, sets)), np.int64)
-    tree = Tree(n, np.array(components, np.int64), np.array([bitmap(s, width) for s in sets]))
+    bits = np.array([bitmap(s, width) for s in sets])
+    tree = Tree(n, np.array(components, np.int64), np.arange(len(n)), bits)
     links = []
     for some_a, some_b in tree.pairs(tree, percent):
         for a, b in zip(some_a.tolist(), some_b.tolist()):
@@ -413,7 +473,8 @@ def similar_components(
     sets = materialise(
         texts.mapInArrow(
             lambda b: _sets(b, words, percent, shared),
-            f"row bigint, id {kind}, n bigint, name binary, prefix array<bigint>, bits binary",
+            f"row bigint, id {kind}, n bigint, name binary, rare array<bigint>, "
+            "frequent array<bigint>, bits binary",
         ),
         "shingle-sets",
     )
@@ -442,45 +503,73 @@ def similar_components(
     copies = materialise(copies, "shingle-copies")
     single = picked(sets.where("n > 0"), copies, "left_anti")
 
-    # 2. and 3. Groups of a shared shingle, and their first rows.
-    postings = single.select(F.explode("prefix").alias("token"), "row", F.col("n").cast("int"))
-    groups = (
-        postings.groupBy("token")
-        .agg(F.min(F.struct("row", "n")).alias("first"), F.count(F.lit(1)).alias("members"))
-        .where("members > 1")
-        .select("token", F.col("first.row").alias("a"), F.col("first.n").alias("na"))
-    )
-    members = materialise(
-        postings.join(groups, "token").select("token", "row", "n", "a", "na"), "shared-shingles"
-    )
+    # 2. and 3. Groups of a shared shingle, and their first rows. Rare shingles have small groups
+    # and are dealt once; groups of frequent ones are counted before they are dealt, and the join
+    # may split them.
+    def grouped(postings: DataFrame) -> DataFrame:
+        groups = (
+            postings.groupBy("token")
+            .agg(F.min("row").alias("a"), F.max("row").alias("last"))
+            .where("a <> last")
+            .select("token", "a")
+        )
+        return postings.join(groups, "token").select("token", "a", "row")
+
+    rare = single.select(F.explode("rare").alias("token"), "row").repartition("token")
+    frequent = single.select(F.explode("frequent").alias("token"), "row")
+    members = materialise(grouped(rare).unionByName(grouped(frequent)), "shared-shingles")
+    bits = sets.select("row", F.col("n").cast("int").alias("n"), "bits")
     size_fits = (100 * F.col("na") >= percent * F.col("nb")) & (
         100 * F.col("nb") >= percent * F.col("na")
     )
-    stars = (
-        members.selectExpr("a", "na", "row AS b", "n AS nb")
-        .where((F.col("a") != F.col("b")) & size_fits)
+    sizes = sets.select("row", F.col("n").cast("int").alias("n"))
+    near = materialise(
+        members.where("row <> a")
+        .select("a", F.col("row").alias("b"))
         .distinct()
+        .join(sizes.selectExpr("row AS a", "n AS na"), "a")
+        .join(bits.selectExpr("row AS b", "n AS nb", "bits AS bits_b"), "b")
+        .where(size_fits)
+        .join(bits.selectExpr("row AS a", "bits AS bits_a"), "a")
+        .mapInArrow(lambda b: _near_by_bits(b, percent), "a bigint, b bigint"),
+        "near-stars",
     )
-    bits = sets.select("row", "bits")
-    near = (
-        stars.join(bits.selectExpr("row AS a", "bits AS bits_a"), "a")
-        .join(bits.selectExpr("row AS b", "bits AS bits_b"), "b")
-        .mapInArrow(lambda b: _near_by_bits(b, percent), "a bigint, b bigint")
-    )
-    near = materialise(near.groupBy("b").agg(F.min("a").alias("a")), "near-stars")
     ends = near.select(F.col("a").alias("row")).union(near.select("b")).distinct()
     tokens = whole_sets(ends, "star-sets")
-    links = materialise(
-        near.join(tokens.selectExpr("row AS b", "tokens AS tokens_b"), "b")
-        .join(tokens.selectExpr("row AS a", "tokens AS tokens_a"), "a")
-        .mapInArrow(lambda b: _verified(b, percent), "a bigint, b bigint"),
-        "star-links",
-    )
-    found = components(links, "stars")
 
-    # 4. Groups that still hold several components, one of each set of equal members.
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        return materialise(
+            pairs.join(tokens.selectExpr("row AS b", "tokens AS tokens_b"), "b")
+            .join(tokens.selectExpr("row AS a", "tokens AS tokens_a"), "a")
+            .mapInArrow(lambda b: _verified(b, percent), "a bigint, b bigint"),
+            name,
+        )
+
+    # One pair for each row first; then those that would still join components.
+    links = verified(near.groupBy("b").agg(F.min("a").alias("a")), "star-links")
+    found = components(links, "stars")
+    own = Window.partitionBy("b")
+    open_pairs = materialise(
+        near.withColumn("least", F.min("a").over(own))
+        .where("a <> least")
+        .join(found.selectExpr("row AS a", "component AS ca"), "a", "left")
+        .join(found.selectExpr("row AS b", "component AS cb"), "b", "left")
+        .where("coalesce(ca, a) <> coalesce(cb, b)")
+        .select("a", "b"),
+        "open-stars",
+    )
+    if open_pairs.limit(1).count():
+        links = links.unionByName(verified(open_pairs, "open-links"))
+        found = components(links, "open")
+
+    # 4. First rows are settled. So are two rows whose shared shingle before this one is the same:
+    # they have met in its group. What is left are groups whose other rows are of several
+    # components and come from several groups, one of each set of equal members.
+    listed = Window.partitionBy("row").orderBy("token")
     labelled = materialise(
-        members.select("token", "row", "n")
+        members.withColumn("before", F.coalesce(F.lag("token").over(listed), F.xxhash64("row")))
+        .where("row <> a")
+        .select("token", "row", "before")
         .join(found, "row", "left")
         .withColumn("component", F.coalesce("component", "row")),
         "labelled",
@@ -490,19 +579,21 @@ def similar_components(
         .agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
+            F.min("before").alias("first"),
+            F.max("before").alias("last"),
             F.count(F.lit(1)).alias("members"),
             # Two sums of 64-bit hashes stand for the set of members.
             F.sum(F.xxhash64("row").cast("decimal(20,0)")).alias("sum"),
             F.sum(F.xxhash64("row", F.lit(7)).cast("decimal(20,0)")).alias("sum2"),
         )
-        .where("low <> high")
+        .where("low <> high AND first <> last")
         .groupBy("members", "sum", "sum2")
         .agg(F.min("token").alias("token"))
         .select("token")
     )
     log = -math.log(percent / 100)
     banded = materialise(
-        labelled.join(mixed, "token").withColumn(
+        labelled.join(mixed, "token").join(sizes, "row").withColumn(
             "band", F.floor(F.log(F.col("n").cast("double")) / log + 1e-9).cast("int")
         ),
         "mixed-groups",
@@ -510,29 +601,37 @@ def similar_components(
     shards = banded.groupBy("token", "band").agg(
         F.ceil(F.count(F.lit(1)) / NODE_ROWS).cast("int").alias("shards")
     )
+    place = ["token", "band", "shard"]
     nodes = materialise(
         banded.join(shards, ["token", "band"])
         .withColumn("shard", F.expr("cast(pmod(xxhash64(row, 3), shards) AS int)"))
-        .join(bits, "row")
-        .groupBy("token", "band", "shard")
-        .applyInArrow(_node, _NODE),
+        .join(bits.select("row", "bits"), "row")
+        .select(*place, "row", "n", "component", "before", "bits")
+        .repartition(*place)
+        .sortWithinPartitions(*place)
+        .mapInArrow(_nodes, _NODE),
         "tree-nodes",
     )
-    packed = ("rows", "sizes", "components", "bits")
-    a = nodes.select("token", "band", "shard", "high", *(F.col(c).alias(f"a_{c}") for c in packed))
-    b = nodes.select(
+    packed = ("rows", "sizes", "components", "befores", "bits")
+    several = nodes.groupBy("token").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
+    spread = nodes.join(several.select("token"), "token")
+    a = spread.select("token", "band", "shard", "high", *(F.col(c).alias(f"a_{c}") for c in packed))
+    b = spread.select(
         "token",
         F.col("band").alias("band_b"),
         F.col("shard").alias("shard_b"),
         F.col("low").alias("low_b"),
         *(F.col(c).alias(f"b_{c}") for c in packed),
     )
-    later = F.expr(
-        "(band_b = band AND shard_b > shard) OR band_b = band + 1"
-    ) & (100 * F.col("high") >= percent * F.col("low_b"))
+    later = F.expr("(band_b = band AND shard_b > shard) OR band_b = band + 1") & (
+        100 * F.col("high") >= percent * F.col("low_b")
+    )
     columns = [f"{side}_{c}" for side in "ab" for c in packed]
-    own = a.select(*(f"a_{c}" for c in packed), *(F.lit(None).cast("binary").alias(f"b_{c}") for c in packed))
-    pairs = own.where(F.length("a_rows") > 8).unionByName(a.join(b, "token").where(later).select(*columns))
+    alone = nodes.where(F.length("rows") > 8).select(
+        *(F.col(c).alias(f"a_{c}") for c in packed),
+        *(F.lit(None).cast("binary").alias(f"b_{c}") for c in packed),
+    )
+    pairs = alone.unionByName(a.join(b, "token").where(later).select(*columns))
     active = materialise(
         pairs.withColumn("pair", F.monotonically_increasing_id()).mapInArrow(
             lambda x: _active(x, percent), "pair bigint, row bigint, component bigint"
