@@ -13,17 +13,14 @@ import public_tokenizers
 from tillcast.llm import exact_dedup, jaccard_join, language_id, packing, secret_scan
 from tillcast.llm.frames import fresh, materialise, table, without
 
-#: Least score of a language that is taken as identified.
-LEAST_LANGUAGE_SCORE = 0.5
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language can't be told: no letter, no text, or a low score."""
+    """Drops documents in which no language can be told: without a text or without a letter.
+
+    A low score alone is no reason to drop: short clean documents have one too.
+    """
     found = language_id.identify(docs)
-    unknown = (F.col("lang_pred") == language_id.UNDETERMINED) | (
-        F.col("score") < LEAST_LANGUAGE_SCORE
-    )
-    return without(docs, found.where(unknown))
+    return without(docs, found.where(F.col("lang_pred") == language_id.UNDETERMINED))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,16 @@ def with_row_key(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def discard(*written: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote, once nothing that is still to run reads them."""
+    for df in written:
+        context = df.sparkSession.sparkContext
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settled(df: DataFrame, stored: bool) -> DataFrame:
     """``df`` as a written table, for operators that read it more than once by row keys.
 
@@ -74,6 +84,7 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
 
 
 __all__ = [
+    "discard",
     "fresh",
     "keyed_texts",
     "materialise",
