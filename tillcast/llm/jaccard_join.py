@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.frames import keyed_texts, materialise, picked, settled, sliced
+from tillcast.llm.frames import discard, keyed_texts, materialise, picked, settled, sliced
 from tillcast.llm.shingles import Shingler, bitmap, bitmap_width, folded, identity
 
 #: Shingles at most that are known as frequent (2 MB, broadcast).
@@ -279,19 +279,35 @@ def _node(key: tuple, rows: pa.RecordBatch) -> tuple:
     )
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A node for each run of rows with equal ``token, band, shard``; the input is sorted."""
-    held: list[pa.RecordBatch] = []
-    held_key, out = None, []
+def _nodes(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """A node for each run of rows with equal ``token, band, shard``; the input is sorted.
 
-    def ended() -> tuple:
-        whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        return _node(held_key, whole)
+    A node that is its group's only one is searched at once, and only its active rows are given.
+    """
+    held: list[pa.RecordBatch] = []
+    held_key, nodes, active = None, [], []
+
+    def ended() -> None:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        if rows.column("nodes")[0].as_py() > 1:
+            nodes.append(_node(held_key, rows))
+        elif rows.num_rows > 1:
+            row, n, component, before = (
+                rows.column(c).to_numpy().astype(np.int64) for c in ("row", "n", "component", "before")
+            )
+            tree = Tree(n, component, before, _bit_rows(_array(rows.column("bits"))))
+            found = _active_rows(tree, tree, row, row, component, component, percent)
+            active.extend((held_key[0], *x) for x in found.items())
 
     def emitted() -> pa.RecordBatch:
-        columns = [pa.array(c, f.type) for c, f in zip(zip(*out), _NODE_SCHEMA)]
-        out.clear()
-        return pa.RecordBatch.from_arrays(columns, schema=_NODE_SCHEMA)
+        blank = pa.nulls
+        columns = [pa.array([x[k] for x in nodes], f.type) for k, f in enumerate(_NODE_SCHEMA)]
+        parts = [pa.array([x[k] for x in active], pa.int64()) for k in range(3)]
+        columns = [pa.concat_arrays([c, blank(len(active), c.type)]) for c in columns]
+        columns += [pa.concat_arrays([blank(len(nodes), pa.int64()), c]) for c in parts]
+        nodes.clear()
+        active.clear()
+        return pa.RecordBatch.from_arrays(columns, [*_NODE_SCHEMA.names, "pair", "row", "component"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -302,16 +318,25 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start, end in zip(starts, [*starts[1:], batch.num_rows]):
             key = tuple(keys[:, start].tolist())
             if held and key != held_key:
-                out.append(ended())
+                ended()
                 held.clear()
             held_key = key
             held.append(batch.slice(start, end - start))
-            if len(out) == 500:
+            if len(nodes) >= 200 or len(active) >= 20_000:
                 yield emitted()
     if held:
-        out.append(ended())
-    if out:
-        yield emitted()
+        ended()
+    yield emitted()
+
+
+def _active_rows(tree, other, left, right, component, component2, percent: int) -> dict[int, int]:
+    """Rows of pairs that may be linked and are of two components, with their components."""
+    found: dict[int, int] = {}
+    for a, b in tree.pairs(other, percent):
+        apart = component[a] != component2[b]
+        found.update(zip(left[a[apart]].tolist(), component[a[apart]].tolist()))
+        found.update(zip(right[b[apart]].tolist(), component2[b[apart]].tolist()))
+    return found
 
 
 _NODE = (
@@ -358,11 +383,7 @@ def _active(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                     continue
                 tree = Tree(n, component, before, bits)
                 other = Tree(n2, component2, before2, bits2)
-            found: dict[int, int] = {}
-            for a, b in tree.pairs(other, percent):
-                apart = component[a] != component2[b]
-                found.update(zip(left[a[apart]].tolist(), component[a[apart]].tolist()))
-                found.update(zip(right[b[apart]].tolist(), component2[b[apart]].tolist()))
+            found = _active_rows(tree, other, left, right, component, component2, percent)
             pair += [batch.column("pair")[i].as_py()] * len(found)
             rows += list(found)
             components += list(found.values())
@@ -470,7 +491,7 @@ def similar_components(
     texts = keyed_texts(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     shared = spark.sparkContext.broadcast(frequent_shingles(texts, words))
-    sets = materialise(
+    prefixes = materialise(
         texts.mapInArrow(
             lambda b: _sets(b, words, percent, shared),
             f"row bigint, id {kind}, n bigint, name binary, rare array<bigint>, "
@@ -485,6 +506,9 @@ def similar_components(
             chosen.mapInArrow(lambda b: _whole_sets(b, words), "row bigint, tokens binary"), name
         )
 
+    # The first shingles are the largest part and are needed for the groups only.
+    sets = materialise(prefixes.drop("rare", "frequent"), "shingle-identities")
+
     # 1. One row of each class of equal sets.
     smallest = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("smallest")
     classes = materialise(
@@ -501,7 +525,7 @@ def similar_components(
         .select("row")
     )
     copies = materialise(copies, "shingle-copies")
-    single = picked(sets.where("n > 0"), copies, "left_anti")
+    single = picked(prefixes.where("n > 0"), copies, "left_anti")
 
     # 2. and 3. Groups of a shared shingle, and their first rows. Rare shingles have small groups
     # and are dealt once; groups of frequent ones are counted before they are dealt, and the join
@@ -518,6 +542,7 @@ def similar_components(
     rare = single.select(F.explode("rare").alias("token"), "row").repartition("token")
     frequent = single.select(F.explode("frequent").alias("token"), "row")
     members = materialise(grouped(rare).unionByName(grouped(frequent)), "shared-shingles")
+    discard(prefixes)
     bits = sets.select("row", F.col("n").cast("int").alias("n"), "bits")
     size_fits = (100 * F.col("na") >= percent * F.col("nb")) & (
         100 * F.col("nb") >= percent * F.col("na")
@@ -562,6 +587,8 @@ def similar_components(
         links = links.unionByName(verified(open_pairs, "open-links"))
         found = components(links, "open")
 
+    discard(tokens)
+
     # 4. First rows are settled. So are two rows whose shared shingle before this one is the same:
     # they have met in its group. What is left are groups whose other rows are of several
     # components and come from several groups, one of each set of equal members.
@@ -602,21 +629,24 @@ def similar_components(
         F.ceil(F.count(F.lit(1)) / NODE_ROWS).cast("int").alias("shards")
     )
     place = ["token", "band", "shard"]
-    nodes = materialise(
+    whole = shards.groupBy("token").agg(F.sum("shards").cast("int").alias("nodes"))
+    searched = materialise(
         banded.join(shards, ["token", "band"])
+        .join(whole, "token")
         .withColumn("shard", F.expr("cast(pmod(xxhash64(row, 3), shards) AS int)"))
         .join(bits.select("row", "bits"), "row")
-        .select(*place, "row", "n", "component", "before", "bits")
+        .select(*place, "nodes", "row", "n", "component", "before", "bits")
         .repartition(*place)
         .sortWithinPartitions(*place)
-        .mapInArrow(_nodes, _NODE),
+        .mapInArrow(
+            lambda b: _nodes(b, percent), _NODE + ", pair bigint, row bigint, component bigint"
+        ),
         "tree-nodes",
     )
+    nodes = searched.where("rows IS NOT NULL")
     packed = ("rows", "sizes", "components", "befores", "bits")
-    several = nodes.groupBy("token").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
-    spread = nodes.join(several.select("token"), "token")
-    a = spread.select("token", "band", "shard", "high", *(F.col(c).alias(f"a_{c}") for c in packed))
-    b = spread.select(
+    a = nodes.select("token", "band", "shard", "high", *(F.col(c).alias(f"a_{c}") for c in packed))
+    b = nodes.select(
         "token",
         F.col("band").alias("band_b"),
         F.col("shard").alias("shard_b"),
@@ -627,27 +657,49 @@ def similar_components(
         100 * F.col("high") >= percent * F.col("low_b")
     )
     columns = [f"{side}_{c}" for side in "ab" for c in packed]
-    alone = nodes.where(F.length("rows") > 8).select(
+    within = nodes.where(F.length("rows") > 8).select(
         *(F.col(c).alias(f"a_{c}") for c in packed),
         *(F.lit(None).cast("binary").alias(f"b_{c}") for c in packed),
     )
-    pairs = alone.unionByName(a.join(b, "token").where(later).select(*columns))
-    active = materialise(
-        pairs.withColumn("pair", F.monotonically_increasing_id()).mapInArrow(
-            lambda x: _active(x, percent), "pair bigint, row bigint, component bigint"
-        ),
-        "active-rows",
+    pairs = within.unionByName(a.join(b, "token").where(later).select(*columns))
+    across = pairs.withColumn("pair", F.monotonically_increasing_id()).mapInArrow(
+        lambda x: _active(x, percent), "pair bigint, row bigint, component bigint"
     )
+    # Two groups under one number would only be searched together.
+    alone = searched.where("pair IS NOT NULL").select("pair", "row", "component")
+    active = materialise(alone.unionByName(across), "active-rows")
+    discard(members, labelled, banded, searched)
     more = None
     rows = active.select("row").distinct()
     if active.limit(1).count():
         tokens = whole_sets(rows, "active-sets")
+        # A row is active in many groups. Rows that groups connect are one cluster, and a row is
+        # in one cluster only; a large cluster is searched as pairs of shards.
+        edges = active.withColumn("a", F.min("row").over(Window.partitionBy("pair"))).selectExpr(
+            "a", "row AS b"
+        )
+        clusters = components(edges, "active").withColumnRenamed("component", "cluster")
+        shards = clusters.groupBy("cluster").agg(
+            F.ceil(F.count(F.lit(1)) / NODE_ROWS).cast("int").alias("shards")
+        )
+        blocks = (
+            clusters.join(shards, "cluster")
+            .withColumn("shard", F.expr("cast(pmod(xxhash64(row, 5), shards) AS int)"))
+            .withColumn("other", F.explode(F.expr("sequence(0, shards - 1)")))
+            .select(
+                F.xxhash64(
+                    "cluster", F.least("shard", "other"), F.greatest("shard", "other")
+                ).alias("pair"),
+                "row",
+            )
+            .join(active.select("row", "component").distinct(), "row")
+        )
 
         def pair_links(table: pa.Table) -> pa.Table:
             return _pair_links(table, percent)
 
         more = materialise(
-            active.join(tokens, "row")
+            blocks.join(tokens, "row")
             .groupBy("pair")
             .applyInArrow(pair_links, "a bigint, b bigint"),
             "tree-links",
