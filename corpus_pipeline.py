@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from tillcast.llm import exact_dedup, jaccard_join, language_id, packing, secret_scan
-from tillcast.llm.frames import fresh, materialise, table, without
+from tillcast.llm.frames import fresh, materialise, numbered, table, without
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,19 +19,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A low score alone is no reason to drop: short clean documents have one too.
     """
-    found = language_id.identify(docs)
-    return without(docs, found.where(F.col("lang_pred") == language_id.UNDETERMINED))
+    key = fresh(docs, "row_key")
+    docs = numbered(docs, key, stored=True)
+    found = language_id.identify(docs, row_col=key)
+    return without(docs, found.where(F.col("lang_pred") == language_id.UNDETERMINED), key)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one of the documents whose texts are equal apart from white space."""
-    return without(docs, exact_dedup.exact_classes(docs).where("NOT kept"))
+    key = fresh(docs, "row_key")
+    docs = numbered(docs, key, stored=True)
+    return without(docs, exact_dedup.exact_classes(docs, row_col=key).where("NOT kept"), key)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one of each group that similar texts connect: five words, similarity of 0.8."""
-    found = jaccard_join.similar_components(docs, words=5, percent=80, stored=True)
-    return without(docs, found.where("row <> keep_row"))
+    key = fresh(docs, "row_key")
+    docs = numbered(docs, key, stored=True)
+    found = jaccard_join.similar_components(docs, words=5, percent=80, row_col=key)
+    return without(docs, found.where("row <> keep_row"), key)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -147,13 +147,18 @@ def named(
 
 
 def exact_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4096
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_bytes: int = 4096,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row for each input row: its class of equal texts and whether it stays.
 
     Texts are compared without the characters of ``[ \\t-\\r]``. Of a class the row with the most
     code points stays, then the one with the smallest id, then (the same row given twice) the
     first. A null text is an empty one, null ids come last, an empty table gives no rows.
+    ``row_col`` names a key of the rows if there is one; else they are numbered.
 
     Columns: ``row`` (key of the input row), ``id``, ``points``, ``digest`` (SHA-256 of the text
     compared), ``level`` and ``name`` (the identity), ``keep_id``, ``keep_row``, ``group_size``,
@@ -164,7 +169,7 @@ def exact_classes(
         f"row bigint, id {kind}, pos int, n_blocks int, points bigint, digest string, "
         "mark binary, block binary"
     )
-    blocks = keyed_texts(docs, id_col, text_col).mapInArrow(
+    blocks = keyed_texts(docs, id_col, text_col, row_col).mapInArrow(
         lambda b: _blocks(b, block_bytes), schema
     )
     base = materialise(named(blocks, ["block"], ["row", "pos"], "blocks", "mark"), "named-blocks")

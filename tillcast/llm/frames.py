@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,19 +39,62 @@ def discard(*written: DataFrame) -> None:
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def settled(df: DataFrame, stored: bool) -> DataFrame:
-    """``df`` as a written table, for operators that read it more than once by row keys.
+#: Bits of a key for the place of a row in its file; the others number the files.
+_PLACE_BITS = 40
+#: Logical plans that read one set of files and repeat no row.
+_STRAIGHT = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
 
-    Rows are numbered as they are read, which is the same each time for files and may not be
-    for the result of a shuffle. ``stored`` says that ``df`` comes straight from files.
+
+def place_key(df: DataFrame, name: str) -> DataFrame | None:
+    """``df`` with the key ``name``: the number of the row's file, by path, and its place there.
+
+    The key depends on the files alone, not on how a scan is split. None where there is no such
+    key: ``df`` is more than columns and filters over Parquet files, or reads a file twice.
     """
-    return df if stored else materialise(df, "input")
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.children().size() == 1 and plan.getClass().getSimpleName() in _STRAIGHT:
+        plan = plan.children().head()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return None
+    path, number = fresh(df, "file_path"), fresh(df, "file_number")
+    try:
+        place = df.metadataColumn("_metadata")
+        placed = df.select("*", place["file_path"].alias(path), place["row_index"].alias(name))
+    except AnalysisException:  # other formats do not number the rows of a file
+        return None
+    files = placed.groupBy(path).agg(F.count(F.lit(1)).alias("n"), F.max(name).alias("last"))
+    files = sorted(files.collect())  # a row for each file, as many as the driver lists anyway
+    if any(n > last + 1 for _, n, last in files):
+        return None
+    numbers = df.sparkSession.createDataFrame(
+        [(f[0], k) for k, f in enumerate(files)], f"{path} string, {number} bigint"
+    )
+    key = F.shiftleft(number, _PLACE_BITS).bitwiseOR(F.col(name))
+    return placed.join(F.broadcast(numbers), path).select(*df.columns, key.alias(name))
 
 
-def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``row, id, text`` of every row; a null text counts as empty. Other columns are left out."""
+def numbered(df: DataFrame, name: str, stored: bool) -> DataFrame:
+    """``df`` with a key ``name`` that is the same in every scan, for operators that read it more
+    than once by row keys.
+
+    ``stored`` spares writing ``df`` where it comes straight from Parquet files, whose rows have
+    fixed places. Anything else is numbered once and written with its numbers: rows numbered as
+    they are read get other numbers whenever a scan is split in another way.
+    """
+    keyed = place_key(df, name) if stored else None
+    return materialise(with_row_key(df, name), "input") if keyed is None else keyed
+
+
+def keyed_texts(
+    docs: DataFrame, id_col: str, text_col: str, row_col: str | None = None
+) -> DataFrame:
+    """``row, id, text`` of every row; a null text counts as empty. Other columns are left out.
+
+    ``row_col`` names a key of the rows, see ``numbered``; without it the rows are numbered as
+    they are read, which is for one scan only.
+    """
     return docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
         F.col(id_col).alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
@@ -66,14 +110,11 @@ def picked(df: DataFrame, rows: DataFrame, how: str, key: str = "row") -> DataFr
     return df.join(F.broadcast(rows) if small else rows, key, how)
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose keys (column ``row``, as operators number them) are given.
-
-    ``docs`` must come straight from files, see ``settled``.
-    """
-    key = fresh(docs, "row_key")
+def without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """``docs`` without its column ``key`` (see ``numbered``) and without the rows of which the
+    key is in the column ``row`` of ``dropped``."""
     rows = materialise(dropped.select(F.col("row").alias(key)), "dropped-rows")
-    return picked(with_row_key(docs, key), rows, "left_anti", key).select(*docs.columns)
+    return picked(docs, rows, "left_anti", key).drop(key)
 
 
 def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -88,8 +129,9 @@ __all__ = [
     "fresh",
     "keyed_texts",
     "materialise",
+    "numbered",
     "picked",
-    "settled",
+    "place_key",
     "sliced",
     "table",
     "with_row_key",

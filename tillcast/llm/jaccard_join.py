@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.frames import discard, keyed_texts, materialise, picked, settled, sliced
+from tillcast.llm.frames import discard, fresh, keyed_texts, materialise, numbered, picked, sliced
 from tillcast.llm.shingles import Shingler, bitmap, bitmap_width, folded, identity
 
 #: Shingles at most that are known as frequent (2 MB, broadcast).
@@ -477,6 +477,7 @@ def similar_components(
     words: int = 5,
     percent: int = 80,
     stored: bool = False,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row for each input row: ``row, id, n, component_id, keep_row``.
 
@@ -484,11 +485,15 @@ def similar_components(
     its own included, and ``keep_row`` one row of the component (that of the smallest id). A text
     without words, or a null one, has ``n`` 0 and no link. Null ids count as larger than others;
     rows given twice are linked. An empty table gives no rows. ``stored`` spares writing the
-    input where it comes straight from files; it is read several times.
+    input where it comes straight from Parquet files; it is read several times. ``row_col`` names
+    a key of the rows if there is one (see ``frames.numbered``).
     """
     spark = docs.sparkSession
-    docs = settled(docs.select(id_col, text_col), stored)
-    texts = keyed_texts(docs, id_col, text_col)
+    if row_col is None:
+        docs = docs.select(id_col, text_col)
+        row_col = fresh(docs, "text_row")
+        docs = numbered(docs, row_col, stored)
+    texts = keyed_texts(docs, id_col, text_col, row_col)
     kind = docs.schema[id_col].dataType.simpleString()
     shared = spark.sparkContext.broadcast(frequent_shingles(texts, words))
     prefixes = materialise(

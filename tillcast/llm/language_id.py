@@ -232,18 +232,23 @@ def _predicted(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordB
 
 
 def predict(
-    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model: LanguageModel,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    row_col: str | None = None,
 ) -> DataFrame:
     """``row, id, lang_pred, score`` of every row, from its text alone.
 
     A text that is null, empty or without a letter is ``und`` with score 0; so is every text for
     an empty model. Ties go to the language that comes first in the alphabet. The score is the
-    language's share of the likelihoods, with words counted as partly dependent.
+    language's share of the likelihoods, with words counted as partly dependent. ``row_col``
+    names a key of the rows if there is one; else they are numbered.
     """
     plain = (model.languages, model.words, model.word_scores, model.grams, model.gram_scores)
     shared = docs.sparkSession.sparkContext.broadcast(plain)
     kind = docs.schema[id_col].dataType.simpleString()
-    return keyed_texts(docs, id_col, text_col).mapInArrow(
+    return keyed_texts(docs, id_col, text_col, row_col).mapInArrow(
         lambda b: _predicted(b, shared), f"row bigint, id {kind}, lang_pred string, score double"
     )
 
@@ -253,7 +258,7 @@ def labelled_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return docs.where(~held_out(F.col(id_col)))
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def identify(docs: DataFrame, id_col: str = "doc_id", row_col: str | None = None) -> DataFrame:
     """Train on the rows not held out and predict every row, with ``held_out``."""
-    found = predict(docs, train(labelled_rows(docs, id_col)), id_col)
+    found = predict(docs, train(labelled_rows(docs, id_col)), id_col, row_col=row_col)
     return found.withColumn("held_out", held_out(F.col("id")))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.llm.chunks import ChunkTable
-from tillcast.llm.frames import keyed_texts, materialise, sliced
+from tillcast.llm.frames import fresh, keyed_texts, materialise, place_key, sliced
 
 Pattern = tuple[tuple[int, int], ...]
 """Lengths, largest first, and how often each occurs in the sequence."""
@@ -348,6 +348,15 @@ def _placed(batches: Iterator[pa.RecordBatch], places: Places) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``keyed_texts`` by places in files where the rows have them."""
+    key = fresh(docs, "text_row")
+    placed = place_key(docs.select(id_col, text_col), key)
+    if placed is None:
+        return keyed_texts(docs, id_col, text_col)
+    return keyed_texts(placed, id_col, text_col, key)
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -371,7 +380,7 @@ def pack(
         "part int, rank bigint"
     )
     pieces = materialise(
-        keyed_texts(docs, id_col, text_col).mapInArrow(
+        _texts(docs, id_col, text_col).mapInArrow(
             lambda b: _pieces(b, tokenizer, end_id, capacity), schema
         ),
         "pieces",
@@ -418,8 +427,8 @@ def sequences(
     end_id: int = 2,
 ) -> DataFrame:
     """The packed sequences themselves: ``sequence_id, ids``. ``placed`` is written ``pack``
-    of the same ``docs``, which come straight from files (see ``frames.settled``)."""
-    ids = keyed_texts(docs, id_col, text_col).mapInArrow(
+    of the same ``docs``, which come straight from Parquet files (see ``frames.place_key``)."""
+    ids = _texts(docs, id_col, text_col).mapInArrow(
         lambda b: _ids(b, tokenizer, end_id), "row bigint, ids array<int>"
     )
     cut = F.expr("slice(ids, cast(start + 1 AS int), cast(length AS int))")

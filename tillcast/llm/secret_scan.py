@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.frames import fresh, materialise, settled, with_row_key
+from tillcast.llm.frames import fresh, materialise, numbered
 
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -300,12 +300,11 @@ def redact(
 
     Spans that overlap are replaced as one, under the kind of the first. Rows without a secret
     stay as they are, null texts included; no row is dropped. ``stored`` spares writing the
-    input where it comes straight from files.
+    input where it comes straight from Parquet files.
     """
-    docs = settled(docs, stored)
     key = fresh(docs, "secret_row")
     spans = fresh(docs, "secret_spans")
-    keyed = with_row_key(docs, key)
+    keyed = numbered(docs, key, stored)
     found = find_secrets(keyed, id_col, text_col, row_col=key).where(F.size("spans") > 0)
     found = found.select(F.col("row").alias(key), F.col("spans").alias(spans))
     text = F.col(text_col)

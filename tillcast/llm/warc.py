@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.frames import materialise, settled
+from tillcast.llm.frames import fresh, materialise, numbered
 
 #: Revisits up to this number (16 MB of keys) are broadcast to leave their pages out of the
 #: responses; beyond it the same anti-join shuffles.
@@ -83,10 +83,12 @@ def write_archives(
     a response, the others revisit it; of a row given twice the first is the response. A null
     payload is an empty one, a null id or address leaves its header line out, an empty table
     gives no record. Files hold about ``file_bytes`` bytes. ``stored`` spares writing the input
-    where it comes straight from files.
+    where it comes straight from Parquet files.
     """
-    source = settled(pages.select(id_col, url_col, payload_col), stored).select(
-        F.monotonically_increasing_id().alias("row"),
+    pages = pages.select(id_col, url_col, payload_col)
+    key = fresh(pages, "page_row")
+    source = numbered(pages, key, stored).select(
+        F.col(key).alias("row"),
         F.col(id_col).alias("id"),
         F.col(url_col).alias("url"),
         F.coalesce(F.col(payload_col), F.lit("")).alias("payload"),
