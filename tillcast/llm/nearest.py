@@ -7,6 +7,10 @@ shifted points are put on a grid and in the order of a Hilbert curve, by a range
 the vectors in its cell and in the cells next to it, as many as a share of all rows needs. What
 the curves find is merged and ranked by the inner products of the original vectors.
 
+Vectors are lifted in bands of like length, each with its own curves, and queries are asked in
+every band: under the length of one long vector all others would be lifted to one point, far from
+their queries. A band of few rows is compared with every query.
+
 A share is needed because vectors without structure have no smaller neighbourhood that holds
 their nearest ones. Cells and the queries sent to them are bounded whatever the number of rows.
 """
@@ -25,6 +29,8 @@ from tillcast.llm.frames import materialise
 
 #: Rows in a cell, and the number of cells whose queries meet a cell in one task.
 CELL, SENT = 1024, 16
+#: A band of at most so many cells' rows is compared with every query.
+FEW = 4
 _SAMPLE = 4096
 
 
@@ -59,6 +65,7 @@ class Curves:
     """Rotations, ranges and shifts of the curves; plain arrays."""
 
     longest: float
+    middle: float
     rotations: list[np.ndarray]
     low: list[np.ndarray]
     width: list[np.ndarray]
@@ -70,7 +77,8 @@ class Curves:
         rng = np.random.default_rng(seed)
         lifted = lift(sample, longest)
         full = lifted.shape[1]
-        out = cls(longest, [], [], [], [], bits)
+        middle = float(np.median(np.linalg.norm(sample / longest, axis=1)))
+        out = cls(longest, min(1.0, middle), [], [], [], [], bits)
         for _ in range(n):
             rotation = np.linalg.qr(rng.normal(size=(full, full)))[0][:, :dims]
             points = lifted @ rotation
@@ -87,15 +95,16 @@ class Curves:
         return hilbert_keys((points * (1 << self.bits)).astype(np.uint32), self.bits)
 
 
-def lift(vectors: np.ndarray, longest: float | None) -> np.ndarray:
+def lift(vectors: np.ndarray, longest: float | None, middle: float = 1.0) -> np.ndarray:
     """Unit vectors with one more dimension, which takes up what a vector lacks in length.
 
-    Queries (``longest`` is none) are scaled to unit length; their order of inner products with
-    the lifted vectors is the order of the original ones.
+    Queries (``longest`` is none) are scaled to the length ``middle``, as parts of the longest,
+    of the vectors they are to meet, and lifted like these.
     """
     if longest is None:
-        length = np.linalg.norm(vectors, axis=1, keepdims=True)
-        return np.hstack([vectors / length, np.zeros((len(vectors), 1))])
+        vectors = vectors / np.abs(vectors).max(1, keepdims=True)
+        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        return np.hstack([unit * middle, np.full((len(unit), 1), np.sqrt(1 - middle**2))])
     scaled = vectors / longest
     rest = np.sqrt(np.maximum(0, 1 - (scaled**2).sum(1, keepdims=True)))
     return np.hstack([scaled, rest])
@@ -108,25 +117,30 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def _keyed(batches: Iterator[pa.RecordBatch], shared, every: int) -> Iterator[pa.RecordBatch]:
-    curves = Curves(*shared.value)
+    fitted = [(band, Curves(*values)) for band, values in shared.value]
     for batch in batches:
         if not batch.num_rows:
             continue
         row, ids = batch.column("row").to_numpy(), batch.column("id").to_numpy()
+        bands = batch.column("band").to_numpy()
         vectors, asks = _matrix(batch.column("vector")), ids % every == 0
-        points = np.vstack([lift(vectors, curves.longest), lift(vectors[asks], None)])
-        rows = np.concatenate([row, row[asks]])
-        is_query = np.concatenate([np.zeros(len(row), bool), np.ones(asks.sum(), bool)])
-        for curve in range(len(curves.rotations)):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(rows), curve, np.int32)),
-                    pa.array(curves.keys(points, curve)),
-                    pa.array(is_query),
-                    pa.array(rows),
-                ],
-                ["curve", "key", "is_query", "row"],
-            )
+        for k, (band, curves) in enumerate(fitted):
+            own = bands == band
+            asked = lift(vectors[asks], None, curves.middle)
+            points = np.vstack([lift(vectors[own], curves.longest), asked])
+            rows = np.concatenate([row[own], row[asks]])
+            is_query = np.concatenate([np.zeros(own.sum(), bool), np.ones(asks.sum(), bool)])
+            n = len(curves.rotations)
+            for curve in range(n):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(rows), k * n + curve, np.int32)),
+                        pa.array(curves.keys(points, curve)),
+                        pa.array(is_query),
+                        pa.array(rows),
+                    ],
+                    ["curve", "key", "is_query", "row"],
+                )
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,6 +191,77 @@ def _best(
     return query_ids[q[some]], ids[c[some]], exact[some]
 
 
+def _along_curves(
+    base: DataFrame,
+    large: list,
+    asking: int,
+    every: int,
+    curves: int,
+    share: float,
+    dims: int,
+    bits: int,
+    seed: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of large bands by cell, and the queries of every row that asks by the cells they meet."""
+    spark = base.sparkSession
+    want = max(256, min(_SAMPLE, 16 * _SAMPLE // len(large)))
+    steps = [(b["band"], min(1 << 30, (want << 30) // b["n"] + 1)) for b in large]
+    taken = spark.createDataFrame(steps, "band int, below bigint")
+    sample = base.join(F.broadcast(taken), "band").where(f"pmod(xxhash64(id), {1 << 30}) < below")
+    sample = sample.select("band", "vector").toArrow()
+    at, points = sample.column("band").to_numpy(), _matrix(sample.column("vector"))
+    fitted = []
+    for b in large:
+        own = Curves.fit(points[at == b["band"]], b["longest"], curves, dims, bits, seed)
+        fitted.append((b["band"], tuple(vars(own).values())))
+    shared = spark.sparkContext.broadcast(fitted)
+    keyed = base.mapInArrow(
+        lambda b: _keyed(b, shared, every), "curve int, key bigint, is_query boolean, row bigint"
+    )
+    order = ["curve", "key", "is_query", "row"]
+    numbered = materialise(
+        keyed.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .mapInArrow(
+            _numbered,
+            "curve int, key bigint, is_query boolean, row bigint, part int, at bigint",
+        ),
+        "curve-orders",
+    )
+    parts = numbered.groupBy("curve", "part").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("at").alias("least")
+    )
+    before = F.sum("rows").over(Window.partitionBy("curve").orderBy("part")) - F.col("rows")
+    starts = parts.select("curve", "part", (before - F.col("least")).alias("start"))
+    placed = materialise(
+        numbered.join(F.broadcast(starts), ["curve", "part"]).select(
+            "row", "is_query", "curve", F.expr(f"cast((start + at) div {CELL} AS int)").alias("cell")
+        ),
+        "curve-cells",
+    ).join(base, "row")
+    # Queries have places in the order too.
+    reach = [-(-int((b["n"] + asking) * share + 1) // CELL) for b in large]
+    reach = [(k, n, 2 * n // SENT + 1) for k, n in enumerate(x for x in reach for _ in range(curves))]
+    reach = spark.createDataFrame(reach, "curve int, around int, shards int")
+    placed = placed.join(F.broadcast(reach), "curve")
+    candidates = placed.where("NOT is_query").select(
+        "curve", "cell", F.expr("explode(sequence(0, shards - 1)) AS shard"), "id", "vector"
+    )
+    queries = (
+        placed.where("is_query")
+        .select("curve", "cell", "around", F.expr("explode(sequence(0, 2 * around)) AS step"), "id", "vector")
+        .select(
+            F.col("curve").alias("to_curve"),
+            F.expr("cell + step - around").alias("to_cell"),
+            F.expr(f"cast(step div {SENT} AS int)").alias("to_shard"),
+            F.col("id").alias("query"),
+            F.col("vector").alias("asked"),
+        )
+        .where("to_cell >= 0")
+    )
+    return candidates, queries
+
+
 def nearest(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -194,9 +279,10 @@ def nearest(
 
     Rows without an id or a vector, with a null or non-finite component, of zero length or of
     another number of dimensions than most take no part. Rows with the same id count once. Ties
-    go to the smaller id. Without a row the result is empty. The ranges of the grid are fitted
-    on a sample of at most 4,096 rows; all rows are on every curve. ``share`` is the part of all
-    rows on each side of a query that each curve looks at.
+    go to the smaller id. Without a row the result is empty. A band has lengths within a factor
+    of two, counted from the median. The ranges of its grid are fitted on a sample of about 4,096
+    rows; all its rows are on each of its curves. ``share`` is the part of a band's rows on each
+    side of a query that each curve looks at.
     """
     spark = vectors.sparkSession
     usable = (
@@ -219,52 +305,48 @@ def nearest(
     if sizes is None:
         return spark.createDataFrame([], kind)
     base = base.where(F.size("vector") == sizes["n"])
-    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    total, longest = base.agg(F.count(F.lit(1)), F.sqrt(F.max(squares))).first()
-    sample = base.orderBy(F.xxhash64("id")).limit(_SAMPLE).select("vector").toArrow()
-    fitted = Curves.fit(_matrix(sample.column(0)), longest, curves, dims, bits, seed)
-    shared = spark.sparkContext.broadcast(tuple(vars(fitted).values()))
-    keyed = base.mapInArrow(
-        lambda b: _keyed(b, shared, every), "curve int, key bigint, is_query boolean, row bigint"
-    )
-    order = ["curve", "key", "is_query", "row"]
-    numbered = materialise(
-        keyed.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .mapInArrow(
-            _numbered,
-            "curve int, key bigint, is_query boolean, row bigint, part int, at bigint",
-        ),
-        "curve-orders",
-    )
-    parts = numbered.groupBy("curve", "part").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("at").alias("least")
+    # Over the largest component, so that no square is too large or too small.
+    most = F.array_max(F.transform("vector", lambda x: F.abs(x)))
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.col("most")) ** 2)
+    base = base.withColumn("most", most).withColumn("spread", F.sqrt(squares))
+    base = base.withColumn("norm", F.col("most") * F.col("spread"))
+    log = F.log2("most") + F.log2("spread")
+    middle = base.agg(F.percentile_approx(log, 0.5)).first()[0]
+    band = F.round(log - middle).cast("int")
+    base = base.select("id", "vector", "row", "norm", band.alias("band"))
+    # Lengths differ by a factor of 2 ** 2100 at most.
+    bands = base.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("norm").alias("longest"),
+        F.count_if(F.col("id") % every == 0).alias("asking"),
     )
-    before = F.sum("rows").over(Window.partitionBy("curve").orderBy("part")) - F.col("rows")
-    starts = parts.select("curve", "part", (before - F.col("least")).alias("start"))
-    placed = materialise(
-        numbered.join(F.broadcast(starts), ["curve", "part"]).select(
-            "row", "is_query", "curve", F.expr(f"cast((start + at) div {CELL} AS int)").alias("cell")
-        ),
-        "curve-cells",
-    ).join(base, "row")
-    around = -(-int(total * share + 1) // CELL)
-    shards = 2 * around // SENT + 1
-    candidates = placed.where("NOT is_query").select(
-        "curve", "cell", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "id", "vector"
+    bands = sorted(bands.collect())
+    asking = sum(b["asking"] for b in bands)
+    large = [b for b in bands if b["n"] > FEW * CELL]
+    n_few = sum(b["n"] for b in bands) - sum(b["n"] for b in large)
+    base = base.drop("norm")
+    few = base.where(~F.col("band").isin([b["band"] for b in large])).drop("band")
+
+    # Rows of small bands meet every query, both in chunks.
+    cells, chunks = -(-n_few // CELL), max(1, -(-asking // (4 * CELL)))
+    candidates = few.select(
+        F.lit(-1).alias("curve"),
+        F.expr(f"cast(pmod(xxhash64(id), {max(1, cells)}) AS int)").alias("cell"),
+        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("shard"),
+        "id",
+        "vector",
     )
-    queries = (
-        placed.where("is_query")
-        .select("curve", "cell", F.explode(F.sequence(F.lit(0), F.lit(2 * around))).alias("step"), "id", "vector")
-        .select(
-            F.col("curve").alias("to_curve"),
-            (F.col("cell") + F.col("step") - around).cast("int").alias("to_cell"),
-            F.expr(f"cast(step div {SENT} AS int)").alias("to_shard"),
-            F.col("id").alias("query"),
-            F.col("vector").alias("asked"),
-        )
-        .where("to_cell >= 0")
+    to_few = base.where(F.col("id") % every == 0).where(F.lit(cells > 0))
+    queries = to_few.select(
+        F.lit(-1).alias("to_curve"),
+        F.explode(F.sequence(F.lit(0), F.lit(max(0, cells - 1)))).alias("to_cell"),
+        F.expr(f"cast(pmod(xxhash64(id), {chunks}) AS int)").alias("to_shard"),
+        F.col("id").alias("query"),
+        F.col("vector").alias("asked"),
     )
+    if large:
+        met, sent = _along_curves(base, large, asking, every, curves, share, dims, bits, seed)
+        candidates, queries = candidates.unionByName(met), queries.unionByName(sent)
 
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
