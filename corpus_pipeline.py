@@ -17,12 +17,13 @@ from tillcast.llm.frames import fresh, materialise, numbered, table, without
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which no language can be told: without a text or without a letter.
 
-    A low score alone is no reason to drop: short clean documents have one too.
+    A low score alone is no reason to drop: short clean documents have one too, and so have all
+    where no row has a label to learn from.
     """
     key = fresh(docs, "row_key")
     docs = numbered(docs, key, stored=True)
     found = language_id.identify(docs, row_col=key)
-    return without(docs, found.where(F.col("lang_pred") == language_id.UNDETERMINED), key)
+    return without(docs, found.where("NOT lettered"), key)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -216,18 +216,25 @@ def train(
     return LanguageModel.of(languages, bounded(words, known_words), bounded(grams, known_grams))
 
 
+def has_letter(text: str) -> bool:
+    return any(any(map(str.isalpha, w)) for w in words_of(text))
+
+
 def _predicted(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     identifier = Identifier(LanguageModel(*shared.value))
     for batch in sliced(batches, 500):
-        found = identifier.identify(batch.column(2).to_pylist())
+        texts = batch.column(2).to_pylist()
+        found = identifier.identify(texts)
+        lettered = [f[0] != UNDETERMINED or has_letter(t) for f, t in zip(found, texts)]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 batch.column(1),
                 pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64()),
+                pa.array(lettered, pa.bool_()),
             ],
-            ["row", "id", "lang_pred", "score"],
+            ["row", "id", "lang_pred", "score", "lettered"],
         )
 
 
@@ -238,18 +245,19 @@ def predict(
     text_col: str = "text",
     row_col: str | None = None,
 ) -> DataFrame:
-    """``row, id, lang_pred, score`` of every row, from its text alone.
+    """``row, id, lang_pred, score, lettered`` of every row, from its text alone.
 
     A text that is null, empty or without a letter is ``und`` with score 0; so is every text for
-    an empty model. Ties go to the language that comes first in the alphabet. The score is the
-    language's share of the likelihoods, with words counted as partly dependent. ``row_col``
-    names a key of the rows if there is one; else they are numbered.
+    an empty model; ``lettered`` tells the two apart. Ties go to the language that comes first in
+    the alphabet. The score is the language's share of the likelihoods, with words counted as
+    partly dependent. ``row_col`` names a key of the rows if there is one; else they are numbered.
     """
     plain = (model.languages, model.words, model.word_scores, model.grams, model.gram_scores)
     shared = docs.sparkSession.sparkContext.broadcast(plain)
     kind = docs.schema[id_col].dataType.simpleString()
     return keyed_texts(docs, id_col, text_col, row_col).mapInArrow(
-        lambda b: _predicted(b, shared), f"row bigint, id {kind}, lang_pred string, score double"
+        lambda b: _predicted(b, shared),
+        f"row bigint, id {kind}, lang_pred string, score double, lettered boolean",
     )
 
 
