@@ -10,6 +10,7 @@ import public_tokenizers
 
 from tillcast.llm import (
     exact_dedup,
+    filter_audit,
     jaccard_join,
     language_id,
     license_scan,
@@ -17,6 +18,8 @@ from tillcast.llm import (
     packing,
     piece_encoding,
     secret_scan,
+    simhash,
+    spelling,
     token_counts,
     warc,
 )
@@ -129,6 +132,80 @@ GROUP BY r.doc_id
 """
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.selectExpr("id AS doc_id", "fingerprint", "component_id")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return filter_audit.audit(docs, labels, stored=True)
+
+
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents
+), worded AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM texts
+), least AS (
+  SELECT text, min(doc_id) AS least FROM texts GROUP BY text
+), failing AS (
+  SELECT w.doc_id, w.part,
+         len(words) < 200 AS a,
+         100 * len(list_distinct(words)) < 50 * len(words) AS b,
+         100 * (length(w.text) - length(regexp_replace(w.text, '[A-Z]', '', 'g')))
+           > 3 * length(w.text) AS c,
+         regexp_matches(w.text, '[#$%&*|]') AS d,
+         coalesce(least.least < w.doc_id, false) AS e
+  FROM worded w JOIN least ON least.text = w.text
+), lettered AS (
+  SELECT *, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END)
+    || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN d THEN 'D' ELSE '' END)
+    || (CASE WHEN e THEN 'E' ELSE '' END) AS fails
+  FROM failing
+), labelled AS (
+  SELECT part, fails,
+    coalesce((SELECT max(quality = 1) FROM labels l WHERE l.doc_id = x.doc_id), false) AS good,
+    coalesce((SELECT max(toxic = 1) FROM labels l WHERE l.doc_id = x.doc_id), false) AS toxic
+  FROM lettered x
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+  FROM letters p, letters q, letters r, letters s, letters t
+  WHERE p.x NOT IN (q.x, r.x, s.x, t.x) AND q.x NOT IN (r.x, s.x, t.x)
+    AND r.x NOT IN (s.x, t.x) AND s.x <> t.x
+), counted AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good,
+         count(*) FILTER (toxic) AS toxic
+  FROM labelled GROUP BY part, fails
+), placed AS (
+  SELECT part, filter_order, step, fails, n, good, toxic,
+         contains(fails, substr(filter_order, step, 1)) AS here,
+         length(regexp_replace(left(filter_order, step - 1), '[^' || fails || ']', '', 'g')) > 0
+           AND fails <> '' AS before
+  FROM counted, orders, (SELECT unnest(range(1, 6))::INTEGER AS step)
+), stepped AS (
+  SELECT part, filter_order, step,
+    CAST(coalesce(sum(n) FILTER (NOT here AND NOT before), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (here AND NOT before), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (here AND before), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (here AND length(fails) = 1), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (here AND NOT before), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (here AND NOT before), 0) AS BIGINT) AS toxic_lost
+  FROM placed GROUP BY part, filter_order, step
+), summed AS (
+  SELECT part, substr(filter_order, step, 1) AS letter, CAST(sum(removed) AS BIGINT) AS shapley
+  FROM stepped GROUP BY 1, 2
+)
+SELECT s.*, shapley
+FROM stepped s JOIN summed t ON t.part = s.part AND t.letter = substr(filter_order, step, 1)
+"""
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def _base32(hexadecimal: str) -> str:
     """SQL for 40 hexadecimal digits in base32: 5 of them are 4 of the other."""
     digits = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
@@ -163,10 +240,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_simhash": op11_simhash,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_spelling": op13_spelling,
 }
 
 SQL: dict[str, str] = {
     "op7_exact_dedup": OP7_SQL,
     "op8_warc": OP8_SQL,
     "op10_jaccard_join": OP10_SQL,
+    "op12_filter_audit": OP12_SQL,
 }
