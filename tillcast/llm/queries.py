@@ -181,8 +181,7 @@ WITH texts AS (
 ), placed AS (
   SELECT part, filter_order, step, fails, n, good, toxic,
          contains(fails, substr(filter_order, step, 1)) AS here,
-         length(regexp_replace(left(filter_order, step - 1), '[^' || fails || ']', '', 'g')) > 0
-           AND fails <> '' AS before
+         regexp_replace(left(filter_order, step - 1), '[^_' || fails || ']', '', 'g') <> '' AS before
   FROM counted, orders, (SELECT unnest(range(1, 6))::INTEGER AS step)
 ), stepped AS (
   SELECT part, filter_order, step,
