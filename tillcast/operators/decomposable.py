@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.dates import FLAG_COLUMNS
 from tillcast.operators import series as ts
+from tillcast.operators.normal_equations import key_types
+from tillcast.operators.recursion import extended, in_order
 
 # Prior scales: assumed noise variance of the scaled series and of season and regressor effects.
 NOISE_VARIANCE = 0.05
@@ -33,13 +35,19 @@ SEASON_SCALE = 10.0
 
 @dataclass(frozen=True)
 class Design:
-    """Columns of the model. Season orders of 0 switch a season off."""
+    """Columns of the model. Season orders of 0 switch a season off.
+
+    ``lags`` last values of ``y`` and, by name, so many of other columns take part as well; the
+    frame then has them as ``series.lag_matrix`` names them.
+    """
 
     changepoints: int = 10
     yearly_order: int = 6
     weekly_order: int = 3
     extra_seasons: tuple[tuple[float, int], ...] = ()
     regressors: tuple[str, ...] = tuple(FLAG_COLUMNS)
+    lags: int = 0
+    lagged_regressors: tuple[tuple[str, int], ...] = ()
 
     def groups(self) -> dict[str, int]:
         """Number of columns per component, in column order."""
@@ -49,6 +57,8 @@ class Design:
             "weekly": 2 * self.weekly_order,
             "extra": 2 * sum(order for _, order in self.extra_seasons),
             "regressors": len(self.regressors),
+            "lagged": sum(n for _, n in self.lagged_regressors),
+            "autoregression": self.lags,
         }
         return {name: n for name, n in sizes.items() if n}
 
@@ -65,17 +75,22 @@ class Design:
         for period, order in self.extra_seasons:
             parts += ts.fourier(ds, period, order)
         parts += [F.col(r) for r in self.regressors]
+        parts += [F.col(f"{r}_lag_{k}") for r, n in self.lagged_regressors for k in range(1, n + 1)]
+        # In units of the target, which is divided by the cap.
+        parts += [F.col(f"y_lag_{k}") / F.col("cap") for k in range(1, self.lags + 1)]
         return [p.cast("double") for p in parts]
 
 
 @dataclass(frozen=True)
 class Config:
-    """One way to fit a design: prior scale of trend changes, mode, seasons that take part."""
+    """One way to fit a design: prior scale of trend changes, mode, seasons that take part, and
+    whether the trend is more than a constant."""
 
     changepoint_prior_scale: float = 0.1
     mode: str = "additive"
     yearly: bool = True
     weekly: bool = True
+    slope: bool = True
 
     def params(self) -> dict[str, str]:
         return {
@@ -188,8 +203,11 @@ def _active_and_penalty(design: Design, config: Config) -> tuple[np.ndarray, np.
     for name, n in design.groups().items():
         active += [not switched_off.get(name, False)] * n
         if name == "trend":
+            active[1:] = [config.slope] * (n - 1)
             hinge = NOISE_VARIANCE / config.changepoint_prior_scale**2
             penalty += [1e-8, 1e-8] + [hinge] * (n - 2)
+        elif name in ("autoregression", "lagged"):
+            penalty += [1e-8] * n
         else:
             penalty += [season] * n
     return np.array(active), np.array(penalty)
@@ -329,6 +347,88 @@ def clamp_to_cap(yhat: Column, cap: Column, floor: float = 0.0) -> Column:
     return F.greatest(F.lit(floor), F.least(yhat, cap))
 
 
+# --- lags ------------------------------------------------------------------------------------
+
+
+def fit_lagged(train: DataFrame, keys: list[str], design: Design, config: Config | None = None, scope: str = "local"):
+    """Model rows of a design with lags, fitted on the days that have all of them."""
+    return fit(ts.lag_matrix(train, keys, design.lags, dict(design.lagged_regressors)), keys, design, config, scope)
+
+
+def score_recursive(
+    train: DataFrame, future: DataFrame, models: DataFrame, keys: list[str], design: Design
+) -> DataFrame:
+    """``keys, ds, yhat`` of the days of ``future``, which follow those of ``train``.
+
+    The forecast of a day is a lag of the days after it. Of lagged regressors nothing is known after
+    the last training day, whose value stays. For additive models; forecasts are not clamped.
+    A series with fewer days than lags has no forecast.
+    """
+    names = [name for name, _ in design.lagged_regressors]
+    deepest = max([design.lags, *[n for _, n in design.lagged_regressors]])
+    order = Window.partitionBy(*keys).orderBy("ds")
+    back = Window.partitionBy(*keys).orderBy(F.desc("ds"))
+    recent = train.withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= deepest)
+    history = in_order(recent, keys, "ds", past=F.col("y")).drop("ds")
+    days = future.select(*keys, "ds", *design.regressors).withColumn("_future", F.lit(True))
+    if names:
+        # The known days come along for the lags of the first future ones.
+        both = recent.select(*keys, "ds", *names).unionByName(days, allowMissingColumns=True)
+        kept = {n: F.last(n, ignorenulls=True).over(order) for n in names}
+        lagged = {
+            f"{n}_lag_{k}": F.lag(n, k).over(order)
+            for n, count in design.lagged_regressors
+            for k in range(1, count + 1)
+        }
+        days = both.withColumns(kept).withColumns(lagged).where("_future")
+    joined = days.join(models, keys)
+    known = replace(design, lags=0)
+    drive = sum(
+        (F.col("coefficients")[i] * c for i, c in enumerate(known.columns())), F.lit(0.0)
+    )
+    ahead = in_order(joined, keys, "ds", drive=drive * F.col("cap"))
+    ahead = ahead.join(models.select(*keys, "coefficients"), keys).join(history, keys)
+    ahead = ahead.where(F.size("past") >= design.lags)
+    terms = {k: F.col("coefficients")[known.width() + k - 1] for k in range(1, design.lags + 1)}
+    values = extended(F.col("drive"), F.col("past"), terms)
+    return ahead.select(*keys, F.inline(F.arrays_zip(F.col("ds"), values.alias("yhat"))))
+
+
+# --- cross-validation ------------------------------------------------------------------------
+
+
+def cross_validate(
+    series: DataFrame, keys: list[str], design: Design, config: Config | None = None, k: int = 5
+) -> DataFrame:
+    """The test days of ``k`` folds with growing training parts (see ``series.folds_expanding``):
+    ``keys, fold, ds, y, yhat``, each predicted by the model of its fold.
+
+    The training part of a fold is that of the one before and a block more. Column products are
+    summed once, by block, and a fold's are the sum of its blocks: one pass and ``k`` small
+    solves, equal to ``k`` separate fits. Time and size are scaled by the whole series, in all
+    folds alike; trend changes after a training part have no effect in it.
+    """
+    config = config or Config()
+    framed = training_frame(series, keys)
+    placed = ts.numbered(framed, keys)
+    size = F.floor(F.col("_rows") / (k + 1))
+    first = F.col("_rows") - size * k  # rows of the first training part
+    behind = F.greatest(F.col("_row") - first, F.lit(0))
+    # 0 for the first training part, i for the test part of fold i.
+    block = F.when(size > 0, F.ceil(behind / F.nullif(size, F.lit(0)))).otherwise(0).cast("int")
+    placed = placed.withColumn("block", block).drop("_row", "_rows")
+    blocks = column_products(placed.where(F.col("block") < k), [*keys, "block"], design)
+    by_fold = [*keys, "fold"]
+    folds = blocks.withColumn("fold", F.explode(F.sequence(F.col("block") + 1, F.lit(k)))).drop("block")
+    types = key_types(folds, by_fold)
+    sums = folds.groupBy(*by_fold).applyInPandas(_merge_sums(by_fold), f"{types}, {_SUMS}")
+    solved = solve(sums, by_fold, design, [config])
+    test = placed.where(F.col("block") > 0).withColumnRenamed("block", "fold")
+    models = solved.select(*by_fold, "mode", "coefficients")
+    scored = score(test.join(models, by_fold), None, by_fold, design, clamp=False)
+    return scored.select(*by_fold, "ds", "y", "yhat")
+
+
 # --- search ----------------------------------------------------------------------------------
 
 

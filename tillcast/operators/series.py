@@ -217,7 +217,8 @@ def split_tail_days(series: DataFrame, keys: list[str], days: int) -> DataFrame:
     return series.withColumn("split", F.when(F.col("ds") <= cutoff, "train").otherwise("test"))
 
 
-def _numbered(series: DataFrame, keys: list[str]) -> DataFrame:
+def numbered(series: DataFrame, keys: list[str]) -> DataFrame:
+    """``_row`` counts the rows of a series from 1 in order of time, ``_rows`` is their number."""
     return series.withColumns(
         {
             "_row": F.row_number().over(_ordered(keys)),
@@ -230,8 +231,8 @@ def split_fraction(series: DataFrame, keys: list[str], train: float, local: bool
     """First share of the rows of each series, or of the time all series span, as ``train``."""
     if local:
         inside = F.col("_row") <= F.floor(F.col("_rows") * F.lit(train))
-        numbered = _numbered(series, keys)
-        return numbered.withColumn("split", F.when(inside, "train").otherwise("test")).drop("_row", "_rows")
+        placed = numbered(series, keys)
+        return placed.withColumn("split", F.when(inside, "train").otherwise("test")).drop("_row", "_rows")
     span = series.agg(F.struct(F.min("ds").alias("lo"), F.max("ds").alias("hi"))).scalar()
     days = F.floor((F.datediff(span["hi"], span["lo"]) + 1) * F.lit(train)).cast("int")
     inside = F.datediff(F.col("ds"), span["lo"]) < days
@@ -248,7 +249,7 @@ def split_three_way(series: DataFrame, keys: list[str], valid: float, test: floa
     fit = F.floor(F.col("_rows") * F.lit(1.0 - test))
     train = F.floor(fit * F.lit(1.0 - valid))
     split = F.when(F.col("_row") <= train, "train").when(F.col("_row") <= fit, "valid").otherwise("test")
-    return _numbered(series, keys).withColumn("split", split).drop("_row", "_rows")
+    return numbered(series, keys).withColumn("split", split).drop("_row", "_rows")
 
 
 def _folds(series: DataFrame, keys: list[str], bounds: list[tuple[int, Column, Column]]) -> DataFrame:
@@ -257,7 +258,7 @@ def _folds(series: DataFrame, keys: list[str], bounds: list[tuple[int, Column, C
         F.struct(F.lit(i).alias("fold"), a.cast("int").alias("_after"), b.cast("int").alias("_upto"))
         for i, a, b in bounds
     ]
-    exploded = _numbered(series, keys).select(*series.columns, "_row", F.explode(F.array(*structs)).alias("_f"))
+    exploded = numbered(series, keys).select(*series.columns, "_row", F.explode(F.array(*structs)).alias("_f"))
     used = exploded.select(*series.columns, "_row", "_f.*").where(F.col("_row") <= F.col("_upto"))
     split = F.when(F.col("_row") <= F.col("_after"), "train").otherwise("test")
     return used.withColumn("split", split).drop("_row", "_after", "_upto")

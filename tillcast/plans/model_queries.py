@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import dates
 from tillcast.operators import (
-    aggregates, cell_mean, classify, collecting, decomposable, forests, intervals, reshape, rows,
-    seasonal_ar, segments, selection, series, stats, windows,
+    aggregates, cell_mean, classify, collecting, decomposable, evaluation, forests, intervals,
+    quantile_fit, reshape, rows, saturating, seasonal_ar, seasonal_arma, segments, selection, series,
+    stats, windows,
 )
 from tillcast.operators.decomposable import Config, Design
 from tillcast.operators.evaluation import forecast_metrics
 from tillcast.plans import forecast_run
 from tillcast.plans.catalog import query, rounded
 from tillcast.plans.retail_queries import totals
-from tillcast.plans.series_queries import KEYS, SERIES_SQL, category_series
+from tillcast.plans.series_queries import KEYS, NUMBERED_SQL, SERIES_SQL, category_series
 from tillcast.sources import sinks
 from tillcast.sources.files import year_range
 from tillcast.sources.shared import materialise, new_path
@@ -389,15 +390,41 @@ def fc_decomposable_year_ahead(star):
     return decomposable.score(future.select(*KEYS, "ds"), models, KEYS, design).select(*KEYS, "ds", "yhat")
 
 
+def _saturating(star):
+    """Logistic growth up to the largest training value of each series, as the original has it."""
+    train, test = _split(star)
+    models = materialise(saturating.fit(train, KEYS, Design(), capacity="largest"), "growth")
+    return saturating.score(test, models, KEYS, Design())
+
+
 @query("fc_logistic_cap")
 def fc_logistic_cap(star):
-    """Forecasts stay between 0 and the largest training value of their series."""
-    train, test = _split(star)
-    models = decomposable.fit(train, KEYS, Design())
-    scored = decomposable.score(test, models, KEYS, Design())
-    caps = decomposable.series_scaling(train, KEYS).select(*KEYS, "cap")
-    joined = scored.select(*KEYS, "ds", "yhat").join(caps, KEYS)
-    return joined.withColumn("inside", F.col("yhat").between(F.lit(0.0), F.col("cap")))
+    scored = _saturating(star).withColumnRenamed("capacity", "cap")
+    inside = F.col("yhat").between(F.lit(0.0), F.col("cap"))
+    return scored.select(*KEYS, "ds", "yhat", "growth", "cap", inside.alias("inside"))
+
+
+@query(
+    "fc_logistic_bounds",
+    CELL_28
+    + f""", c AS (SELECT region, category, max(y) AS cap FROM fc WHERE back >= 28 GROUP BY 1, 2)
+    SELECT region, category, {DS}, cap, true AS inside FROM fc JOIN c USING (region, category) WHERE back < 28""",
+)
+def fc_logistic_bounds(star):
+    """The days and capacities of the saturating forecasts, and that none is outside."""
+    scored = _saturating(star)
+    inside = F.col("yhat").between(F.lit(0.0), F.col("capacity"))
+    return scored.select(*KEYS, "ds", F.col("capacity").alias("cap"), inside.alias("inside"))
+
+
+@query("fc_growth")
+def fc_growth(star):
+    """Capacity, rate and midpoint of the growth of each running total."""
+    running = category_series(star).withColumn(
+        "y", F.sum("y").over(Window.partitionBy(*KEYS).orderBy("ds"))
+    )
+    found = saturating.fit_growth(running, KEYS)
+    return found.select(*KEYS, "t0", "span", "capacity", "rate", "midpoint", "converged")
 
 
 @query("fc_tune")
@@ -414,8 +441,126 @@ def fc_multiplicative(star):
 
 @query("fc_seasonal_ar")
 def fc_seasonal_ar(star):
+    """Orders and differences of every series by search."""
+    split = series.split_tail_days(category_series(star, flags=True), KEYS, 28)
+    return seasonal_arma.forecast(split, KEYS).withColumnRenamed("order", "arima_order")
+
+
+ONE_LAG_SQL = (
+    CELL_28
+    + """, l AS (SELECT region, category, ds, back, y, lag(y) OVER (PARTITION BY region, category ORDER BY ds) AS x,
+      (ds - min(ds) OVER (PARTITION BY region, category))::DOUBLE AS t FROM fl),
+    lt AS (SELECT * FROM l WHERE back >= 28 AND x IS NOT NULL)"""
+)
+
+
+@query(
+    "fc_seasonal_ar_one_lag",
+    "WITH RECURSIVE" + ONE_LAG_SQL.removeprefix("WITH")
+    + """, m AS (SELECT region, category, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, arg_max(y, ds) AS last_y, max(ds) AS last_ds FROM lt GROUP BY 1, 2),
+    f(region, category, a, b, ds, yhat, h) AS (SELECT region, category, a, b, last_ds + 1, a + b * last_y, 1 FROM m
+      UNION ALL SELECT region, category, a, b, ds + 1, a + b * yhat, h + 1 FROM f WHERE h < 28)
+    SELECT region, category, CAST(ds AS VARCHAR) AS ds, round(greatest(yhat, 0), 3) AS yhat FROM f""",
+)
+def fc_seasonal_ar_one_lag(star):
+    """One lag without differences: a recursion that SQL can follow."""
     split = series.split_tail_days(category_series(star, flags=True), KEYS, 28)
-    return seasonal_ar.forecast(split, KEYS)
+    fixed = split.select(*KEYS, F.lit(0).alias("d"), F.lit(0).alias("seasonal_d")).distinct()
+    found = seasonal_arma.forecast(split, KEYS, [], ((1, 0, 0, 0),), differences=fixed)
+    return rounded(found.select(*KEYS, "ds", "yhat"), "yhat", digits=3)
+
+
+LAGGED = Design(changepoints=5, yearly_order=3, weekly_order=3, regressors=("is_holiday",), lags=7, lagged_regressors=(("is_christmas", 2),))
+
+
+@query("fc_decomposable_lags")
+def fc_decomposable_lags(star):
+    """Seven lags of the series and two of a regressor; each day's forecast feeds the next."""
+    train, test = _split(star)
+    models = materialise(decomposable.fit_lagged(train, KEYS, LAGGED), "lagged")
+    return decomposable.score_recursive(train, test, models, KEYS, LAGGED)
+
+
+@query(
+    "fc_lag_trend",
+    "WITH RECURSIVE" + ONE_LAG_SQL.removeprefix("WITH")
+    + """, c AS (SELECT region, category, avg(y) AS my, avg(x) AS mx, avg(t) AS mt, var_pop(t) AS tt, var_pop(x) AS xx, covar_pop(t, x) AS tx,
+      covar_pop(t, y) AS ty, covar_pop(x, y) AS xy, arg_max(y, ds) AS last_y, max(ds) AS last_ds, max(t) AS last_t FROM lt GROUP BY 1, 2),
+    m AS (SELECT *, (ty * xx - xy * tx) / (tt * xx - tx * tx) AS bt, (xy * tt - ty * tx) / (tt * xx - tx * tx) AS bx FROM c),
+    f(region, category, a, bt, bx, t, ds, yhat, h) AS (SELECT region, category, my - bt * mt - bx * mx, bt, bx, last_t + 1, last_ds + 1,
+        my - bt * mt - bx * mx + bt * (last_t + 1) + bx * last_y, 1 FROM m
+      UNION ALL SELECT region, category, a, bt, bx, t + 1, ds + 1, a + bt * (t + 1) + bx * yhat, h + 1 FROM f WHERE h < 28)
+    SELECT region, category, CAST(ds AS VARCHAR) AS ds, round(yhat, 3) AS yhat FROM f""",
+)
+def fc_lag_trend(star):
+    """A straight line and one lag."""
+    design = Design(changepoints=0, yearly_order=0, weekly_order=0, regressors=(), lags=1)
+    train, test = _split(star)
+    models = materialise(decomposable.fit_lagged(train, KEYS, design), "lagged")
+    return rounded(decomposable.score_recursive(train, test, models, KEYS, design), "yhat", digits=3)
+
+
+PROBS = {"lower": 0.1, "median": 0.5, "upper": 0.9}
+
+
+@query("fc_quantile_regression")
+def fc_quantile_regression(star):
+    train, test = _split(star)
+    models = quantile_fit.fit(train, KEYS, Design(), PROBS)
+    return quantile_fit.score(test, models, KEYS, Design(), PROBS).select(*KEYS, "ds", "y", *PROBS)
+
+
+@query(
+    "fc_quantile_shares",
+    CELL_28
+    + """, n AS (SELECT region, category, count(*) AS n FROM fc WHERE back >= 28 GROUP BY 1, 2)
+    SELECT region, category, q.name AS quantile, n, true AS holds, 0::BIGINT AS crossed
+    FROM n, (VALUES ('lower'), ('median'), ('upper')) q(name)""",
+)
+def fc_quantile_shares(star):
+    """Whether the share of training days below each fitted quantile is within 1 % of its own, and
+    the days on which two quantiles cross."""
+    train, _ = _split(star)
+    scored = quantile_fit.score(train, quantile_fit.fit(train, KEYS, Design(), PROBS), KEYS, Design(), PROBS)
+    below = lambda name: F.avg((F.col("y") <= F.col(name) + 1e-9).cast("double"))
+    shares = scored.groupBy(*KEYS).agg(
+        F.count("*").alias("n"),
+        *[(F.abs(below(name) - q) <= 0.01).alias(name) for name, q in PROBS.items()],
+        F.count_if((F.col("lower") > F.col("median")) | (F.col("median") > F.col("upper"))).alias("crossed"),
+    )
+    rows_ = [F.struct(F.lit(n).alias("quantile"), F.col(n).alias("holds")) for n in PROBS]
+    return shares.select(*KEYS, "n", "crossed", F.inline(F.array(*rows_)))
+
+
+# --- cross-validation of fitted models -------------------------------------------------------
+
+
+def _fold_summary(star, design: Design):
+    scored = decomposable.cross_validate(category_series(star, flags=True), KEYS, design)
+    per_fold = evaluation.basic_metrics(scored, [*KEYS, "fold"])
+    return evaluation.fold_summary(per_fold, KEYS, "rmse")
+
+
+@query("ev_cv_model")
+def ev_cv_model(star):
+    """Errors of the whole model over five growing training parts."""
+    return rounded(_fold_summary(star, Design()), "mean", "std", "min", "max")
+
+
+@query(
+    "ev_cv_trend",
+    NUMBERED_SQL
+    + """, b AS (SELECT r.*, k AS fold, n - (n // 6) * (5 - k) AS upto, n // 6 AS size FROM r, (SELECT unnest(range(1, 6))::INTEGER AS k)),
+    tr AS (SELECT region, category, fold, regr_slope(y, rn) AS b, regr_intercept(y, rn) AS a FROM b WHERE rn <= upto - size GROUP BY 1, 2, 3),
+    te AS (SELECT b.region, b.category, b.fold, sqrt(avg((y - a - tr.b * rn) * (y - a - tr.b * rn))) AS rmse FROM b
+      JOIN tr ON b.region = tr.region AND b.category = tr.category AND b.fold = tr.fold WHERE rn > upto - size AND rn <= upto GROUP BY 1, 2, 3)
+    SELECT region, category, round(avg(rmse), 3) AS mean, round(stddev_samp(rmse), 3) AS std, round(min(rmse), 3) AS min, round(max(rmse), 3) AS max
+    FROM te GROUP BY 1, 2""",
+)
+def ev_cv_trend(star):
+    """The same with a straight line as model."""
+    line = Design(changepoints=0, yearly_order=0, weekly_order=0, regressors=())
+    return rounded(_fold_summary(star, line), "mean", "std", "min", "max", digits=3)
 
 
 @query("fc_seasonal_ar_monthly")
