@@ -41,23 +41,38 @@ def looked_up(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner")
     return common.unionByName(spread)
 
 
+#: Vertices up to this number (16 MB) meet the edges as a broadcast; beyond it they are looked up.
+BROADCAST_ROWS = 1_000_000
+
+
 def _starred(edges: DataFrame, larger: bool, name: str) -> DataFrame:
     """One step: every vertex ties its larger neighbours, or itself and its smaller ones, to the
-    smallest vertex among its neighbours and itself."""
+    smallest vertex among its neighbours and itself. Edges go from the larger vertex to the smaller."""
     both = edges
     if larger:
         both = edges.unionByName(edges.selectExpr("v AS u", "u AS v"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    least = materialise(least, f"{name}-least")
-    tied = looked_up(both, least, "u")
+    if edges.count() <= BROADCAST_ROWS // 2:
+        tied = both.join(F.broadcast(least), "u")
+    else:
+        tied = looked_up(both, materialise(least, f"{name}-least"), "u")
     if larger:
         found = tied.where("v > u").selectExpr("v AS u", "m AS v")
     else:
-        own = least.where("u <> m").selectExpr("u", "m AS v")
-        found = tied.where("v <> m").selectExpr("v AS u", "m AS v").unionByName(own)
+        # The edge to the smallest vertex stands for the vertex itself.
+        found = tied.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
     return materialise(found.distinct(), f"{name}-edges")
 
 
+def _is_done(edges: DataFrame) -> bool:
+    """Whether every larger vertex has one edge and is no smaller vertex."""
+    ends = edges.select("u", F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    seen = ends.groupBy("u").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).isEmpty()
+
+
 def connected(links: DataFrame, name: str = "links") -> DataFrame:
     """``node, component`` of every node of ``links`` (``a, b``, any type with an order); the
     component is its smallest node.
@@ -67,16 +82,11 @@ def connected(links: DataFrame, name: str = "links") -> DataFrame:
     steps grows with the logarithm of the longest path. It ends when every vertex has one edge,
     to its component. Links to itself, repeated links and an empty table are fine.
     """
-    # Edges go from the larger vertex u to the smaller v.
     edges = links.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
     edges = materialise(edges.distinct(), f"{name}-edges")
-    while True:
-        # A forest of stars: nothing is both a larger and a smaller vertex, or larger twice.
-        heads = edges.selectExpr("u AS v").distinct()
-        if edges.count() == heads.count() and edges.join(heads, "v", "left_semi").isEmpty():
-            break
+    while not _is_done(edges):
         wide = _starred(edges, True, name)
         discard(edges)
         edges = _starred(wide, False, name)
