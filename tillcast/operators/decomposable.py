@@ -38,7 +38,8 @@ class Design:
     """Columns of the model. Season orders of 0 switch a season off.
 
     ``lags`` last values of ``y`` and, by name, so many of other columns take part as well; the
-    frame then has them as ``series.lag_matrix`` names them.
+    frame then has them as ``series.lag_matrix`` names them. A conditional season has a period, an
+    order and a 0/1 column that switches it on; events are regressors (``joins.event_flags``).
     """
 
     changepoints: int = 10
@@ -48,6 +49,7 @@ class Design:
     regressors: tuple[str, ...] = tuple(FLAG_COLUMNS)
     lags: int = 0
     lagged_regressors: tuple[tuple[str, int], ...] = ()
+    conditional_seasons: tuple[tuple[float, int, str], ...] = ()
 
     def groups(self) -> dict[str, int]:
         """Number of columns per component, in column order."""
@@ -56,6 +58,7 @@ class Design:
             "yearly": 2 * self.yearly_order,
             "weekly": 2 * self.weekly_order,
             "extra": 2 * sum(order for _, order in self.extra_seasons),
+            "conditional": 2 * sum(order for _, order, _ in self.conditional_seasons),
             "regressors": len(self.regressors),
             "lagged": sum(n for _, n in self.lagged_regressors),
             "autoregression": self.lags,
@@ -74,6 +77,8 @@ class Design:
         parts += ts.fourier(ds, 7.0, self.weekly_order)
         for period, order in self.extra_seasons:
             parts += ts.fourier(ds, period, order)
+        for period, order, condition in self.conditional_seasons:
+            parts += ts.fourier(ds, period, order, F.col(condition))
         parts += [F.col(r) for r in self.regressors]
         parts += [F.col(f"{r}_lag_{k}") for r, n in self.lagged_regressors for k in range(1, n + 1)]
         # In units of the target, which is divided by the cap.
@@ -370,7 +375,8 @@ def score_recursive(
     back = Window.partitionBy(*keys).orderBy(F.desc("ds"))
     recent = train.withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= deepest)
     history = in_order(recent, keys, "ds", past=F.col("y")).drop("ds")
-    days = future.select(*keys, "ds", *design.regressors).withColumn("_future", F.lit(True))
+    conditions = [c for _, _, c in design.conditional_seasons]
+    days = future.select(*keys, "ds", *design.regressors, *conditions).withColumn("_future", F.lit(True))
     if names:
         # The known days come along for the lags of the first future ones.
         both = recent.select(*keys, "ds", *names).unionByName(days, allowMissingColumns=True)

@@ -33,7 +33,8 @@ def mean_elasticity(price_sales: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(totals: DataFrame, key: str, day: str, value: str) -> DataFrame:
-    """Correlation of the daily totals of every two keys ``a <= b`` that share a day, in rows.
+    """Correlation of the daily totals of every two keys ``a <= b``, in rows; for an attribute with few
+    values.
 
     ``totals`` has one row per key and day; a day without a row counts as 0, which needs no rows
     of its own: sums over the rows there are and the number of days are enough. The sums are
@@ -54,7 +55,9 @@ def correlation_matrix(totals: DataFrame, key: str, day: str, value: str) -> Dat
     )
     other = own.select(F.col("a").alias("b"), F.col("_sx").alias("_sy"), F.col("_sxx").alias("_syy"))
     days = totals.select(day).distinct().agg(F.count("*").alias("_n"))
-    joined = products.join(own, "a").join(other, "b").join(F.broadcast(days))
+    # Two keys without a common day have no products, but a correlation.
+    pairs = own.join(other, F.col("a") <= F.col("b")).join(products, ["a", "b"], "left")
+    joined = pairs.fillna(0, ["_xy"]).join(F.broadcast(days))
     n, sx, sy = F.col("_n").cast("double"), F.col("_sx").cast("double"), F.col("_sy").cast("double")
     cov = n * F.col("_xy").cast("double") - sx * sy
     spread = (n * F.col("_sxx").cast("double") - sx * sx) * (n * F.col("_syy").cast("double") - sy * sy)

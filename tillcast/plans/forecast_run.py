@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.operators import cell_mean, decomposable, seasonal_ar, selection, series, windows
+from tillcast.operators import cell_mean, decomposable, seasonal_arma, selection, series, windows
 from tillcast.operators.aggregates import rollup_forecast
 from tillcast.operators.decomposable import Design
 from tillcast.operators.evaluation import forecast_metrics
@@ -41,13 +41,23 @@ def clean_series(daily: DataFrame, keys: list[str]) -> DataFrame:
     return series.refill(series.drop_z_outliers(kept, keys), keys)
 
 
+def screened(daily: DataFrame, keys: list[str], threshold: float = 0.9) -> DataFrame:
+    """``keys, n, zero_ratio, status`` of every series: ``mostly zero`` above the threshold, else
+    ``ok``. ``n`` counts its days, those without a row included."""
+    dense = series.daily_series(daily, keys, flags=False)
+    shares = series.zero_ratio(dense, keys)
+    counted = dense.groupBy(*keys).agg(F.count("*").alias("n")).join(shares, keys)
+    status = F.when(F.col("zero_ratio") > threshold, "mostly zero").otherwise("ok")
+    return counted.withColumn("status", status)
+
+
 def all_forecasts(train: DataFrame, test: DataFrame, keys: list[str], models: DataFrame, design: Design):
     """Long frame of the three models' forecasts of the test days."""
     days = test.drop("split")
     columns = [*keys, "ds", "yhat"]
     first = decomposable.score(days, models, keys, design).select(*columns)
     marked = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    second = seasonal_ar.forecast(marked, keys).select(*columns)
+    second = seasonal_arma.forecast(marked, keys).select(*columns)
     third = cell_mean.score(days, cell_mean.fit(train, keys), keys).select(*columns)
     tagged = [
         frame.withColumn("model_type", F.lit(name))

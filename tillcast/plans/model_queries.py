@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import dates
 from tillcast.operators import (
-    aggregates, cell_mean, classify, collecting, decomposable, evaluation, forests, intervals,
-    quantile_fit, reshape, rows, saturating, seasonal_ar, seasonal_arma, segments, selection, series,
-    stats, windows,
+    aggregates, cell_mean, classify, collecting, decomposable, evaluation, forests, intervals, joins,
+    mixed_terms, partial_pooling, quantile_fit, reshape, rows, saturating, seasonal_ar, seasonal_arma,
+    segments, selection, series, sparse_trend, stats, trend_uncertainty, windows,
 )
 from tillcast.operators.decomposable import Config, Design
 from tillcast.operators.evaluation import forecast_metrics
 from tillcast.plans import forecast_run
 from tillcast.plans.catalog import query, rounded
 from tillcast.plans.retail_queries import totals
-from tillcast.plans.series_queries import KEYS, NUMBERED_SQL, SERIES_SQL, category_series
+from tillcast.plans.series_queries import EVENTS, KEYS, NUMBERED_SQL, SERIES_SQL, category_series
+from tillcast.plans.table_queries import event_list
 from tillcast.sources import sinks
 from tillcast.sources.files import year_range
 from tillcast.sources.shared import materialise, new_path
@@ -230,6 +231,17 @@ def fc_interval_band(star):
     return rounded(df, "yhat", "yhat_lower", "yhat_upper")
 
 
+@query("fc_interval_trend")
+def fc_interval_trend(star):
+    """Intervals from simulated changes of the trend and residuals."""
+    train, test = _split(star)
+    models = materialise(decomposable.fit(train, KEYS, Design()), "models")
+    score = lambda days: decomposable.score(days, models, KEYS, Design(), clamp=False)
+    spread = trend_uncertainty.residual_spread(score(train), KEYS)
+    draws = trend_uncertainty.simulated(score(test), models, spread, KEYS, Design())
+    return trend_uncertainty.band(draws, KEYS)
+
+
 @query(
     "fc_conformal_naive",
     CELL_84
@@ -532,6 +544,93 @@ def fc_quantile_shares(star):
     return shares.select(*KEYS, "n", "crossed", F.inline(F.array(*rows_)))
 
 
+# --- terms of the model ----------------------------------------------------------------------
+
+
+@query("fc_sparse_changepoints")
+def fc_sparse_changepoints(star):
+    """Few trend changes instead of many small ones."""
+    train, test = _split(star)
+    models = sparse_trend.fit(train, KEYS, Design()).drop("violation", "changes")
+    scored = decomposable.score(test, models, KEYS, Design())
+    return scored.select(*KEYS, "ds", "y", "yhat")
+
+
+@query(
+    "fc_sparse_optimality",
+    CELL_28
+    + " SELECT region, category, count(*) AS n, true AS optimal, true AS fewer FROM fc WHERE back >= 28 GROUP BY 1, 2",
+)
+def fc_sparse_optimality(star):
+    """Whether the sparse fits meet the conditions of an optimum, and a ten times smaller prior scale leaves
+    no more changes."""
+    train, _ = _split(star)
+    days = train.groupBy(*KEYS).agg(F.count("*").alias("n"))
+    wide = sparse_trend.fit(train, KEYS, Design(), Config(changepoint_prior_scale=0.1))
+    narrow = sparse_trend.fit(train, KEYS, Design(), Config(changepoint_prior_scale=0.01))
+    narrow = narrow.select(*KEYS, F.col("violation").alias("other"), F.col("changes").alias("left"))
+    both = days.join(wide, KEYS).join(narrow, KEYS)
+    return both.select(
+        *KEYS, "n", (F.greatest("violation", "other") < 1e-6).alias("optimal"), (F.col("left") <= F.col("changes")).alias("fewer")
+    )
+
+
+MULTIPLICATIVE = {"yearly", "weekly", "is_holiday"}
+
+
+@query("fc_mixed_terms")
+def fc_mixed_terms(star):
+    """Seasons and one regressor in proportion to the trend, the other regressors added."""
+    train, test = _split(star)
+    models = mixed_terms.fit(train, KEYS, Design(), MULTIPLICATIVE)
+    scored = mixed_terms.score(test, models, KEYS, Design(), MULTIPLICATIVE)
+    return scored.select(*KEYS, "ds", "y", "trend", "multiplicative", "additive", "yhat")
+
+
+@query(
+    "fc_mixed_losses",
+    CELL_28
+    + " SELECT region, category, true AS never_rises FROM fc WHERE back >= 28 GROUP BY 1, 2",
+)
+def fc_mixed_losses(star):
+    """Whether no round of the alternating fits of the mixed model raises its loss."""
+    train, _ = _split(star)
+    losses = F.col("losses")
+    before = F.slice(losses, 1, F.size(losses) - 1)
+    after = F.slice(losses, 2, F.size(losses) - 1)
+    falls = F.forall(F.zip_with(before, after, lambda a, b: b <= a * (1 + 1e-12)), lambda x: x)
+    models = mixed_terms.fit(train, KEYS, Design(), MULTIPLICATIVE)
+    return models.select(*KEYS, falls.alias("never_rises"))
+
+
+@query("fc_partial_pooling")
+def fc_partial_pooling(star):
+    """Series drawn towards what all have in common."""
+    train, test = _split(star)
+    models = partial_pooling.fit(train, KEYS, Design())
+    return decomposable.score(test, models, KEYS, Design()).select(*KEYS, "ds", "y", "yhat")
+
+
+CONDITIONAL = Design(
+    weekly_order=0,
+    regressors=(*dates.FLAG_COLUMNS, *EVENTS),
+    conditional_seasons=((7.0, 3, "on_season"), (7.0, 3, "off_season")),
+)
+
+
+@query("fc_events_and_conditions")
+def fc_events_and_conditions(star):
+    """Event windows as regressors, and a week for each half of the year."""
+    whole = joins.event_flags(category_series(star, flags=True), event_list(star), EVENTS)
+    conditions = dates.condition_columns(F.col("ds"))
+    whole = whole.withColumns({c: conditions[c] for c in ("on_season", "off_season")})
+    split = materialise(series.split_tail_days(whole, KEYS, 28), "split")
+    train, test = split.where("split = 'train'").drop("split"), split.where("split = 'test'").drop("split")
+    models = decomposable.fit(train, KEYS, CONDITIONAL)
+    scored = decomposable.score(test, models, KEYS, CONDITIONAL)
+    return scored.select(*KEYS, "ds", "y", "yhat", "conditional", "regressors")
+
+
 # --- cross-validation of fitted models -------------------------------------------------------
 
 
@@ -690,6 +789,59 @@ def run_forecasts(star):
     return _run(star).forecasts
 
 
+STORE_SQL = """WITH {fact}, d AS (SELECT store, date AS ds, sum(sales)::DOUBLE AS y FROM fact GROUP BY 1, 2),
+  sp AS (SELECT store, unnest(generate_series(min(ds), max(ds), INTERVAL 1 DAY))::DATE AS ds FROM d GROUP BY 1),
+  s AS (SELECT store, ds, coalesce(y, 0) AS y FROM sp LEFT JOIN d USING (store, ds)),
+  z AS (SELECT store, avg(CAST(y = 0 AS DOUBLE)) AS zr, max(ds) AS last_ds FROM s GROUP BY 1)"""
+
+
+def _store_run(star):
+    """The whole job with a series for each store, as many as there are stores."""
+    daily = totals(star, ["store", "date"]).withColumnRenamed("total_sales", "sales")
+    return forecast_run.run(daily, ["store"])
+
+
+@query(
+    "run_status",
+    STORE_SQL + " SELECT store, CASE WHEN zr <= 0.9 THEN 'ok' ELSE 'no model' END AS status FROM z",
+)
+def run_status(star):
+    """Which stores get a forecast."""
+    return _store_run(star).status.select("store", "status")
+
+
+@query("run_metrics")
+def run_metrics(star):
+    """The chosen model of each store, its errors and its parameters."""
+    found = _store_run(star).metrics
+    return found.withColumn("params", F.to_json("params"))
+
+
+@query("run_rollup")
+def run_rollup(star):
+    """Forecasts of all stores summed by day and region."""
+    result = _store_run(star)
+    regions = star.summarise(["store", "region"], n=("count", "sales")).select("store", "region")
+    frame = result.forecasts.join(regions, "store")
+    return rounded(aggregates.rollup_forecast(frame, ["region"]), "forecast_sales")
+
+
+@query(
+    "run_top_items",
+    """WITH {fact}, t AS (SELECT store, item, sum(sales) AS total FROM fact GROUP BY 1, 2),
+      r AS (SELECT *, row_number() OVER (PARTITION BY store ORDER BY total DESC, item) AS rn FROM t),
+      d AS (SELECT f.store, f.item, f.date, sum(f.sales) AS y FROM fact f JOIN r ON r.store = f.store AND r.item = f.item AND rn <= 10 GROUP BY 1, 2, 3),
+      z AS (SELECT store, item, (max(date) - min(date) + 1)::BIGINT AS n, count(CASE WHEN y <> 0 THEN 1 END) AS sold FROM d GROUP BY 1, 2)
+    SELECT store, item, n, round(1 - sold / n::DOUBLE, 6) AS zero_ratio,
+      CASE WHEN 1 - sold / n::DOUBLE > 0.9 THEN 'mostly zero' ELSE 'ok' END AS status FROM z""",
+)
+def run_top_items(star):
+    """The ten best-selling items of every store, and whether their series are worth a model."""
+    daily = totals(star, ["store", "item", "date"]).withColumnRenamed("total_sales", "sales")
+    top = forecast_run.top_series(daily, "store", "item", 10)
+    return rounded(forecast_run.screened(top, ["store", "item"]), "zero_ratio")
+
+
 # --- classification --------------------------------------------------------------------------
 
 

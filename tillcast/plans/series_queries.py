@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import dates
 from tillcast.functions.scalars import significant
-from tillcast.operators import evaluation, joins, reshape, rows, series, stats, windows
+from tillcast.operators import evaluation, joins, reshape, rows, series, stats, unit_root, windows
 from tillcast.plans.catalog import query, rounded
 from tillcast.plans.retail_queries import totals
 from tillcast.plans.table_queries import EVENT_LIST_SQL, event_list
@@ -439,8 +439,7 @@ def ts_normalise(star):
 @query(
     "ts_normalise_global",
     SERIES_SQL
-    + f""", m AS (SELECT avg(y) AS mean, stddev_samp(y) AS std FROM s)
-    SELECT region, category, {DS}, y, round((y - mean) / std, 6) AS y_norm FROM s, m""",
+    + f""" SELECT region, category, {DS}, y, round((y - avg(y) OVER ()) / stddev_samp(y) OVER (), 6) AS y_norm FROM s""",
 )
 def ts_normalise_global(star):
     return rounded(series.normalise(category_series(star), KEYS, "zscore", local=False), "y_norm")
@@ -581,6 +580,28 @@ def st_stationarity(star):
     return rounded(stats.stationarity(category_series(star), KEYS), "df_statistic")
 
 
+@query("st_stationarity_augmented")
+def st_stationarity_augmented(star):
+    """With as many lagged changes as the AIC asks for, and a p-value."""
+    return rounded(unit_root.augmented(category_series(star), KEYS), "adf_statistic", "p_value")
+
+
+@query(
+    "st_stationarity_one_lag",
+    SERIES_SQL
+    + """, a AS (SELECT region, category, ds, lag(y) OVER w AS x, y - lag(y) OVER w AS dy FROM s WINDOW w AS (PARTITION BY region, category ORDER BY ds)),
+    c AS (SELECT *, lag(dy) OVER (PARTITION BY region, category ORDER BY ds) AS z FROM a),
+    r AS (SELECT region, category, count(*) AS n, regr_sxx(dy, x) AS xx, regr_sxx(dy, z) AS zz, regr_syy(dy, x) AS yy, regr_sxy(dy, x) AS xy,
+      regr_sxy(dy, z) AS zy, regr_sxy(x, z) AS xz FROM c WHERE z IS NOT NULL GROUP BY 1, 2),
+    b AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM r),
+    t AS (SELECT region, category, n, bx / sqrt((yy - bx * xy - bz * zy) / (n - 3) * zz / (xx * zz - xz * xz)) AS t FROM b)
+    SELECT region, category, n, 1::INTEGER AS lags, round(t, 3) AS adf_statistic FROM t""",
+)
+def st_stationarity_one_lag(star):
+    found = unit_root.augmented(category_series(star), KEYS, fixed=1)
+    return rounded(found.select(*KEYS, "n", "lags", "adf_statistic"), "adf_statistic", digits=3)
+
+
 RESIDUAL_SQL = (
     SERIES_SQL
     + """, f AS (SELECT region, category, ds, y, avg(y) OVER (PARTITION BY region, category, isodow(ds)) AS yhat FROM s),
