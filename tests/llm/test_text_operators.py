@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -176,7 +177,7 @@ def test_pieces_as_the_library_gives_them(spark):
     rng = random.Random(1)
     alphabet = list("ab  \n\t.,é▁ß中\x00") + ["the ", "  ", "</s>"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
-    flat, ends = piece_encoding.PieceEncoder(MODEL, limit=500).ids(texts)
+    flat, ends = piece_encoding.PieceEncoder(MODEL, limit=500).ids(pa.array(texts))
     assert [x.tolist() for x in np.split(flat, ends[:-1])] == [library.encode(t) for t in texts]
     coded = piece_encoding.decode(piece_encoding.encode(edge_documents(spark), MODEL), MODEL)
     got = sorted((r.id or -1, r.ids, r.decoded) for r in coded.collect())

@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ Pattern = tuple[tuple[int, int], ...]
 #: White space as the tokenizer's pre-tokenisation sees it.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _PART = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+#: Two of them in a row, or the mark of a cut, for Arrow.
+_RUN = "[\t-\r \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2}|\x00"
 
 
 #: Fixed value: the pattern by which byte-level BPE splits a text before its merges.
@@ -87,6 +90,8 @@ class ByteTokenizer:
         return not (_OTHER.search(chunk) or any(s in chunk for s in self._special))
 
     def _encode(self, chunks: list[str]) -> list[list[int]]:
+        if self._fast and self._plain("\n".join(chunks)):
+            return list(map(self._fast, chunks))
         if self._fast:
             out = [self._fast(c) if self._plain(c) else None for c in chunks]
             rest = [k for k, ids in enumerate(out) if ids is None]
@@ -98,15 +103,28 @@ class ByteTokenizer:
         return out
 
     def _parts(self, text: str) -> list[str]:
-        # A space opens the next token, so a cut before a single space divides no token.
         if any(s in text for s in self._special):
             return [text]
-        if "  " in text or "\x00" in text:
-            return _PART.findall(text)
-        return text.replace(" ", "\x00 ").split("\x00")
-
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self._table.ids([self._parts(t) for t in texts])
+        return _PART.findall(text)
+
+    def ids(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """The ids of each text."""
+        # A space before anything but white space opens the next token, so a cut there divides none.
+        odd = pc.match_substring_regex(texts, _RUN)
+        for special in self._special:
+            odd = pc.or_(odd, pc.match_substring(texts, special))
+        plain = texts.filter(pc.invert(odd))
+        lists = pc.split_pattern(pc.replace_substring(plain, " ", "\x00 "), "\x00")
+        rest = [self._parts(t) for t in texts.filter(odd).to_pylist()]
+        if rest:
+            lists = pa.concat_arrays([lists, pa.array(rest, lists.type)])
+        flat, ends = self._table.ids(lists)
+        found = np.split(flat, ends[:-1]) if len(ends) else []
+        order = np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable")
+        out: list = [None] * len(found)
+        for place, ids in zip(order.tolist(), found):
+            out[place] = ids
+        return out
 
 
 def token_ids(
@@ -116,8 +134,7 @@ def token_ids(
     tokenizer = ByteTokenizer(path)
     end = np.array([end_id], np.int32)
     for batch in sliced(batches, 500):
-        flat, ends = tokenizer.ids(batch.column(2).to_pylist())
-        yield batch, [np.concatenate([x, end]) for x in np.split(flat, ends[:-1])]
+        yield batch, [np.concatenate([x, end]) for x in tokenizer.ids(batch.column(2))]
 
 
 def cuts(length: int, capacity: int) -> list[tuple[int, int]]:

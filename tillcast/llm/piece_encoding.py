@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,14 +52,20 @@ class PieceEncoder:
             return [w[1:] for w in _WORD.findall(" " + text)]
         return text.split(" ") if text else []
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self._table.ids([self._words(t) for t in texts])
+    def ids(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and where those of each text end."""
+        odd = pc.or_(pc.match_substring_regex(texts, "^ |  | $|^$"), pc.match_substring(texts, MARK))
+        if pc.any(odd).as_py() or not self._cuts:
+            return self._table.ids(
+                pa.array([self._words(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+            )
+        return self._table.ids(pc.split_pattern(texts, " "))
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, end: bool) -> Iterator[pa.RecordBatch]:
     encoder = PieceEncoder(path)
     for batch in sliced(batches):
-        flat, ends = encoder.ids(batch.column(2).to_pylist())
+        flat, ends = encoder.ids(batch.column(2))
         if end:
             flat = np.insert(flat, ends, encoder.model.eos_id())
             ends = ends + np.arange(1, len(ends) + 1)
