@@ -105,13 +105,13 @@ CELL_84 = CELL_SQL.replace("{hold}", "84")
 DS = "CAST(ds AS VARCHAR) AS ds"
 
 
-def cell_forecast(star, hold: int = 28):
+def cell_forecast(star, hold: int = 28, keys=KEYS):
     """All days with the cell means of the days before the last ``hold`` ones as forecast."""
-    frame = category_series(star, flags=True)
-    whole = Window.partitionBy(*KEYS)
+    frame = category_series(star, flags=True, keys=keys)
+    whole = Window.partitionBy(*keys)
     frame = frame.withColumn("back", F.datediff(F.max("ds").over(whole), F.col("ds")))
-    models = cell_mean.fit(frame.where(F.col("back") >= hold), KEYS)
-    return cell_mean.score(frame, models, KEYS).select(*KEYS, "ds", "y", "back", "yhat")
+    models = cell_mean.fit(frame.where(F.col("back") >= hold), keys)
+    return cell_mean.score(frame, models, keys).select(*keys, "ds", "y", "back", "yhat")
 
 
 @query("fc_cell_mean", CELL_28 + f" SELECT region, category, {DS}, y, round(yhat, 6) AS yhat FROM fc WHERE back < 28")
@@ -142,6 +142,26 @@ def agg_forecast_rollup(star):
     return rounded(aggregates.rollup_forecast(frame, ["region", "city"]), "forecast_sales")
 
 
+STORE_CELL_SQL = CELL_28.replace("region, category", "store, department").replace(
+    "fl.region = c1.region AND fl.category = c1.category", "fl.store = c1.store AND fl.department = c1.department"
+).replace("fl.region = c2.region AND fl.category = c2.category", "fl.store = c2.store AND fl.department = c2.department").replace(
+    "fl.region = c3.region AND fl.category = c3.category", "fl.store = c3.store AND fl.department = c3.department"
+).replace("fl.region, fl.category", "fl.store, fl.department")
+
+
+@query(
+    "agg_forecast_rollup_department",
+    STORE_CELL_SQL
+    + """ SELECT CAST(ds AS VARCHAR) AS date, department, round(sum(yhat), 6) AS forecast_sales FROM fc WHERE back < 28 GROUP BY fc.ds, department""",
+)
+def agg_forecast_rollup_department(star):
+    """Forecasts of every store and department, as many series as both have, summed by department."""
+    keys = ["store", "department"]
+    scored = cell_forecast(star, keys=keys).where(F.col("back") < 28)
+    frame = scored.select(F.col("ds").alias("date"), F.col("yhat").alias("forecast_sales"), *keys)
+    return rounded(aggregates.rollup_forecast(frame, ["department", "city"]), "forecast_sales")
+
+
 CANDIDATE_SQL = (
     CELL_28
     + """, w AS (SELECT region, category, ds, back, y, lag(y, 28) OVER (PARTITION BY region, category ORDER BY ds) AS yhat FROM fl),
