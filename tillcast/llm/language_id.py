@@ -83,25 +83,23 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _flushed(counts)
 
 
-def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """Counts of the most frequent items: those above the least total that keeps at most ``most``.
+def _most_frequent(counts: DataFrame, share: int) -> DataFrame:
+    """Counts, in all languages, of the ``share`` most frequent items of each; of equally frequent
+    ones the first by code points.
 
-    Totals are compared in steps of a sixteenth of a doubling, so that their histogram is small.
+    Counts are compared by their histogram, which has at most ``share`` steps for each language above
+    the limit; only the step that is kept in part is ranked.
     """
-    step = F.floor(F.log2("total") * 16).cast("int")
-    totals = counts.groupBy("item").agg(F.sum("n").alias("total")).withColumn("step", step)
-    upto = Window.orderBy(F.desc("step"))
-    least = (
-        totals.groupBy("step")
-        .agg(F.count(F.lit(1)).alias("items"))
-        .withColumn("upto", F.sum("items").over(upto))
-        .where(F.col("upto") <= most)
-        .agg(F.min("step"))
-        .first()[0]
-    )
-    if least is None:  # one step alone holds more than the model may
-        least = 10**6
-    return counts.join(totals.where(F.col("step") >= least).select("item"), "item")
+    steps = counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("items"))
+    upto = F.sum("items").over(Window.partitionBy("lang").orderBy(F.desc("n")))
+    room = (F.lit(share) - (upto - F.col("items"))).alias("room")
+    steps = materialise(steps.select("lang", "n", "items", room).where("room > 0"), "count-steps")
+    placed = counts.join(F.broadcast(steps), ["lang", "n"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("item"))
+    partly = placed.where("items > room").withColumn("rank", rank)
+    partly = partly.where(F.col("rank") <= share).where("rank <= room")
+    kept = placed.where("items <= room").select("item").unionByName(partly.select("item"))
+    return counts.join(kept.distinct(), "item")
 
 
 @dataclass
@@ -115,20 +113,30 @@ class LanguageModel:
     gram_scores: np.ndarray
 
     @classmethod
-    def of(cls, languages: list[str], words: Counter, grams: Counter) -> LanguageModel:
-        """From ``(language, item)`` counts."""
+    def of(
+        cls,
+        languages: list[str],
+        words: Counter,
+        grams: Counter,
+        all_words: dict[str, int] | None = None,
+        all_grams: dict[str, int] | None = None,
+    ) -> LanguageModel:
+        """From ``(language, item)`` counts of the known items, and the number of all items by
+        language, known or not; without it the known ones are all."""
         at = {lang: k for k, lang in enumerate(languages)}
 
-        def scores(counts: Counter) -> tuple[list[str], np.ndarray]:
+        def scores(counts: Counter, total: dict[str, int] | None) -> tuple[list[str], np.ndarray]:
             items = sorted({item for _, item in counts})
             index = {item: k for k, item in enumerate(items)}
             table = np.zeros((len(items), len(languages)))
             for (lang, item), n in counts.items():
                 table[index[item], at[lang]] = n
-            table += 0.5
-            return items, np.log(table / table.sum(0)).astype(np.float32)
+            seen = table.sum(0)
+            if total is not None:
+                seen = np.array([total.get(lang, 0) for lang in languages], float)
+            return items, np.log((table + 0.5) / (seen + 0.5 * max(len(items), 1))).astype(np.float32)
 
-        return cls(languages, *scores(words), *scores(grams))
+        return cls(languages, *scores(words, all_words), *scores(grams, all_grams))
 
 
 class Identifier:
@@ -187,8 +195,9 @@ def train(
 ) -> LanguageModel:
     """A model of all rows that have a text and a language; none of them gives an empty model.
 
-    ``known_words`` and ``known_grams`` bound the model, not what is counted; with more than 40
-    languages they shrink in proportion, so that its tables keep their size.
+    ``known_words`` and ``known_grams`` bound the model, not what is counted, and each language has an
+    equal part of them for its most frequent ones. With more than 40 languages they shrink in
+    proportion, so that its tables keep their size. Frequencies are shares of all that was counted.
     """
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL"
@@ -208,12 +217,15 @@ def train(
     languages = sorted(r[0] for r in words.select("lang").distinct().collect())
     shrink = max(1, len(languages) / 40)
 
-    def bounded(counts: DataFrame, most: int) -> Counter:
-        rows = _most_frequent(counts, int(most / shrink)).select("lang", "item", "n").toArrow()
+    def bounded(counts: DataFrame, most: int) -> tuple[Counter, dict[str, int]]:
+        share = max(1, int(most / shrink / max(1, len(languages))))
+        rows = _most_frequent(counts, share).select("lang", "item", "n").toArrow()
         columns = [rows.column(c).to_pylist() for c in ("lang", "item", "n")]
-        return Counter({(lang, item): n for lang, item, n in zip(*columns)})
+        totals = counts.groupBy("lang").agg(F.sum("n")).collect()  # a row for each language
+        return Counter({(lang, item): n for lang, item, n in zip(*columns)}), dict(map(tuple, totals))
 
-    return LanguageModel.of(languages, bounded(words, known_words), bounded(grams, known_grams))
+    (some_words, all_words), (some_grams, all_grams) = bounded(words, known_words), bounded(grams, known_grams)
+    return LanguageModel.of(languages, some_words, some_grams, all_words, all_grams)
 
 
 def has_letter(text: str) -> bool:
