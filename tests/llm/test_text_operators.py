@@ -90,18 +90,80 @@ def plain_randomness(token):
     d = v - v.mean()
     spread = (d * d).sum()
     correlated = ((d[:-1] * d[1:]).sum() / spread if spread else 1.0) - 0.3
-    return (moved - uniform - correlated * np.sqrt(n)) / np.sqrt(3)
+    correlated *= np.sqrt(n)
+    sounds = ["0" if c.isdigit() else "v" if c.lower() in "aeiouy" else "c" for c in symbols]
+    pairs = [(a, b) for a, b in zip(sounds, sounds[1:]) if "0" not in (a, b)]
+    turns = sum(a != b for a, b in pairs)
+    spoken = (0.6 * len(pairs) - turns - 0.5) / np.sqrt(0.24 * len(pairs)) if pairs else 0.0
+    name = next(k for k, a in secret_scan.ENCODINGS.items() if set(symbols) <= set(a))
+    if name == "decimal":
+        return -np.inf
+    if name in ("hex", "HEX"):
+        return (moved - uniform - correlated) / np.sqrt(3)
+    if name in ("lower", "upper"):
+        return (spoken - uniform) / np.sqrt(2)
+    if name in ("base32", "base36", "BASE36"):
+        return (moved - uniform - correlated + spoken) / 2
+    return (min(moved, 2) - uniform + min(-correlated, 2) + 1.5 * spoken) / np.sqrt(5.25)
 
 
 def test_battery_against_plain_statistics(spark):
     from statistics import NormalDist
 
     tokens = ["0641917ea4e9feb9cda83477", "kQzLw2XpRt8VbNm6dfre", "a" * 20, "QWERTY-234567_abcdef"]
+    tokens += ["QXZJKWVBNMPLFGHTRDSC", "theriverandthehouse", "ABCD2345EFGH6723WXYZ", "x1y2z3a4b5c6d7e8f9", "12345678901234567890"]
     frame = spark.createDataFrame([(t,) for t in tokens], "run string")
     got = {r.run: r.evidence for r in secret_scan.randomness(frame, "run").collect()}
     for t in tokens:
-        tail = NormalDist().cdf(-min(30, max(-8, plain_randomness(t))))
-        assert got[t] == pytest.approx(-np.log10(tail), abs=1e-3, rel=1e-2)
+        z = plain_randomness(t)
+        expected = 0.0 if z == -np.inf else -np.log10(NormalDist().cdf(-min(30, max(-8, z))))
+        assert got[t] == pytest.approx(expected, abs=1e-3, rel=1e-2)
+
+
+def test_random_runs_of_every_encoding_and_plain_ones(spark):
+    rng = random.Random(5)
+    data = [
+        (name, "".join(rng.choice(letters) for _ in range(32)))
+        for name, letters in secret_scan.ENCODINGS.items()
+        for _ in range(300)
+    ]
+    words = "river stone light house paper cloud north letter winter garden people number water".split()
+    shapes = {
+        "joined": "".join, "path": "/".join, "snake": "_".join,
+        "camel": lambda ws: "".join(w.title() for w in ws),
+        "numbered": lambda ws: "".join(ws) + str(rng.randint(0, 9999)),
+        "digits": lambda ws: "".join(str(rng.randint(0, 9)) for _ in range(30)),
+    }
+    data += [(name, shape(rng.choices(words, k=5))) for name, shape in shapes.items() for _ in range(300)]
+    frame = spark.createDataFrame(data, "kind string, run string")
+    sure = (F.col("evidence") >= 2).cast("double")
+    share = {r.kind: r["share"] for r in secret_scan.randomness(frame, "run").groupBy("kind").agg(F.avg(sure).alias("share")).collect()}
+    assert share["decimal"] == 0
+    assert all(share[k] >= 0.9 for k in ("hex", "HEX", "base36", "BASE36"))
+    assert all(share[k] >= 0.8 for k in ("base32", "base62"))
+    assert all(share[k] >= 0.65 for k in ("lower", "upper"))
+    assert all(share[k] <= 0.01 for k in shapes if k != "camel") and share["camel"] <= 0.03
+
+
+def test_discoveries_against_a_plain_procedure(spark):
+    rng = random.Random(6)
+    rows_ = []
+    for k in range(400):
+        evidence = rng.choice([rng.random(), rng.random() * 8])
+        one = (f"r{k}", rng.choice(["hex", "base62"]), rng.randint(20, 90), evidence)
+        rows_ += [one] * rng.choice([1, 1, 1, 30])
+    frame = spark.createDataFrame(rows_, "run string, encoding string, n int, evidence double").repartition(4)
+    for rate in (0.01, 0.1):
+        expected = []
+        strata = {(e, n.bit_length()) for _, e, n, _ in rows_}
+        for stratum in strata:
+            tests = {r: int(v * 20) for r, e, n, v in rows_ if (e, n.bit_length()) == stratum}
+            steps = sorted(tests.values(), reverse=True)
+            good = [s for s in steps if 10 ** (-s / 20) <= rate * sum(x >= s for x in steps) / len(steps)]
+            if good:
+                expected += [r for r, e, n, v in rows_ if r in tests and tests[r] >= min(good)]
+        got = [r.run for r in secret_scan.discoveries(frame, rate).collect()]
+        assert sorted(got) == sorted(expected) and expected
 
 
 def test_redaction_keeps_rows_and_columns(spark):

@@ -6,13 +6,20 @@ is a battery of three tests, each against what written text would give in the en
 from the characters used:
 
 - chi-squared distance from equal use of the alphabet, which is far larger in text;
-- runs: changes between digits, small and capital letters, which are rare in text;
+- runs: changes between digits, small and capital letters, which are rare in text, and changes
+  between vowels and consonants, which are frequent in text;
 - serial correlation of neighbouring symbols, which is high where classes stay together.
 
-The three are combined into one p-value, and the Benjamini-Hochberg procedure decides which runs
+Which of them say something depends on the encoding. Hexadecimal digits have no syllables, and
+letters of one case no changes of class. Names in mixed case change it often, so there the first
+changes and the correlation count for no more than two deviations and the vowels for more. Decimal
+digits of text and of secrets look alike, so that decimal runs are never discovered.
+
+The tests are combined into one p-value, and the Benjamini-Hochberg procedure decides which runs
 are discoveries, separately by encoding and by doubling of the length: a short run has little
-evidence and is judged among its like. The procedure needs only the histogram of p-values over
-all documents, a bounded table.
+evidence and is judged among its like. Copies of a run count once. The procedure needs only the
+histogram of p-values over all distinct runs, a bounded table. Shorter runs than ``least_run`` (20
+characters) are not tested.
 
 Regular expressions give matches and the text between them; positions are sums of their lengths.
 """
@@ -47,6 +54,9 @@ ENCODINGS = {
     "BASE36": DIGITS + UPPER,
     "base62": UPPER + LOWER + DIGITS,
 }
+#: Encodings with letters of one case alone, and those that have syllables beside digits.
+ONE_CASE, MIXED = ("lower", "upper"), ("base32", "base36", "BASE36")
+VOWELS = "aeiouyAEIOUY"
 _BLOCK = 128
 
 
@@ -123,12 +133,18 @@ def _upper_tail(z: Column) -> Column:
 
 
 def randomness(
-    runs: DataFrame, token: str, excess: float = 0.5, changes: float = 0.15, serial: float = 0.3
+    runs: DataFrame,
+    token: str,
+    excess: float = 0.5,
+    changes: float = 0.15,
+    serial: float = 0.3,
+    syllables: float = 0.6,
 ) -> DataFrame:
     """Adds ``encoding``, ``n`` (symbols) and ``evidence`` (minus the decimal logarithm of p).
 
     What text would give: a chi-squared distance of ``excess`` for each symbol above the random
-    one, a change of class at a share ``changes`` of places, a serial correlation of ``serial``.
+    one, a change of class at a share ``changes`` of places, one between vowel and consonant at a
+    share ``syllables`` of pairs of letters, a serial correlation of ``serial``.
     """
     # Punctuation in a token is padding or separates groups; it says nothing of its symbols.
     df = runs.withColumn("symbols", F.regexp_replace(token, "[^A-Za-z0-9]", ""))
@@ -146,6 +162,9 @@ def randomness(
             "classes": F.translate(
                 "symbols", DIGITS + LOWER + UPPER, "0" * 10 + "a" * 26 + "A" * 26
             ),
+            "sounds": F.translate(
+                "symbols", VOWELS + DIGITS + LOWER + UPPER, "v" * 12 + "0" * 10 + "c" * 52
+            ),
         }
     )
     df = df.withColumn(
@@ -160,6 +179,8 @@ def randomness(
             "mean": F.expr("aggregate(values, 0D, (a, v) -> a + v) / n"),
             # A change is a character that differs from the next one in its class.
             "moves": F.length(F.regexp_replace("classes", r"(.)(?=\1)|.$", "")),
+            "pairs": F.col("n") - F.length(F.regexp_replace("sounds", "[vc](?=[vc])", "")),
+            "turns": F.col("n") - F.length(F.regexp_replace("sounds", "v(?=c)|c(?=v)", "")),
         }
     ).withColumns(
         {
@@ -176,18 +197,32 @@ def randomness(
     moved = (F.col("moves") - places * changes - 0.5) / F.sqrt(places * changes * (1 - changes))
     correlation = F.when(F.col("spread") > 0, F.col("lagged") / F.col("spread")).otherwise(1.0)
     correlated = (correlation - serial) * F.sqrt(n)
-    z = F.greatest(F.lit(-8.0), F.least(F.lit(30.0), (moved - uniform - correlated) / 3**0.5))
-    evidence = F.when(n > 1, -F.log10(_upper_tail(z))).otherwise(0.0)
+    pairs = F.col("pairs")
+    spoken = (pairs * syllables - F.col("turns") - 0.5) / F.sqrt(pairs * syllables * (1 - syllables))
+    spoken = F.when(pairs > 0, spoken).otherwise(0.0)
+    total = (
+        F.when(F.col("encoding").isin("hex", "HEX"), (moved - uniform - correlated) / 3**0.5)
+        .when(F.col("encoding").isin(*ONE_CASE), (spoken - uniform) / 2**0.5)
+        .when(F.col("encoding").isin(*MIXED), (moved - uniform - correlated + spoken) / 2)
+        .otherwise(
+            (F.least(moved, F.lit(2.0)) - uniform + F.least(-correlated, F.lit(2.0)) + 1.5 * spoken)
+            / (3 + 1.5**2) ** 0.5
+        )
+    )
+    z = F.greatest(F.lit(-8.0), F.least(F.lit(30.0), total))
+    tested = (n > 1) & (F.col("encoding") != "decimal")
+    evidence = F.when(tested, -F.log10(_upper_tail(z))).otherwise(0.0)
     return df.withColumn("evidence", evidence).drop(
         "symbols", "alphabet", "k", "chars", "classes", "values", "squares", "mean", "moves",
-        "spread", "lagged",
+        "spread", "lagged", "sounds", "pairs", "turns",
     )
 
 
-def discoveries(tested: DataFrame, rate: float = 0.01) -> DataFrame:
+def discoveries(tested: DataFrame, rate: float = 0.01, token: str = "run") -> DataFrame:
     """Rows of ``tested`` that the false-discovery control accepts at ``rate``.
 
-    Evidence is compared in steps of a twentieth, at the step's weakest value.
+    Evidence is compared in steps of a twentieth, at the step's weakest value. Rows with the same
+    ``token`` are one test.
     """
     stratum = ["encoding", "doubling"]
     tested = tested.withColumns(
@@ -196,7 +231,8 @@ def discoveries(tested: DataFrame, rate: float = 0.01) -> DataFrame:
             "step": F.floor(F.col("evidence") * 20).cast("int"),
         }
     )
-    counts = tested.groupBy(*stratum, "step").agg(F.count(F.lit(1)).alias("runs"))
+    distinct = tested.select(*stratum, "step", token).distinct()
+    counts = distinct.groupBy(*stratum, "step").agg(F.count(F.lit(1)).alias("runs"))
     found = F.sum("runs").over(Window.partitionBy(*stratum).orderBy(F.desc("step")))
     all_runs = F.sum("runs").over(Window.partitionBy(*stratum))
     limits = (
@@ -260,7 +296,8 @@ def find_secrets(
     runs = scanned.select("row", F.inline("runs"))
     # Written, since a filter on the evidence would compute it again for each of its conditions.
     tested = materialise(
-        randomness(runs, "run").select("row", "span", "encoding", "n", "evidence"), "tested-runs"
+        randomness(runs, "run").select("row", "span", "run", "encoding", "n", "evidence"),
+        "tested-runs",
     )
     found = discoveries(tested, rate)
     more = found.groupBy("row").agg(F.collect_list("span").alias("more"))
