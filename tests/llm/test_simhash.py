@@ -81,8 +81,9 @@ def clusters(seed, sizes, spread):
     return sorted(out | {rng.getrandbits(64) for _ in range(300)})
 
 
-@pytest.mark.parametrize("groups", [4, 6, 7])
-@pytest.mark.parametrize("small,node,spread", [(64, 512, 4), (2, 5, 9), (8, 16, 14)])
+@pytest.mark.parametrize(
+    "groups,small,node,spread", [(4, 64, 512, 4), (6, 64, 512, 9), (6, 2, 5, 9), (7, 8, 16, 14)]
+)
 def test_components_against_all_pairs(spark, monkeypatch, groups, small, node, spread):
     monkeypatch.setattr(simhash, "SMALL_CELL", small)
     monkeypatch.setattr(simhash, "NODE_ROWS", node)

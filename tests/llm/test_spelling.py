@@ -58,8 +58,10 @@ def vocabulary(seed, letters, stems, edits):
     return {w: n for w, n in out.items() if w}
 
 
-@pytest.mark.parametrize("letters,stems,edits", [("ab", 40, 20), ("aaaab", 30, 10), ("abcdefgÿÀ", 60, 8), ("ab😀中", 30, 8)])
-@pytest.mark.parametrize("parts", [1, 23])
+@pytest.mark.parametrize(
+    "letters,stems,edits,parts",
+    [("ab", 40, 20, 23), ("aaaab", 30, 10, 7), ("abcdefgÿÀ", 60, 8, 1), ("ab😀中", 30, 8, 23)],
+)
 def test_variants_against_all_pairs(spark, letters, stems, edits, parts):
     counts = vocabulary(len(letters) + stems, letters, stems, edits)
     before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
