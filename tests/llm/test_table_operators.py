@@ -137,6 +137,19 @@ def test_components_of_chains_and_stars(spark):
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)}
 
 
+@pytest.mark.parametrize("order", ["up", "random"])
+def test_chains_take_few_rounds(spark, monkeypatch, order):
+    ids = list(range(1000))
+    if order == "random":
+        random.Random(1).shuffle(ids)
+    written, write = [], jaccard_join.materialise
+    monkeypatch.setattr(jaccard_join, "materialise", lambda df, name: written.append(name) or write(df, name))
+    links = spark.createDataFrame(list(zip(ids, ids[1:])), "a bigint, b bigint")
+    got = {r.row: r.component for r in jaccard_join.components(links, "test").collect()}
+    assert got == dict.fromkeys(ids, 0)
+    assert written.count("test-edges") < 20
+
+
 def check_packing(placed, texts, capacity):
     model = Tokenizer.from_file(TOKENIZER)
     by_row = defaultdict(list)

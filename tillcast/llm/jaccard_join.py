@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.llm.frames import discard, fresh, keyed_texts, materialise, numbered, picked, sliced
-from tillcast.llm.links import connected
 from tillcast.llm.shingles import Shingler, bitmap, bitmap_width, folded, identity
 
 #: Shingles at most that are known as frequent (2 MB, broadcast).
@@ -436,9 +435,56 @@ def _pair_links(table: pa.Table, percent: int) -> pa.Table:
     )
 
 
+def _followed(parents: DataFrame, name: str) -> DataFrame:
+    """``u, parent`` with every parent replaced by the last one that parents lead to; the steps
+    double, so a path of n of them takes log n."""
+    while True:
+        ahead = parents.selectExpr("u AS parent", "parent AS next")
+        step = materialise(
+            parents.join(ahead, "parent").select("u", "parent", "next"), f"{name}-parents"
+        )
+        if step.where("parent <> next").isEmpty():
+            return parents
+        parents = step.selectExpr("u", "next AS parent")
+
+
 def components(links: DataFrame, name: str) -> DataFrame:
-    """``row, component`` of every row with a link (``a, b``); the component is its smallest row."""
-    found = connected(links, name).selectExpr("node AS row", "component")
+    """``row, component`` of every row with a link; the component is its smallest row.
+
+    Every round merges each vertex into the smallest one it has a link to and keeps the links
+    between what is left. The first round takes what most copies need, one step to a vertex that
+    all share. From the second on the merges are followed to a vertex that is smaller than all it
+    has links to, so that at least half of the vertices go, and the rounds grow with the
+    logarithm of their number. At the end the merges are followed from the first round to the last.
+    """
+    edges = links.selectExpr("a AS u", "b AS v").where("u <> v")
+    both = edges.unionByName(edges.selectExpr("v AS u", "u AS v")).distinct()
+    both, rounds = materialise(both, f"{name}-edges"), []
+    while both.limit(1).count():
+        parents = both.groupBy("u").agg(F.min("v").alias("least"))
+        parents = materialise(
+            parents.select("u", F.least("u", "least").alias("parent")), f"{name}-parents"
+        )
+        if rounds:
+            parents = _followed(parents, name)
+        rounds.append(parents)
+        other = parents.selectExpr("u AS v", "parent AS other")
+        both = materialise(
+            both.join(parents, "u")
+            .join(other, "v")
+            .select(F.col("parent").alias("u"), F.col("other").alias("v"))
+            .where("u <> v")
+            .distinct(),
+            f"{name}-edges",
+        )
+    if not rounds:
+        return both.selectExpr("u AS row", "v AS component")
+    found = rounds[0].selectExpr("u AS row", "parent AS component")
+    for parents in rounds[1:]:
+        step = parents.selectExpr("u AS component", "parent AS next")
+        found = found.join(step, "component", "left").select(
+            "row", F.coalesce("next", "component").alias("component")
+        )
     return materialise(found, f"{name}-components")
 
 
