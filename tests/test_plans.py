@@ -108,3 +108,15 @@ def test_windows_over_the_raw_rows_are_avoided(spark, small):
 def test_dates_are_shown_as_text(spark, small):
     df = catalog.presentable(SalesStar(spark, small).fact("date", "sell_price").where(F.lit(True)))
     assert [f.dataType.simpleString() for f in df.schema] == ["string", "double"]
+
+
+def test_single_stores_meet_a_large_item_dimension_before_grouping(spark, small):
+    star = SalesStar(spark, small)
+    star._row_counts = {"part": 10**9, "supplier": 1}
+    df = star.summarise(["region", "department", "store"], total=("sum", "sales"))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    # The first grouping is by store key and item attribute, not by item.
+    first = text[text.rindex("Aggregate [") :].splitlines()[0]
+    assert "_supp" in first and "department" in first and "_part" not in first
+    expected = SalesStar(spark, small).summarise(["region", "department", "store"], total=("sum", "sales"))
+    assert sorted(df.collect()) == sorted(expected.collect())

@@ -176,8 +176,9 @@ class SalesStar:
 
         Small dimensions are broadcast first. Before a large one is joined, the rows are grouped
         by its foreign key: map-side combine makes a hot key one row per task, and the raw rows
-        are not shuffled for a join. With two large dimensions the items are joined first and
-        the grouping happens on ``(store key, item attributes)``.
+        are not shuffled for a join. With two large dimensions, or single stores beside a large
+        item dimension, the items are joined first and the grouping happens on ``(store key, item
+        attributes)``.
         """
         _, item, store = self._split(by)
         df = self._lines()
@@ -191,6 +192,9 @@ class SalesStar:
             df = self._semi(df, wanted, "_supp", "supplier")
         large_item = bool(item) and not self._is_small("part")
         large_store = bool(store) and not self._is_small("supplier")
+        # By item and single store hardly two lines meet, so that grouping them saves nothing and
+        # only fills memory: the items are joined first, and stores are grouped by their short key.
+        large_store = large_store or (large_item and "store" in store)
         if not large_item:
             df = self._join_items(df, item)
         if not large_store:
