@@ -217,3 +217,27 @@ def test_top_items_of_every_store(spark):
     df = spark.createDataFrame(rows, "store string, item string, date date, sales int")
     kept = forecast_run.top_series(df, "store", "item", 2)
     assert {(r["store"], r["item"]) for r in kept.collect()} == {(s, i) for s in ("s1", "s2") for i in ("i3", "i4")}
+
+
+def test_cell_means_count_empty_days_by_the_calendar(spark):
+    days = {"a": (0, 3, 9, 40, 200, 357, 358, 359, 400, 700), "b": (330, 361, 720), "c": (5, 20), "d": (0, 28)}
+    rows = [(k, dt.date(2000, 1, 1) + dt.timedelta(n), float(n % 5)) for k, ns in days.items() for n in ns]
+    sold = series.daily_totals(spark.createDataFrame(rows, "k string, date date, sales double"), ["k"])
+    marked = sold.withColumn("_until", F.date_sub(series.last_day(["k"]), 28)).where("ds <= _until")
+    found = cell_mean.fit(with_calendar_flags(marked), ["k"], until="_until").orderBy("k").collect()
+    dense = series.daily_series(sold, ["k"], date="ds", value="y")
+    back = F.datediff(series.last_day(["k"]), F.col("ds"))
+    every_day = dense.withColumn("back", back)
+    expected = cell_mean.fit(every_day.where("back >= 28").drop("back"), ["k"]).orderBy("k").collect()
+    assert found == expected and [r["k"] for r in found] == ["a", "b", "d"]
+    tail = series.daily_series(sold, ["k"], date="ds", value="y", tail=28)
+    assert sorted(tail.collect()) == sorted(every_day.where("back < 28").drop("back").collect())
+
+
+def test_store_forecasts_are_made_without_sorting_filled_days(spark, small):
+    from tillcast.plans import catalog
+
+    text = catalog.run("agg_forecast_rollup_department", spark, small)._jdf.queryExecution().sparkPlan().toString()
+    assert "Generate" in text and "Window" in text
+    # Rows come in depth-first order: no window stands over the filled days.
+    assert text.rindex("Window") > text.index("Generate") > 0 and "Window" not in text[: text.index("Generate")]

@@ -36,24 +36,44 @@ def densify(
     fills: dict[str, Column],
     step_days: int = 1,
     position: str | None = None,
+    since: Column | None = None,
 ) -> DataFrame:
     """Add the missing dates between the first and last date of each key.
 
     Each row generates the dates up to the next row, so there is no table of all dates and no
     join. ``fills`` gives column values on added dates; other columns repeat the row before
-    the gap. ``position`` names a column counting the steps since the last given row.
+    the gap. ``position`` names a column counting the steps since the last given row. ``since``, for
+    steps of a day, is the first date to come out; days before it are never made.
     """
     following = F.lead(ds).over(_ordered(keys, ds))
     upto = F.coalesce(F.date_sub(following, 1), F.col(ds))
     days = F.sequence(F.col(ds), upto, F.expr(f"interval {step_days} day"))
     others = [c for c in df.columns if c != ds]
-    long = df.withColumn("_days", days).select(*others, F.posexplode("_days").alias("_pos", ds))
+    if since is None:
+        long = df.withColumn("_days", days).select(*others, F.posexplode("_days").alias("_pos", ds))
+    else:
+        start = F.greatest(F.col(ds), since)
+        kept = df.withColumns({"_upto": upto, "_start": start}).where(F.col("_start") <= F.col("_upto"))
+        ahead = F.posexplode(F.sequence("_start", "_upto")).alias("_ahead", "_day")
+        long = kept.select(*others, F.datediff("_start", ds).alias("_skipped"), ahead)
+        long = long.withColumn("_pos", F.col("_skipped") + F.col("_ahead")).withColumnRenamed("_day", ds)
     for column, fill in fills.items():
         long = long.withColumn(column, F.when(F.col("_pos") > 0, fill).otherwise(F.col(column)))
     long = long.withColumnRenamed("_pos", position) if position else long.drop("_pos")
     return long.select(*df.columns, *([position] if position else []))
 
 
+def daily_totals(rows: DataFrame, keys: list[str], date: str = "date", value: str = "sales") -> DataFrame:
+    """Sum per day (NULL as 0) of the days that have rows."""
+    return rows.groupBy(*keys, F.col(date).alias("ds")).agg(
+        F.sum(F.coalesce(F.col(value), F.lit(0))).cast("double").alias("y")
+    )
+
+
+def last_day(keys: list[str]) -> Column:
+    return F.max("ds").over(_whole(keys))
+
+
 def daily_series(
     rows: DataFrame,
     keys: list[str],
@@ -61,12 +81,15 @@ def daily_series(
     value: str = "sales",
     log: bool = False,
     flags: bool = True,
+    tail: int | None = None,
 ) -> DataFrame:
-    """Sum per day (NULL as 0), dense from first to last day with 0 in the gaps, plus flags."""
-    daily = rows.groupBy(*keys, F.col(date).alias("ds")).agg(
-        F.sum(F.coalesce(F.col(value), F.lit(0))).cast("double").alias("y")
-    )
-    dense = densify(daily, keys, "ds", {"y": F.lit(0.0)})
+    """Sum per day (NULL as 0), dense from first to last day with 0 in the gaps, plus flags.
+
+    With ``tail`` only the last so many days of each series are made.
+    """
+    daily = daily_totals(rows, keys, date, value)
+    since = None if tail is None else F.date_sub(last_day(keys), tail - 1)
+    dense = densify(daily, keys, "ds", {"y": F.lit(0.0)}, since=since)
     if log:
         dense = dense.withColumn("y", F.log1p("y"))
     return with_calendar_flags(dense) if flags else dense
@@ -112,6 +135,15 @@ def zero_ratio(series: DataFrame, keys: list[str]) -> DataFrame:
     return series.groupBy(*keys).agg(F.avg((F.col("y") == 0).cast("double")).alias("zero_ratio"))
 
 
+def empty_share(keys: list[str]) -> Column:
+    """Share of zero days from the first to the last day of a series, from daily totals whose empty
+    days have no rows: the same as :func:`zero_ratio` of the dense series, without making it."""
+    w = _whole(keys)
+    days = F.datediff(F.max("ds").over(w), F.min("ds").over(w)) + 1
+    sold = F.count_if((F.col("y") != 0) & F.col("ds").isNotNull()).over(w)
+    return (days - sold) / days
+
+
 def drop_mostly_zero(series: DataFrame, keys: list[str], threshold: float = 0.9) -> DataFrame:
     """Drop series whose share of zero days is strictly above the threshold."""
     share = F.avg((F.col("y") == 0).cast("double")).over(_whole(keys))
@@ -211,9 +243,9 @@ def impute_gaps(observed: DataFrame, keys: list[str], limit: int = 5, window: in
 # --- splits and folds ------------------------------------------------------------------------
 
 
-def split_tail_days(series: DataFrame, keys: list[str], days: int) -> DataFrame:
-    """``test`` is the last ``days`` days of each series."""
-    cutoff = F.date_sub(F.max("ds").over(_whole(keys)), days)
+def split_tail_days(series: DataFrame, keys: list[str], days: int, last: str | None = None) -> DataFrame:
+    """``test`` is the last ``days`` days of each series, whose last day ``last`` may name."""
+    cutoff = F.date_sub(last_day(keys) if last is None else F.col(last), days)
     return series.withColumn("split", F.when(F.col("ds") <= cutoff, "train").otherwise("test"))
 
 

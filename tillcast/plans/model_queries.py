@@ -114,6 +114,19 @@ def cell_forecast(star, hold: int = 28, keys=KEYS):
     return cell_mean.score(frame, models, keys).select(*keys, "ds", "y", "back", "yhat")
 
 
+def cell_forecast_tail(star, hold: int = 28, keys=KEYS):
+    """The last ``hold`` days of :func:`cell_forecast`, for many thin series.
+
+    Only these days are made; those before count in the cells without rows of their own.
+    """
+    sold = series.daily_totals(totals(star, [*keys, "date"]), keys, value="total_sales")
+    sold = sold.withColumn("_until", F.date_sub(series.last_day(keys), hold))
+    train = dates.with_calendar_flags(sold.where(F.col("ds") <= F.col("_until")))
+    models = cell_mean.fit(train, keys, until="_until")
+    frame = category_series(star, flags=True, keys=keys, tail=hold)
+    return cell_mean.score(frame, models, keys).select(*keys, "ds", "y", "yhat")
+
+
 @query("fc_cell_mean", CELL_28 + f" SELECT region, category, {DS}, y, round(yhat, 6) AS yhat FROM fc WHERE back < 28")
 def fc_cell_mean(star):
     return rounded(cell_forecast(star).where(F.col("back") < 28).drop("back"), "yhat")
@@ -157,7 +170,7 @@ STORE_CELL_SQL = CELL_28.replace("region, category", "store, department").replac
 def agg_forecast_rollup_department(star):
     """Forecasts of every store and department, as many series as both have, summed by department."""
     keys = ["store", "department"]
-    scored = cell_forecast(star, keys=keys).where(F.col("back") < 28)
+    scored = cell_forecast_tail(star, keys=keys)
     frame = scored.select(F.col("ds").alias("date"), F.col("yhat").alias("forecast_sales"), *keys)
     return rounded(aggregates.rollup_forecast(frame, ["department", "city"]), "forecast_sales")
 

@@ -36,9 +36,9 @@ FLAGS_SQL = """CAST(month(ds) = 12 AND day(ds) IN (23, 24, 26) AS INTEGER) AS is
   CAST(isodow(ds) - 1 AS INTEGER) AS day_of_week, CAST(isodow(ds) >= 6 AS INTEGER) AS is_weekend"""
 
 
-def category_series(star, flags: bool = False, keys=KEYS):
+def category_series(star, flags: bool = False, keys=KEYS, tail: int | None = None):
     daily = totals(star, [*keys, "date"])
-    return series.daily_series(daily, keys, value="total_sales", flags=flags)
+    return series.daily_series(daily, keys, value="total_sales", flags=flags, tail=tail)
 
 
 # --- building and cleaning -------------------------------------------------------------------
