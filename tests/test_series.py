@@ -217,3 +217,15 @@ def test_normalised_values(spark):
     assert local[("s", day(1))] == 0.5 and local[("flat", day(0))] is None
     overall = series.normalise(df, ["k"], local=False).agg(F.max("y_norm")).first()[0]
     assert overall == 1.0
+
+
+def test_shares_and_splits_known_before_empty_days_are_made(spark):
+    rows = [("a", 0, 2.0), ("a", 1, 0.0), ("a", 40, 3.0), ("b", 3, 1.0), ("c", 5, 4.0), ("c", 7, 4.0)]
+    daily = spark.createDataFrame([(k, dt.date(2000, 1, 1) + dt.timedelta(n), y) for k, n, y in rows], "k string, ds date, y double")
+    found = daily.select("k", series.empty_share(["k"]).alias("zero_ratio")).distinct()
+    dense = series.daily_series(daily, ["k"], date="ds", value="y", flags=False)
+    assert sorted(found.collect()) == sorted(series.zero_ratio(dense, ["k"]).collect())
+    given = series.daily_totals(daily, ["k"], date="ds", value="y", grouped=True).withColumn("_last", series.last_day(["k"]))
+    filled = series.densify(given, ["k"], "ds", {"y": F.lit(0.0)})
+    split = series.split_tail_days(filled, ["k"], 28, last="_last").drop("_last")
+    assert sorted(split.collect()) == sorted(series.split_tail_days(dense, ["k"], 28).collect())

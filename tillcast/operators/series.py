@@ -63,8 +63,14 @@ def densify(
     return long.select(*df.columns, *([position] if position else []))
 
 
-def daily_totals(rows: DataFrame, keys: list[str], date: str = "date", value: str = "sales") -> DataFrame:
-    """Sum per day (NULL as 0) of the days that have rows."""
+def daily_totals(
+    rows: DataFrame, keys: list[str], date: str = "date", value: str = "sales", grouped: bool = False
+) -> DataFrame:
+    """Sum per day (NULL as 0) of the days that have rows. With ``grouped`` no two rows have the same
+    keys and date, and none are grouped again, which would hold each of them once more."""
+    if grouped:
+        y = F.coalesce(F.col(value), F.lit(0)).cast("double")
+        return rows.select(*keys, F.col(date).alias("ds"), y.alias("y"))
     return rows.groupBy(*keys, F.col(date).alias("ds")).agg(
         F.sum(F.coalesce(F.col(value), F.lit(0))).cast("double").alias("y")
     )
@@ -82,12 +88,14 @@ def daily_series(
     log: bool = False,
     flags: bool = True,
     tail: int | None = None,
+    grouped: bool = False,
 ) -> DataFrame:
     """Sum per day (NULL as 0), dense from first to last day with 0 in the gaps, plus flags.
 
-    With ``tail`` only the last so many days of each series are made.
+    With ``tail`` only the last so many days of each series are made; ``grouped`` is that of
+    :func:`daily_totals`.
     """
-    daily = daily_totals(rows, keys, date, value)
+    daily = daily_totals(rows, keys, date, value, grouped)
     since = None if tail is None else F.date_sub(last_day(keys), tail - 1)
     dense = densify(daily, keys, "ds", {"y": F.lit(0.0)}, since=since)
     if log:

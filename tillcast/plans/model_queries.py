@@ -119,7 +119,7 @@ def cell_forecast_tail(star, hold: int = 28, keys=KEYS):
 
     Only these days are made; those before count in the cells without rows of their own.
     """
-    sold = series.daily_totals(totals(star, [*keys, "date"]), keys, value="total_sales")
+    sold = series.daily_totals(totals(star, [*keys, "date"]), keys, value="total_sales", grouped=True)
     sold = sold.withColumn("_until", F.date_sub(series.last_day(keys), hold))
     train = dates.with_calendar_flags(sold.where(F.col("ds") <= F.col("_until")))
     models = cell_mean.fit(train, keys, until="_until")
@@ -730,13 +730,14 @@ def fc_forest_pooled(star):
 def fc_two_step(star):
     """Series by store: about four of five days are empty, so the limit is set at 0.7 here."""
     keys = ["store"]
-    dense = series.daily_series(totals(star, ["store", "date"]), keys, value="total_sales", flags=False)
-    share = F.avg((F.col("y") == 0).cast("double")).over(Window.partitionBy(*keys))
-    sparse = dense.withColumn("_zero", share).where(F.col("_zero") > 0.7).drop("_zero")
+    sold = series.daily_totals(totals(star, ["store", "date"]), keys, value="total_sales", grouped=True)
+    # Shares and last days are found before the empty days are made, so that only days with sales are sorted.
+    sold = sold.withColumns({"_zero": series.empty_share(keys), "_last": series.last_day(keys)})
+    sparse = series.densify(sold.where(F.col("_zero") > 0.7).drop("_zero"), keys, "ds", {"y": F.lit(0.0)})
     sparse = sparse.withColumns(
         {"day_of_week": dates.day_of_week(F.col("ds")), "month": F.month("ds"), "event": _event_flag()}
     )
-    split = materialise(series.split_tail_days(sparse, keys, 28), "sparse")
+    split = materialise(series.split_tail_days(sparse, keys, 28, last="_last").drop("_last"), "sparse")
     train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
     scored = forests.two_step_forecast(train, test, keys, ["day_of_week", "month", "event"])
     return scored.select(*keys, "ds", "y", "predicted_sale", "yhat")

@@ -38,7 +38,7 @@ FLAGS_SQL = """CAST(month(ds) = 12 AND day(ds) IN (23, 24, 26) AS INTEGER) AS is
 
 def category_series(star, flags: bool = False, keys=KEYS, tail: int | None = None):
     daily = totals(star, [*keys, "date"])
-    return series.daily_series(daily, keys, value="total_sales", flags=flags, tail=tail)
+    return series.daily_series(daily, keys, value="total_sales", flags=flags, tail=tail, grouped=tail is not None)
 
 
 # --- building and cleaning -------------------------------------------------------------------
