@@ -26,6 +26,11 @@ def _whole(keys: list[str]):
     return Window.partitionBy(*keys)
 
 
+def _whole_in_order(keys: list[str]):
+    """All rows of a series, on the order that :func:`densify` needs as well: one sort serves both."""
+    return _ordered(keys).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 # --- building --------------------------------------------------------------------------------
 
 
@@ -77,7 +82,7 @@ def daily_totals(
 
 
 def last_day(keys: list[str]) -> Column:
-    return F.max("ds").over(_whole(keys))
+    return F.max("ds").over(_whole_in_order(keys))
 
 
 def daily_series(
@@ -146,7 +151,7 @@ def zero_ratio(series: DataFrame, keys: list[str]) -> DataFrame:
 def empty_share(keys: list[str]) -> Column:
     """Share of zero days from the first to the last day of a series, from daily totals whose empty
     days have no rows: the same as :func:`zero_ratio` of the dense series, without making it."""
-    w = _whole(keys)
+    w = _whole_in_order(keys)
     days = F.datediff(F.max("ds").over(w), F.min("ds").over(w)) + 1
     sold = F.count_if((F.col("y") != 0) & F.col("ds").isNotNull()).over(w)
     return (days - sold) / days
@@ -253,7 +258,7 @@ def impute_gaps(observed: DataFrame, keys: list[str], limit: int = 5, window: in
 
 def split_tail_days(series: DataFrame, keys: list[str], days: int, last: str | None = None) -> DataFrame:
     """``test`` is the last ``days`` days of each series, whose last day ``last`` may name."""
-    cutoff = F.date_sub(last_day(keys) if last is None else F.col(last), days)
+    cutoff = F.date_sub(F.max("ds").over(_whole(keys)) if last is None else F.col(last), days)
     return series.withColumn("split", F.when(F.col("ds") <= cutoff, "train").otherwise("test"))
 
 
