@@ -14,6 +14,7 @@ and is left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from itertools import product
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions.dates import FLAG_COLUMNS
 from tillcast.operators import series as ts
+from tillcast.operators import whole_series
 from tillcast.operators.normal_equations import key_types
 from tillcast.operators.recursion import extended, in_order
 
@@ -85,6 +87,22 @@ class Design:
         parts += [F.col(f"y_lag_{k}") / F.col("cap") for k in range(1, self.lags + 1)]
         return [p.cast("double") for p in parts]
 
+    def calendar_columns(self, days: np.ndarray) -> list[np.ndarray]:
+        """In tasks: the columns after the trend, of days since 1970, where those follow from the day."""
+        seasons = [(365.25, self.yearly_order), (7.0, self.weekly_order), *self.extra_seasons]
+        angles = [days * (2.0 * math.pi * k / period) for period, order in seasons for k in range(1, order + 1)]
+        known = whole_series.flags(days)
+        return [f(a) for a in angles for f in (np.sin, np.cos)] + [known[r] for r in self.regressors]
+
+    def filled(self, t: np.ndarray, calendar: np.ndarray) -> np.ndarray:
+        """In tasks: all columns from scaled time and the columns that follow from the day."""
+        x = np.empty((len(t), self.width()))
+        x[:, 0], x[:, 1] = 1.0, t
+        trend = 2 + self.changepoints
+        np.maximum(0.0, t[:, None] - np.array(ts.changepoints(self.changepoints)), out=x[:, 2:trend])
+        x[:, trend:] = calendar
+        return x
+
 
 @dataclass(frozen=True)
 class Config:
@@ -475,3 +493,91 @@ def fit_tuned(
     solved = solve(products, keys, design, configs)
     models = series_scaling(train, keys).join(solved, keys)
     return models.withColumn("params", _config_params(configs, F.col("config")))
+
+
+def _alike(design: Design, configs: list[Config], at: list[int]) -> list:
+    """The configurations ``at`` these places by their columns: places in ``at``, modes, columns, and penalties
+    as diagonal matrices."""
+    groups: dict = {}
+    for place, i in enumerate(at):
+        active, penalty = _active_and_penalty(design, configs[i])
+        groups.setdefault(active.tobytes(), []).append((place, configs[i].mode, active, np.diag(penalty[active])))
+    merged = [list(zip(*group)) for group in groups.values()]
+    return [(list(p), m, np.flatnonzero(active[0]), np.stack(d)) for p, m, active, d in merged]
+
+
+class _WholeFit:
+    """Column products of one whole series up to a day, scaled as by :func:`training_frame`."""
+
+    def __init__(self, design: Design, calendar: whole_series.Calendar, first: int, y: np.ndarray):
+        self.design, self.calendar, self.first = design, calendar, first
+        self.span = float(max(len(y) - 1, 1))
+        self.cap = float(max(y.max(), 1.0))
+        x = self.columns(0, len(y) - 1)
+        self.gram = x.T @ x
+        logs = np.log1p(np.maximum(y, 0.0)) / np.log1p(self.cap)
+        self.rhs = {"additive": x.T @ (y / self.cap), "multiplicative": x.T @ logs}
+
+    def columns(self, begin: int, end: int) -> np.ndarray:
+        days = self.calendar(self.first + begin, self.first + end)
+        return self.design.filled(np.arange(begin, end + 1) / self.span, days)
+
+    def solved(self, groups: list, n: int) -> np.ndarray:
+        """A row of coefficients for each of ``n`` configurations, grouped by :func:`_alike`."""
+        betas = np.zeros((n, len(self.gram)))
+        for at, modes, active, penalties in groups:
+            left = self.gram[np.ix_(active, active)] + penalties
+            right = np.stack([self.rhs[mode][active] for mode in modes])
+            try:
+                found = np.linalg.solve(left, right[..., None])[..., 0]
+            except np.linalg.LinAlgError:
+                found = [_solution(a, b) for a, b in zip(left, right)]
+            betas[np.ix_(at, active)] = found
+        return betas
+
+    def loss(self, begin: int, y: np.ndarray, betas: np.ndarray, modes: np.ndarray) -> np.ndarray:
+        """Of each configuration, its error on the days from ``begin``, as in :func:`tune`."""
+        total = self.columns(begin, begin + len(y) - 1) @ betas.T
+        with np.errstate(over="ignore", invalid="ignore"):
+            plain, logs = total * self.cap, np.expm1(total * np.log1p(self.cap))
+            yhat = np.maximum(0.0, np.fmin(np.where(modes == "additive", plain, logs), self.cap))
+        error = np.abs(y[:, None] - yhat)
+        sold = y != 0
+        return (error[sold] / y[sold, None]).mean(axis=0) * 100 if sold.any() else error.mean(axis=0)
+
+
+def fit_tuned_whole(
+    train: DataFrame, keys: list[str], design: Design, validation_days: int = 28, configs=None
+) -> DataFrame:
+    """The model rows of :func:`fit_tuned`, of whole series (see ``whole_series``) and without an exchange.
+
+    For designs whose columns follow from the day. A series that is no longer than the validation has
+    no model.
+    """
+    configs = configs or search_grid()
+    every = _alike(design, configs, list(range(len(configs))))
+    single = [_alike(design, configs, [i]) for i in range(len(configs))]
+    modes = np.array([c.mode for c in configs])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        calendar = whole_series.Calendar(design.calendar_columns)
+        for batch in whole_series.chunks(batches):
+            records = []
+            for *key, first, last, days, sold in batch[[*keys, "first", "last", "days", "sold"]].itertuples(index=False):
+                y = whole_series.dense(first, last, days, sold)
+                n = len(y) - validation_days
+                if n < 1:
+                    continue
+                part = _WholeFit(design, calendar, first, y[:n])
+                losses = part.loss(n, y[n:], part.solved(every, len(configs)), modes)
+                i = int(np.argmin(np.where(np.isnan(losses), np.inf, losses)))
+                whole = _WholeFit(design, calendar, first, y)
+                beta = whole.solved(single[i], 1)[0]
+                records.append((*key, first, whole.span, whole.cap, last, i, modes[i], beta))
+            columns = [*keys, "t0", "span", "cap", "last_date", "config", "mode", "coefficients"]
+            yield pd.DataFrame(records, columns=columns)
+
+    schema = "t0 int, span double, cap double, last_date int, config int, mode string, coefficients array<double>"
+    models = train.mapInPandas(run, f"{key_types(train, keys)}, {schema}")
+    dated = {c: whole_series.as_date(F.col(c)) for c in ("t0", "last_date")}
+    return models.withColumns(dated).withColumn("params", _config_params(configs, F.col("config")))

@@ -45,9 +45,13 @@ def first_available(forecasts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def forecast_frame(forecasts: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
-    """``date, forecast_sales, actual_sales`` and the keys, where both sides have the date."""
-    joined = forecasts.join(actual.select(*keys, "ds", F.col("y").alias("actual_sales")), [*keys, "ds"])
+def forecast_frame(forecasts: DataFrame, actual: DataFrame | None, keys: list[str]) -> DataFrame:
+    """``date, forecast_sales, actual_sales`` and the keys, where both sides have the date. Without
+    ``actual`` the forecasts have the actual values as ``y``."""
+    if actual is None:
+        joined = forecasts.withColumnRenamed("y", "actual_sales")
+    else:
+        joined = forecasts.join(actual.select(*keys, "ds", F.col("y").alias("actual_sales")), [*keys, "ds"])
     return joined.select(
         F.col("ds").alias("date"), F.col("yhat").alias("forecast_sales"), "actual_sales", *keys
     )

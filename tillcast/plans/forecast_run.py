@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.operators import cell_mean, decomposable, seasonal_arma, selection, series, windows
+from tillcast.operators import cell_mean, decomposable, seasonal_arma, selection, series, whole_series, windows
 from tillcast.operators.aggregates import rollup_forecast
 from tillcast.operators.decomposable import Design
 from tillcast.operators.evaluation import forecast_metrics
@@ -35,10 +37,10 @@ def top_series(daily: DataFrame, within: str, item: str, n: int) -> DataFrame:
 
 
 def clean_series(daily: DataFrame, keys: list[str]) -> DataFrame:
-    """Dense daily series without the mostly empty ones; outlier days become 0."""
-    dense = series.daily_series(daily, keys, flags=False)
-    kept = series.drop_mostly_zero(dense, keys)
-    return series.refill(series.drop_z_outliers(kept, keys), keys)
+    """All series as rows of ``whole_series``. Those without a NULL in their keys that are not mostly
+    empty are ``kept``; outlier days become 0."""
+    named = reduce(and_, [F.col(k).isNotNull() for k in keys], F.lit(True))
+    return whole_series.cleaned(daily, keys).withColumn("kept", F.col("kept") & named)
 
 
 def screened(daily: DataFrame, keys: list[str], threshold: float = 0.9) -> DataFrame:
@@ -51,14 +53,15 @@ def screened(daily: DataFrame, keys: list[str], threshold: float = 0.9) -> DataF
     return counted.withColumn("status", status)
 
 
-def all_forecasts(train: DataFrame, test: DataFrame, keys: list[str], models: DataFrame, design: Design):
-    """Long frame of the three models' forecasts of the test days."""
-    days = test.drop("split")
-    columns = [*keys, "ds", "yhat"]
-    first = decomposable.score(days, models, keys, design).select(*columns)
-    marked = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    second = seasonal_arma.forecast(marked, keys).select(*columns)
-    third = cell_mean.score(days, cell_mean.fit(train, keys), keys).select(*columns)
+def all_forecasts(train: DataFrame, test: DataFrame, keys: list[str], models: DataFrame, design: Design, days: int):
+    """Long frame of the three models' forecasts of the ``days`` test days after whole training series,
+    whose column ``actual`` has those days' values; ``y`` in the result."""
+    columns = [*keys, "ds", "y", "yhat"]
+    first = decomposable.score(test, models, keys, design).select(*columns)
+    second = seasonal_arma.forecast_whole(train, keys, days, actual="actual").select(*columns)
+    until = train.withColumn("_until", whole_series.as_date(F.col("last")))
+    means = cell_mean.fit(whole_series.sold_days(until, keys, "_until"), keys, until="_until")
+    third = cell_mean.score(test, means, keys).select(*columns)
     tagged = [
         frame.withColumn("model_type", F.lit(name))
         for frame, name in zip((first, second, third), selection.MODEL_PRIORITY)
@@ -70,21 +73,23 @@ def run(daily: DataFrame, keys: list[str], test_days: int = 28, design: Design |
     """``daily`` has the keys, ``date`` and ``sales``.
 
     The cleaned series and the fitted models are written once to the shared folder, because the
-    tuning, three models and the metrics all read them.
+    tuning, three models and the metrics all read them. A series is one row, so that only its days
+    with sales are exchanged, and only once.
     """
     design = design or Design()
-    cleaned = materialise(clean_series(daily, keys), "series")
-    split = series.split_tail_days(cleaned, keys, test_days)
-    train = split.where(F.col("split") == "train").drop("split")
-    test = split.where(F.col("split") == "test").drop("split")
-    models = materialise(decomposable.fit_tuned(train, keys, design), "models")
-    forecasts = materialise(all_forecasts(train, test, keys, models, design), "forecasts")
-    compared = forecasts.where(~F.isnan("yhat")).join(test.select(*keys, "ds", "y"), [*keys, "ds"])
+    every = materialise(clean_series(daily, keys), "series")
+    cleaned = every.where("kept")
+    marked = cleaned.withColumn("actual", whole_series.tail(test_days))
+    train = whole_series.upto(marked, F.col("last") - test_days)
+    test = whole_series.last_days(cleaned, keys, test_days)
+    models = materialise(decomposable.fit_tuned_whole(train, keys, design), "models")
+    forecasts = materialise(all_forecasts(train, test, keys, models, design, test_days), "forecasts")
+    compared = forecasts.where(~F.isnan("yhat"))
     metrics = materialise(forecast_metrics(compared, [*keys, "model_type"]), "metrics")
     best = selection.select_best(metrics, keys)
     chosen = forecasts.join(best.select(*keys, "model_type"), [*keys, "model_type"], "left_semi")
-    frame = selection.forecast_frame(chosen, test, keys)
+    frame = selection.forecast_frame(chosen, None, keys)
     tuned = models.select(F.lit("decomposable").alias("model_type"), *keys, "params")
     best_metrics = metrics.join(best.select(*keys, "model_type"), [*keys, "model_type"], "left_semi")
-    status = selection.series_status(daily, best, keys)
+    status = selection.series_status(every, best, keys)
     return RunResult(frame, metrics_rows(best_metrics, tuned, keys), status, models)
